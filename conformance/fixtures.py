@@ -34,8 +34,10 @@ def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.readStream.schema(EVENTS).parquet(f"{sf_dir}/{{events}}.parquet")
 
 
-def _k() -> Column:
-    return F.get_json_object("props", "$.k").cast("int")
+def _with_k(rows: DataFrame) -> DataFrame:
+    """Add the integer `k` of `props`; as a generator's output it is read once per row."""
+    number = F.regexp_extract("props", r'"k":\s*(-?\d+)', 1).cast("int")
+    return rows.select("*", F.explode(F.array(number)).alias("k"))
 
 
 def _every(step: int) -> Column:
@@ -56,7 +58,7 @@ def trips_from_events(rows: DataFrame) -> DataFrame:
     """Raw trips: `trip_id`, times, measures, passengers and coordinates, some of them unusable."""
     seconds = F.when(_every(97), F.lit(12000)).otherwise(F.lit(20) + (F.col("event_id") * 37) % 6000)
     pickup = F.col("ts").cast("timestamp")
-    return rows.withColumn("k", _k()).select(
+    return _with_k(rows).select(
         F.col("event_id").alias("trip_id"),
         pickup.alias("pickup_dt"),
         F.timestamp_add("SECOND", seconds.cast("int"), pickup).alias("dropoff_dt"),
@@ -106,7 +108,7 @@ def messages_from_events(rows: DataFrame) -> DataFrame:
         "event_id": F.col("event_id").cast("string"),
     }
     body = F.struct(*[fields[name].alias(name) for name in RIDE_REQUEST.fieldNames()])
-    return rows.withColumn("k", _k()).select("event_id", F.to_json(body).alias("value"))
+    return _with_k(rows).select("event_id", F.to_json(body).alias("value"))
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:

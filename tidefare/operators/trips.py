@@ -15,14 +15,19 @@ def with_features(trips: DataFrame) -> DataFrame:
     Speed uses the rounded duration.
     """
     pickup = F.col("pickup_dt")
-    return trips.withColumns({
-        "hour": F.hour(pickup),
-        "day_of_week": F.dayofweek(pickup),
-        "month": F.month(pickup),
-        "is_weekend": calendar.weekend_flag(pickup),
-        "trip_duration_min": trip.duration_minutes(pickup, F.col("dropoff_dt")),
-    }).withColumn(
-        "avg_speed_mph", trip.average_speed(F.col("trip_distance"), F.col("trip_duration_min"))
+    derived = F.struct(
+        F.hour(pickup).alias("hour"),
+        F.dayofweek(pickup).alias("day_of_week"),
+        F.month(pickup).alias("month"),
+        calendar.weekend_flag(pickup).alias("is_weekend"),
+        trip.duration_minutes(pickup, F.col("dropoff_dt")).alias("trip_duration_min"),
+    )
+    speed = trip.average_speed(F.col("trip_distance"), F.col("trip_duration_min"))
+    # As a generator's output the features are computed once per trip. As plain columns they,
+    # and all the parsing below them, would be copied into each filter above, into methods
+    # too long for the JVM to compile. Filters on stored columns still reach the scan.
+    return trips.select("*", F.inline(F.array(derived))).select(
+        "*", F.explode(F.array(speed)).alias("avg_speed_mph")
     )
 
 

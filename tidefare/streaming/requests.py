@@ -9,12 +9,14 @@ from tidefare.schemas import RIDE_REQUEST
 
 
 def parse_requests(messages: DataFrame) -> DataFrame:
-    """Columns of each JSON message in `value`, and `event_time`; what does not parse is null."""
-    return (
-        messages.select("value", F.from_json("value", RIDE_REQUEST).alias("request"))
-        .select("value", "request.*")
-        .withColumn("event_time", F.try_to_timestamp("timestamp"))
-    )
+    """Columns of each JSON message in `value`, and `event_time`; what does not parse is null.
+
+    Parsing sits in a generator so that it runs once per message: filters on the columns
+    would otherwise carry a copy of it.
+    """
+    fields = F.inline(F.array(F.from_json("value", RIDE_REQUEST)))
+    time = F.explode(F.array(F.try_to_timestamp("timestamp")))
+    return messages.select("value", fields).select("*", time.alias("event_time"))
 
 
 def valid_requests(requests: DataFrame) -> DataFrame:
