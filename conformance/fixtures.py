@@ -5,23 +5,13 @@ The mappings are row by row, so every query's work grows with the table.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidefare.operators.sampling import train_test_split
 from tidefare.operators.trips import labelled_trips
 from tidefare.schemas import RIDE_REQUEST
 
-EVENTS = T.StructType([
-    T.StructField("event_id", T.LongType()),
-    T.StructField("ts", T.TimestampNTZType()),
-    T.StructField("user_id", T.LongType()),
-    T.StructField("event_type", T.StringType()),
-    T.StructField("value", T.DoubleType()),
-    T.StructField("props", T.StringType()),
-])
-
 ZONES = {"click": "Downtown", "view": "Uptown", "purchase": "Suburbs", "signup": "Industrial"}
 
 
@@ -31,7 +21,8 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     # As a glob, the path may be one file or a folder of files.
-    return spark.readStream.schema(EVENTS).parquet(f"{sf_dir}/{{events}}.parquet")
+    stored = events(spark, sf_dir).schema
+    return spark.readStream.schema(stored).parquet(f"{sf_dir}/{{events}}.parquet")
 
 
 def _with_k(rows: DataFrame) -> DataFrame:
@@ -40,35 +31,28 @@ def _with_k(rows: DataFrame) -> DataFrame:
     return rows.select("*", F.explode(F.array(number)).alias("k"))
 
 
-def _every(step: int) -> Column:
-    return F.col("event_id") % step == 0
-
-
-def _longitude(shift: int) -> Column:
-    user, k = F.col("user_id") + shift, F.col("k") + shift
-    return (F.lit(-74050) + 10 * (user % 10) + k % 4) / F.lit(1000.0)
+def _longitude(shift: int) -> str:
+    return f"(-74050 + 10 * ((user_id + {shift}) % 10) + (k + {shift}) % 4) / 1000D"
 
 
-def _latitude(shift: int) -> Column:
-    user, k = F.col("user_id") + shift, F.col("k") + shift
-    return (F.lit(40700) + 10 * (k % 8) + user % 4) / F.lit(1000.0)
+def _latitude(shift: int) -> str:
+    return f"(40700 + 10 * ((k + {shift}) % 8) + (user_id + {shift}) % 4) / 1000D"
 
 
 def trips_from_events(rows: DataFrame) -> DataFrame:
     """Raw trips: `trip_id`, times, measures, passengers and coordinates, some of them unusable."""
-    seconds = F.when(_every(97), F.lit(12000)).otherwise(F.lit(20) + (F.col("event_id") * 37) % 6000)
-    pickup = F.col("ts").cast("timestamp")
-    return _with_k(rows).select(
-        F.col("event_id").alias("trip_id"),
-        pickup.alias("pickup_dt"),
-        F.timestamp_add("SECOND", seconds.cast("int"), pickup).alias("dropoff_dt"),
-        F.when(_every(89), F.lit(150.0)).otherwise(F.col("k") / F.lit(5.0)).alias("trip_distance"),
-        F.when(_every(53), -F.col("value")).otherwise(F.col("value")).alias("fare_amount"),
-        (F.col("user_id") % 7).cast("int").alias("passenger_count"),
-        F.when(~_every(61), _longitude(0)).alias("pickup_longitude"),
-        F.when(~_every(67), _latitude(0)).alias("pickup_latitude"),
-        F.when(~_every(71), _longitude(3)).alias("dropoff_longitude"),
-        F.when(~_every(71), _latitude(3)).alias("dropoff_latitude"),
+    seconds = "if(event_id % 97 = 0, 12000, cast(20 + (event_id * 37) % 6000 AS int))"
+    return _with_k(rows).selectExpr(
+        "event_id AS trip_id",
+        "cast(ts AS timestamp) AS pickup_dt",
+        f"timestampadd(SECOND, {seconds}, cast(ts AS timestamp)) AS dropoff_dt",
+        "if(event_id % 89 = 0, 150D, k / 5D) AS trip_distance",
+        "if(event_id % 53 = 0, -value, value) AS fare_amount",
+        "cast(user_id % 7 AS int) AS passenger_count",
+        f"if(event_id % 61 != 0, {_longitude(0)}, null) AS pickup_longitude",
+        f"if(event_id % 67 != 0, {_latitude(0)}, null) AS pickup_latitude",
+        f"if(event_id % 71 != 0, {_longitude(3)}, null) AS dropoff_longitude",
+        f"if(event_id % 71 != 0, {_latitude(3)}, null) AS dropoff_latitude",
     )
 
 
@@ -92,22 +76,20 @@ def clean_labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def messages_from_events(rows: DataFrame) -> DataFrame:
     """Request messages as JSON text in `value`; fields without a value are left out."""
-    zone = F.coalesce(*[
-        F.when(F.col("event_type") == event_type, F.lit(name)) for event_type, name in ZONES.items()
-    ])
+    zone = " ".join(f"WHEN '{event_type}' THEN '{name}'" for event_type, name in ZONES.items())
     fields = {
-        "timestamp": F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"),
-        "zone": zone,
-        "ride_requests": 2 * F.col("k"),
-        "available_drivers": (5 + F.col("user_id") % 76).cast("int"),
-        "hour": F.hour("ts"),
-        "is_weekend": F.weekday("ts") >= 5,
-        "weather_code": (F.col("event_id") % 4).cast("int"),
-        "special_event": F.when(~_every(5), F.col("k") % 10 == 0),
-        "weather": F.lit(None).cast("string"),
-        "event_id": F.col("event_id").cast("string"),
+        "timestamp": "date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\")",
+        "zone": f"CASE event_type {zone} END",
+        "ride_requests": "2 * k",
+        "available_drivers": "cast(5 + user_id % 76 AS int)",
+        "hour": "hour(ts)",
+        "is_weekend": "weekday(ts) >= 5",
+        "weather_code": "cast(event_id % 4 AS int)",
+        "special_event": "if(event_id % 5 != 0, k % 10 = 0, null)",
+        "weather": "cast(null AS string)",
+        "event_id": "cast(event_id AS string)",
     }
-    body = F.struct(*[fields[name].alias(name) for name in RIDE_REQUEST.fieldNames()])
+    body = F.struct(*[F.expr(fields[name]).alias(name) for name in RIDE_REQUEST.fieldNames()])
     return _with_k(rows).select("event_id", F.to_json(body).alias("value"))
 
 
@@ -117,19 +99,17 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def messages_with_bad_ones(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As `messages`, with every 83rd message replaced by text that is not JSON."""
-    broken = F.concat(F.lit("bad "), F.col("event_id").cast("string"))
-    return messages_from_events(events(spark, sf_dir)).select(
-        F.when(_every(83), broken).otherwise(F.col("value")).alias("value")
+    return messages_from_events(events(spark, sf_dir)).selectExpr(
+        "if(event_id % 83 = 0, concat('bad ', event_id), value) AS value"
     )
 
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Test-part trips with a prediction that misses the label by a known amount, up to 0.1."""
     _, test = train_test_split(clean_labelled(spark, sf_dir), "trip_id")
-    miss = ((F.col("trip_id") * 31) % 21 - 10) / F.lit(100.0)
-    return test.select(
+    return test.selectExpr(
         "trip_id",
-        F.col("surge_multiplier").alias("label"),
-        (F.col("surge_multiplier") + miss).alias("prediction"),
+        "surge_multiplier AS label",
+        "surge_multiplier + ((trip_id * 31) % 21 - 10) / 100D AS prediction",
         "hour", "day_of_week", "is_weekend",
     )

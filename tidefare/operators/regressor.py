@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidefare.functions import surge
 from tidefare.functions.calendar import FLAG_HOURS
+from tidefare.operators.local import rows_of
 from tidefare.operators.trips import with_period_flags
 from tidefare.schemas import FEATURE_COLUMNS
 
@@ -61,9 +62,12 @@ def importances(model: PipelineModel, top: int | None = None) -> DataFrame:
     forest = model.stages[-1]
     pairs = zip(MODEL_FEATURES, forest.featureImportances.toArray().tolist(), strict=True)
     ranked = sorted(pairs, key=lambda pair: (-pair[1], pair[0]))
-    frame = SparkSession.active().createDataFrame(
-        [(rank, name, value) for rank, (name, value) in enumerate(ranked[:top], start=1)],
-        "rank int, feature string, importance double",
+    frame = rows_of(
+        SparkSession.active(),
+        "rank: int, feature: string, importance: double",
+        [
+            {"rank": rank, "feature": name, "importance": value}
+            for rank, (name, value) in enumerate(ranked[:top], start=1)
+        ],
     )
     return frame.withColumn("band", surge.importance_band(F.col("importance"))).orderBy("rank")
-

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidefare.functions import calendar, surge, trip
+from tidefare.operators.local import rows_of
 from tidefare.schemas import FEATURE_COLUMNS
 
 
@@ -108,10 +109,16 @@ def clean_audit(trips: DataFrame, in_train: Column | None = None) -> DataFrame:
 
 def schema_report(frame: DataFrame) -> DataFrame:
     """Position, name, type and nullability of each column; reads no data."""
-    rows = [
-        (position, field.name, field.dataType.simpleString(), field.nullable)
-        for position, field in enumerate(frame.schema.fields)
-    ]
-    return frame.sparkSession.createDataFrame(
-        rows, "position int, name string, type string, nullable boolean"
+    return rows_of(
+        frame.sparkSession,
+        "position: int, name: string, type: string, nullable: boolean",
+        [
+            {
+                "position": position,
+                "name": field.name,
+                "type": field.dataType.simpleString(),
+                "nullable": field.nullable,
+            }
+            for position, field in enumerate(frame.schema.fields)
+        ],
     )
