@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from conformance import fixtures
 from tidefare.operators import dashboard, demand, fares, predictions, regressor, sampling, trips
+from tidefare.operators.cells import trip_cells
 from tidefare.operators.dashboard import FilterSpec
 from tidefare.plans import batch, live
 from tidefare.plans.training import TrainingResult, train_surge_model
@@ -47,7 +48,7 @@ def _clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dashboard.trip_cells(_clean(spark, sf_dir))
+    return trip_cells(_clean(spark, sf_dir))
 
 
 def _requests(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -126,8 +127,12 @@ def day_name_features(spark, sf_dir):
 
 # Demand reports
 
-def _report(operator: Callable[[DataFrame], DataFrame]) -> Query:
-    return lambda spark, sf_dir: operator(_clean(spark, sf_dir))
+def top_pickup_areas(spark, sf_dir):
+    return demand.top_pickup_areas(_clean(spark, sf_dir))
+
+
+def _from_cells(report: Callable[[DataFrame], DataFrame]) -> Query:
+    return lambda spark, sf_dir: report(_cells(spark, sf_dir))
 
 
 # Dashboard
@@ -321,11 +326,11 @@ QUERIES: dict[str, Query] = {
     "clean_audit": clean_audit,
     "peak_flags": peak_flags,
     "day_name_features": day_name_features,
-    "surge_by_hour": _report(demand.surge_by_hour),
-    "top_pickup_areas": _report(demand.top_pickup_areas),
-    "weekend_vs_weekday": _report(demand.weekend_vs_weekday),
-    "surge_percentiles": _report(demand.surge_percentiles),
-    "peak_hour_windows": _report(demand.peak_hour_windows),
+    "surge_by_hour": _from_cells(demand.surge_by_hour),
+    "top_pickup_areas": top_pickup_areas,
+    "weekend_vs_weekday": _from_cells(demand.weekend_vs_weekday),
+    "surge_percentiles": _from_cells(demand.surge_percentiles),
+    "peak_hour_windows": _from_cells(demand.peak_hour_windows),
     "dashboard_filter": dashboard_filter,
     "dashboard_kpis": dashboard_kpis,
     "dashboard_kpis_filtered": dashboard_kpis_filtered,

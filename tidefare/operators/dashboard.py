@@ -1,10 +1,8 @@
 """Datasets behind the dashboard.
 
-Every dataset but the row-level ones depends on trips only through their count, fare and
-distance per (day, hour, weekend, surge level). `trip_cells` reduces any number of trips to
-those cells, at most 7 * 24 * 8 rows, in one partial-aggregated pass; the datasets are
-computed from cells, and so are all filters, because each filter tests a cell key. Store the
-cells once and a dashboard never scans the trips again.
+Every dataset but the row-level ones is computed from trip cells (see `cells`), and so are
+all filters, because each filter tests a cell key. With stored cells a dashboard never scans
+the trips again.
 """
 
 from __future__ import annotations
@@ -17,7 +15,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidefare.functions import calendar, surge
-from tidefare.functions.surge import TRIP_LEVELS
+from tidefare.operators.cells import mean_of, mean_surge, surge_level_trips
 from tidefare.operators.sampling import DEFAULT_SEED, seeded_sample
 
 HOURS = range(24)
@@ -62,36 +60,14 @@ def has_rows(rows: DataFrame) -> bool:
     return not rows.isEmpty()
 
 
-def trip_cells(trips: DataFrame) -> DataFrame:
-    """Trips per (day, hour, weekend, surge level), with what the means need."""
-    return trips.groupBy(
-        calendar.monday_first(F.col("day_of_week")).alias("dow_monday"),
-        "hour", "is_weekend", "surge_multiplier",
-    ).agg(
-        F.count(F.lit(1)).alias("trips"),
-        F.sum("fare_amount").alias("fare_sum"),
-        F.count("fare_amount").alias("fare_trips"),
-        F.sum("trip_distance").alias("distance_sum"),
-        F.count("trip_distance").alias("distance_trips"),
-    )
-
-
-def _mean_surge() -> Column:
-    return F.try_divide(F.sum(F.col("surge_multiplier") * F.col("trips")), F.sum("trips"))
-
-
-def _mean(measure: str) -> Column:
-    return F.try_divide(F.sum(f"{measure}_sum"), F.sum(f"{measure}_trips"))
-
-
 def kpis(cells: DataFrame) -> DataFrame:
     """Mean and peak surge, trips, mean fare and mean distance, as one row."""
     return cells.agg(
-        _mean_surge().alias("avg_surge"),
+        mean_surge().alias("avg_surge"),
         F.max("surge_multiplier").alias("max_surge"),
         F.coalesce(F.sum("trips"), F.lit(0)).alias("total_trips"),
-        _mean("fare").alias("avg_fare"),
-        _mean("distance").alias("avg_distance"),
+        mean_of("fare").alias("avg_fare"),
+        mean_of("distance").alias("avg_distance"),
     )
 
 
@@ -99,7 +75,7 @@ def hourly_surge(cells: DataFrame) -> DataFrame:
     """Mean surge and its band for each hour that has trips."""
     return (
         cells.groupBy("hour")
-        .agg(_mean_surge().alias("avg_surge"))
+        .agg(mean_surge().alias("avg_surge"))
         .withColumn("band", surge.surge_band(F.col("avg_surge")))
         .orderBy("hour")
     )
@@ -108,7 +84,7 @@ def hourly_surge(cells: DataFrame) -> DataFrame:
 def hourly_surge_dense(cells: DataFrame) -> DataFrame:
     """As `hourly_surge`, with a row for each of the 24 hours."""
     hours = cells.sparkSession.range(0, 24, 1, 1).select(F.col("id").cast("int").alias("hour"))
-    means = cells.groupBy("hour").agg(_mean_surge().alias("avg_surge"))
+    means = cells.groupBy("hour").agg(mean_surge().alias("avg_surge"))
     return (
         hours.join(means, "hour", "left")
         .withColumn("band", surge.surge_band(F.col("avg_surge")))
@@ -121,7 +97,7 @@ def surge_box_by_day(cells: DataFrame) -> DataFrame:
 
     Exact: the percentiles weigh each level by its trips. A day has at most 8 level rows.
     """
-    levels = cells.groupBy("dow_monday", "surge_multiplier").agg(F.sum("trips").alias("trips"))
+    levels = surge_level_trips(cells, "dow_monday")
     quarters = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
     quartiles = levels.withColumn(
         "q",
@@ -154,7 +130,7 @@ def surge_box_by_day(cells: DataFrame) -> DataFrame:
 
 def surge_share(cells: DataFrame) -> DataFrame:
     """Trips and percentage for each surge level."""
-    levels = cells.groupBy("surge_multiplier").agg(F.sum("trips").alias("trips"))
+    levels = surge_level_trips(cells)
     # The unpartitioned frame covers one row per level.
     total = F.sum("trips").over(W.partitionBy())
     return levels.withColumn("share_pct", F.col("trips") * 100.0 / total).orderBy("surge_multiplier")
@@ -169,7 +145,7 @@ def surge_heatmap(cells: DataFrame) -> DataFrame:
     """Mean surge per (day, hour) that has trips."""
     return (
         cells.groupBy("dow_monday", "hour")
-        .agg(_mean_surge().alias("avg_surge"))
+        .agg(mean_surge().alias("avg_surge"))
         .withColumn("day_name", calendar.day_name(F.col("dow_monday")))
         .orderBy("dow_monday", "hour")
     )
@@ -183,7 +159,7 @@ def surge_heatmap_pivot(cells: DataFrame, all_days: bool = True) -> DataFrame:
     pivoted = (
         cells.groupBy("dow_monday")
         .pivot("hour", list(HOURS))
-        .agg(_mean_surge())
+        .agg(mean_surge())
         .toDF("dow_monday", *[f"h{hour:02d}" for hour in HOURS])
     )
     if all_days:
@@ -196,7 +172,7 @@ def weekday_weekend_hourly(cells: DataFrame) -> DataFrame:
     """Hourly mean surge of weekdays and of weekends."""
     return (
         cells.groupBy("is_weekend", "hour")
-        .agg(_mean_surge().alias("avg_surge"))
+        .agg(mean_surge().alias("avg_surge"))
         .withColumn("day_type", calendar.day_type(F.col("is_weekend")))
         .orderBy("is_weekend", "hour")
     )

@@ -1,4 +1,4 @@
-"""Batch job: raw trips to stored features and the demand reports."""
+"""Batch job: raw trips to stored features, stored cells and the demand reports."""
 
 from __future__ import annotations
 
@@ -8,12 +8,12 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidefare.operators import demand, trips
-from tidefare.sinks.tables import write_features
+from tidefare.operators.cells import trip_cells
+from tidefare.sinks.tables import write_cells, write_features
 from tidefare.sources.trips import read_features
 
-REPORTS = {
+CELL_REPORTS = {
     "surge_by_hour": demand.surge_by_hour,
-    "top_pickup_areas": demand.top_pickup_areas,
     "weekend_vs_weekday": demand.weekend_vs_weekday,
     "surge_percentiles": demand.surge_percentiles,
     "peak_hour_windows": demand.peak_hour_windows,
@@ -25,26 +25,36 @@ class BatchResult:
     raw_rows: int
     clean_rows: int
     features: DataFrame
+    cells: DataFrame
     reports: dict[str, DataFrame]
 
 
 def run_batch(
-    raw: DataFrame, features_path: str, *keys: str, view: str = "trips", partition_by: str | None = None
+    raw: DataFrame, out: str, *keys: str, view: str = "trips", partition_by: str | None = None
 ) -> BatchResult:
-    """Write features in one pass over the raw trips, then report from the stored columns.
+    """Write `out`/features in one pass over the raw trips, then `out`/cells from six of its columns.
 
-    The row counts are observed during the write, so counting costs no scan of its own. The
-    stored table is also registered as a view for SQL.
+    The row counts are observed during the first write, so counting costs no scan of its own.
+    The reports read the cells; only the pickup areas need the stored trips again. The feature
+    table is also registered as a view for SQL.
     """
+    spark = raw.sparkSession
+    features_path, cells_path = f"{out}/features", f"{out}/cells"
     raw_seen, clean_seen = Observation("raw"), Observation("clean")
     counted = raw.observe(raw_seen, F.count(F.lit(1)).alias("rows"))
     kept = trips.labelled_trips(counted).observe(clean_seen, F.count(F.lit(1)).alias("rows"))
     write_features(trips.feature_table(kept, *keys), features_path, partition_by)
-    features = read_features(raw.sparkSession, features_path, *keys)
+    features = read_features(spark, features_path, *keys)
     features.createOrReplaceTempView(view)
+    write_cells(trip_cells(features), cells_path)
+    cells = spark.read.parquet(cells_path)
     return BatchResult(
         raw_rows=raw_seen.get["rows"],
         clean_rows=clean_seen.get["rows"],
         features=features,
-        reports={name: report(features) for name, report in REPORTS.items()},
+        cells=cells,
+        reports={
+            "top_pickup_areas": demand.top_pickup_areas(features),
+            **{name: report(cells) for name, report in CELL_REPORTS.items()},
+        },
     )

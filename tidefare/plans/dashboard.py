@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidefare.operators import dashboard, fares, predictions
+from tidefare.operators.cells import trip_cells
 from tidefare.operators.dashboard import FilterSpec
 from tidefare.operators.sampling import seeded_sample
 from tidefare.sources.tables import cached_table
@@ -12,7 +13,7 @@ from tidefare.sources.tables import cached_table
 
 def stored_cells(spark: SparkSession, trips: DataFrame, path: str) -> DataFrame:
     """The cells at `path`, reduced from the trips the first time."""
-    return cached_table(spark, path, lambda: dashboard.trip_cells(trips).coalesce(1))
+    return cached_table(spark, path, lambda: trip_cells(trips).repartition(1))
 
 
 def cell_datasets(cells: DataFrame, spec: FilterSpec | None = None) -> dict[str, DataFrame]:

@@ -22,6 +22,11 @@ def write_features(features: DataFrame, path: str, partition_by: str | None = No
         gathered.write.mode("overwrite").partitionBy(partition_by).parquet(path)
 
 
+def write_cells(cells: DataFrame, path: str) -> None:
+    """Overwrite the stored cells with one small file, made after the distributed aggregation."""
+    cells.repartition(1).write.mode("overwrite").parquet(path)
+
+
 def write_predictions_csv(scored: DataFrame, path: str, *keys: str, n: int = 5000) -> None:
     """Overwrite a seeded sample of predictions as CSV with a header."""
     sample = seeded_sample(scored, n, *keys)
