@@ -69,8 +69,11 @@ def block_sample(
 
     `position` is a unique row number (within `file`, if given), so no block can outgrow
     `block_rows`. The rank limit runs inside each map task before the shuffle, which then
-    carries about per_block / block_rows of the input.
+    carries about per_block / block_rows of the input. `max_blocks` keeps the first blocks of
+    a table with one numbering.
     """
+    if file is not None and max_blocks is not None:
+        raise ValueError("max_blocks needs positions that run through the whole table")
     session = rows.sparkSession
     if per_block >= int(session.conf.get(_GROUP_LIMIT_SETTING, "1000")):
         session.conf.set(_GROUP_LIMIT_SETTING, str(per_block + 1))

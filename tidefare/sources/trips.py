@@ -49,3 +49,12 @@ def read_trips_parquet(spark: SparkSession, path: str | list[str], *keys: str) -
 def read_features(spark: SparkSession, path: str, *extra: str) -> DataFrame:
     """Stored features; column choice and filters reach the Parquet scan."""
     return spark.read.parquet(path).select(*extra, *FEATURE_COLUMNS)
+
+
+def read_positioned(spark: SparkSession, path: str) -> DataFrame:
+    """A Parquet table with each row's `source_file` and its `source_row` within that file."""
+    return spark.read.parquet(path).select(
+        "*",
+        F.col("_metadata.file_path").alias("source_file"),
+        F.col("_metadata.row_index").alias("source_row"),
+    )
