@@ -33,4 +33,6 @@ def axis_limits(predictions: DataFrame, pad: float = 0.1) -> DataFrame:
 
 
 def prediction_columns(scored: DataFrame, *keys: str) -> DataFrame:
-    return scored.select(*keys, *PREDICTIONS.fieldNames())
+    """The stored prediction columns, after any key columns that are not among them."""
+    stored = PREDICTIONS.fieldNames()
+    return scored.select(*[key for key in keys if key not in stored], *stored)

@@ -38,8 +38,12 @@ def seeded_sample(rows: DataFrame, n: int, *keys: str, seed: int = DEFAULT_SEED)
     where the n-th place lies; the second pass sorts just the rows up to there. `keys` should
     tell rows apart.
     """
-    place = sample_key(seed, *keys)
-    counts = rows.groupBy(_leading_part(place).alias("part")).agg(F.count(F.lit(1)).alias("rows"))
+    # A generator's output is computed once per row; a plain column would be hashed again
+    # wherever the filter mentions it.
+    placed = rows.select("*", F.explode(F.array(sample_key(seed, *keys))).alias("sample_place"))
+    part = _leading_part(F.col("sample_place"))
+    counts = placed.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("rows"))
+    # The unpartitioned frame covers one row per leading part.
     running = F.sum("rows").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, 0))
     cut = (
         counts.withColumn("seen", running)
@@ -48,8 +52,7 @@ def seeded_sample(rows: DataFrame, n: int, *keys: str, seed: int = DEFAULT_SEED)
     )
     # "g" sorts after every hex digit: with fewer than n rows in all, nothing is cut.
     return (
-        rows.withColumn("sample_place", place)
-        .filter(_leading_part(F.col("sample_place")) <= F.coalesce(cut.scalar(), F.lit("g")))
+        placed.filter(part <= F.coalesce(cut.scalar(), F.lit("g")))
         .orderBy("sample_place", *keys)
         .limit(n)
         .drop("sample_place")

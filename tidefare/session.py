@@ -16,6 +16,7 @@ SESSION_DEFAULTS = {
     "spark.sql.optimizer.windowGroupLimitThreshold": "20000",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 _local_scratch: dict[str, str] = {}
