@@ -60,9 +60,9 @@ def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trips_from_events(events(spark, sf_dir))
 
 
-def raw_trips_as_exported(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw trips under the exported names, with times as text to the microsecond."""
-    return raw_trips(spark, sf_dir).select(
+def exported(trips: DataFrame) -> DataFrame:
+    """Trips under the exported names, with times as text to the microsecond."""
+    return trips.select(
         F.col("pickup_dt").cast("string").alias("tpep_pickup_datetime"),
         F.col("dropoff_dt").cast("string").alias("tpep_dropoff_datetime"),
         "trip_id", "trip_distance", "fare_amount", "passenger_count",
@@ -70,6 +70,10 @@ def raw_trips_as_exported(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def raw_trips_as_exported(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exported(raw_trips(spark, sf_dir))
+
+
 def clean_labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return labelled_trips(raw_trips(spark, sf_dir))
 

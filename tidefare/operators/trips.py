@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -60,9 +63,7 @@ def cleaning_rules() -> dict[str, Column]:
 
 def clean(trips: DataFrame) -> DataFrame:
     """Keep the trips that meet every cleaning rule."""
-    for rule in cleaning_rules().values():
-        trips = trips.filter(rule)
-    return trips
+    return trips.filter(reduce(and_, cleaning_rules().values()))
 
 
 def labelled_trips(trips: DataFrame) -> DataFrame:
@@ -94,13 +95,11 @@ def with_day_names(trips: DataFrame) -> DataFrame:
 
 def clean_audit(trips: DataFrame, in_train: Column | None = None) -> DataFrame:
     """Raw, clean and per-rule rejected counts in one pass; train and test counts if a split is given."""
-    rules = cleaning_rules()
-    passed = F.lit(True)
-    for rule in rules.values():
-        passed = passed & F.coalesce(rule, F.lit(False))
+    met = {name: F.coalesce(rule, F.lit(False)) for name, rule in cleaning_rules().items()}
+    passed = reduce(and_, met.values())
     counts = {"raw_rows": F.count(F.lit(1)), "clean_rows": F.count_if(passed)}
-    for name, rule in rules.items():
-        counts[f"rejected_{name}"] = F.count_if(~F.coalesce(rule, F.lit(False)))
+    for name, rule in met.items():
+        counts[f"rejected_{name}"] = F.count_if(~rule)
     if in_train is not None:
         counts["train_rows"] = F.count_if(passed & in_train)
         counts["test_rows"] = F.count_if(passed & ~in_train)
