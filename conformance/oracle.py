@@ -13,8 +13,13 @@ def half_up(expression: str, digits: int) -> str:
     )
 
 
+def steady(expression: str, digits: int) -> str:
+    """Nine decimals first, so that the order of summation cannot decide a tie."""
+    return half_up(half_up(expression, 9), digits)
+
+
 def six(expression: str) -> str:
-    return half_up(expression, 6)
+    return steady(expression, 6)
 
 
 def _longitude(shift: int) -> str:
@@ -245,7 +250,7 @@ priced AS (
 
 
 def _report_means(*columns: tuple[str, int, str]) -> str:
-    return ", ".join(f"{half_up(f'avg({column})', digits)} AS {name}" for column, digits, name in columns)
+    return ", ".join(f"{steady(f'avg({column})', digits)} AS {name}" for column, digits, name in columns)
 
 
 ORACLE: dict[str, str] = {
@@ -296,13 +301,13 @@ FROM clean GROUP BY day_type"""),
 SELECT quantile_disc(surge_multiplier, 0.25) AS p25, quantile_disc(surge_multiplier, 0.5) AS median,
   quantile_disc(surge_multiplier, 0.75) AS p75, quantile_disc(surge_multiplier, 0.9) AS p90,
   quantile_disc(surge_multiplier, 0.99) AS p99,
-  {half_up("avg(surge_multiplier)", 3)} AS mean,
-  {half_up("stddev_samp(surge_multiplier)", 3)} AS std_dev, max(surge_multiplier) AS max_surge
+  {steady("avg(surge_multiplier)", 3)} AS mean,
+  {steady("stddev_samp(surge_multiplier)", 3)} AS std_dev, max(surge_multiplier) AS max_surge
 FROM clean"""),
     "peak_hour_windows": _from_clean(f"""
 SELECT hour, day_of_week, count(*) AS trip_count, {_report_means(("surge_multiplier", 2, "avg_surge"))},
   {half_up("max(surge_multiplier)", 2)} AS max_surge,
-  {half_up("avg(avg_speed_mph)", 1)} AS avg_speed_mph
+  {steady("avg(avg_speed_mph)", 1)} AS avg_speed_mph
 FROM clean WHERE hour IN (7, 8, 9, 17, 18, 19, 22, 23, 0, 1)
 GROUP BY hour, day_of_week ORDER BY avg_surge DESC, hour, day_of_week LIMIT 20"""),
     "dashboard_filter": _from_clean(f"""

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from conformance import fixtures
+from tidefare.functions.numbers import steady_round
 from tidefare.operators import dashboard, demand, fares, predictions, regressor, sampling, trips
 from tidefare.operators.cells import trip_cells
 from tidefare.operators.dashboard import FilterSpec
@@ -36,7 +37,7 @@ VIEW = FilterSpec(
 
 
 def rounded(rows: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
-    return rows.withColumns({name: F.round(name, digits) for name in columns})
+    return rows.withColumns({name: steady_round(F.col(name), digits) for name in columns})
 
 
 def wall_clock(rows: DataFrame, *columns: str) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidefare.functions import calendar, trip
+from tidefare.functions.numbers import steady_round
 from tidefare.operators.cells import mean_of, mean_surge, surge_level_trips
 
 # The hours of the peak-window report.
@@ -24,9 +25,9 @@ def surge_by_hour(cells: DataFrame, top: int = 10) -> DataFrame:
     return (
         cells.groupBy("hour")
         .agg(
-            F.round(mean_surge(), 3).alias("avg_surge"),
-            F.round(mean_of("fare"), 2).alias("avg_fare"),
-            F.round(mean_of("distance"), 2).alias("avg_distance"),
+            steady_round(mean_surge(), 3).alias("avg_surge"),
+            steady_round(mean_of("fare"), 2).alias("avg_fare"),
+            steady_round(mean_of("distance"), 2).alias("avg_distance"),
             F.sum("trips").alias("trip_count"),
         )
         .orderBy(F.desc("avg_surge"), "hour")
@@ -43,8 +44,8 @@ def top_pickup_areas(trips: DataFrame, top: int = 15) -> DataFrame:
         )
         .agg(
             F.count(F.lit(1)).alias("total_trips"),
-            F.round(F.avg("surge_multiplier"), 3).alias("avg_surge"),
-            F.round(F.avg("fare_amount"), 2).alias("avg_fare"),
+            steady_round(F.avg("surge_multiplier"), 3).alias("avg_surge"),
+            steady_round(F.avg("fare_amount"), 2).alias("avg_fare"),
         )
         .orderBy(F.desc("total_trips"), "area_lon", "area_lat")
         .limit(top)
@@ -56,10 +57,10 @@ def weekend_vs_weekday(cells: DataFrame) -> DataFrame:
     return (
         cells.groupBy("is_weekend")
         .agg(
-            F.round(mean_surge(), 3).alias("avg_surge"),
-            F.round(mean_of("fare"), 2).alias("avg_fare"),
-            F.round(mean_of("distance"), 2).alias("avg_distance"),
-            F.round(mean_of("duration"), 1).alias("avg_duration_min"),
+            steady_round(mean_surge(), 3).alias("avg_surge"),
+            steady_round(mean_of("fare"), 2).alias("avg_fare"),
+            steady_round(mean_of("distance"), 2).alias("avg_distance"),
+            steady_round(mean_of("duration"), 1).alias("avg_duration_min"),
             F.sum("trips").alias("total_trips"),
         )
         .select(
@@ -93,8 +94,8 @@ def surge_percentiles(cells: DataFrame) -> DataFrame:
     variance = F.try_divide(F.sum(off_mean * off_mean * trips), F.sum(trips) - 1)
     return levels.agg(
         *[_at_fraction(fraction).alias(name) for name, fraction in REPORT_PERCENTILES.items()],
-        F.round(F.max("mean"), 3).alias("mean"),
-        F.round(F.sqrt(variance), 3).alias("std_dev"),
+        steady_round(F.max("mean"), 3).alias("mean"),
+        steady_round(F.sqrt(variance), 3).alias("std_dev"),
         F.max("surge_multiplier").alias("max_surge"),
     )
 
@@ -106,9 +107,9 @@ def peak_hour_windows(cells: DataFrame, top: int = 20) -> DataFrame:
         .groupBy("hour", "day_of_week")
         .agg(
             F.sum("trips").alias("trip_count"),
-            F.round(mean_surge(), 2).alias("avg_surge"),
+            steady_round(mean_surge(), 2).alias("avg_surge"),
             F.round(F.max("surge_multiplier"), 2).alias("max_surge"),
-            F.round(mean_of("speed"), 1).alias("avg_speed_mph"),
+            steady_round(mean_of("speed"), 1).alias("avg_speed_mph"),
         )
         .orderBy(F.desc("avg_surge"), "hour", "day_of_week")
         .limit(top)
