@@ -42,27 +42,67 @@ def test_batch_counts_and_schema(batch):
     assert batch.features.drop("trip_id").dtypes == [(f.name, f.dataType.simpleString()) for f in FEATURES]
 
 
-def test_batch_reports_equal_plain_sql_on_the_view(spark, batch):
-    by_hour = spark.sql("""
-        SELECT hour, round(avg(surge_multiplier), 3) AS avg_surge, round(avg(fare_amount), 2) AS avg_fare,
-               round(avg(trip_distance), 2) AS avg_distance, count(*) AS trip_count
-        FROM trips GROUP BY hour ORDER BY avg_surge DESC, hour LIMIT 10""")
-    assert batch.reports["surge_by_hour"].collect() == by_hour.collect()
-    areas = spark.sql("""
-        SELECT round(pickup_longitude, 2) AS area_lon, round(pickup_latitude, 2) AS area_lat,
-               count(*) AS total_trips, round(avg(surge_multiplier), 3) AS avg_surge,
-               round(avg(fare_amount), 2) AS avg_fare
-        FROM trips GROUP BY 1, 2 ORDER BY total_trips DESC, area_lon, area_lat LIMIT 15""")
-    assert batch.reports["top_pickup_areas"].collect() == areas.collect()
-    percentiles = spark.sql("""
-        SELECT percentile_approx(surge_multiplier, 0.25) AS p25, percentile_approx(surge_multiplier, 0.50) AS median,
-               percentile_approx(surge_multiplier, 0.75) AS p75, percentile_approx(surge_multiplier, 0.90) AS p90,
-               percentile_approx(surge_multiplier, 0.99) AS p99, round(avg(surge_multiplier), 3) AS mean,
-               round(stddev(surge_multiplier), 3) AS std_dev, max(surge_multiplier) AS max_surge
-        FROM trips""")
-    assert batch.reports["surge_percentiles"].collect() == percentiles.collect()
-    assert batch.reports["weekend_vs_weekday"].count() == 2
-    assert batch.reports["peak_hour_windows"].count() == 20
+def test_batch_reports_against_brute_force(batch, clean_rows):
+    def grouped(rows, *keys):
+        groups = defaultdict(list)
+        for row in rows:
+            groups[tuple(row[key] for key in keys)].append(row)
+        return groups
+
+    def close(found, rows, column, digits):
+        exact = math.fsum(row[column] for row in rows) / len(rows)
+        return abs(found - exact) <= 0.5 * 10 ** -digits + 1e-9
+
+    by_hour = grouped(clean_rows, "hour")
+    found = batch.reports["surge_by_hour"].collect()
+    surges = [row.avg_surge for row in found]
+    assert len(found) == 10 and surges == sorted(surges, reverse=True)
+    top = sorted((math.fsum(r["surge_multiplier"] for r in rows) / len(rows) for rows in by_hour.values()))
+    assert abs(min(surges) - top[-10]) < 0.001
+    for row in found:
+        rows = by_hour[(row.hour,)]
+        assert row.trip_count == len(rows)
+        assert close(row.avg_surge, rows, "surge_multiplier", 3)
+        assert close(row.avg_fare, rows, "fare_amount", 2)
+        assert close(row.avg_distance, rows, "trip_distance", 2)
+
+    placed = [r | {"x": round(r["pickup_longitude"], 2), "y": round(r["pickup_latitude"], 2)} for r in clean_rows]
+    areas = batch.reports["top_pickup_areas"].collect()
+    counts = Counter((r["x"], r["y"]) for r in placed)
+    assert [row.total_trips for row in areas] == sorted(counts.values(), reverse=True)[:15]
+
+    for row in batch.reports["weekend_vs_weekday"].collect():
+        rows = grouped(clean_rows, "day_type")[(row.day_type,)]
+        assert row.total_trips == len(rows)
+        assert close(row.avg_surge, rows, "surge_multiplier", 3)
+        assert close(row.avg_duration_min, rows, "trip_duration_min", 1)
+
+    windows = batch.reports["peak_hour_windows"].collect()
+    cells = grouped(clean_rows, "hour", "day_of_week")
+    assert len(windows) == 20
+    for row in windows:
+        rows = cells[(row.hour, row.day_of_week)]
+        assert row.hour in {0, 1, 7, 8, 9, 17, 18, 19, 22, 23}
+        assert row.trip_count == len(rows)
+        assert row.max_surge == max(r["surge_multiplier"] for r in rows)
+        assert close(row.avg_speed_mph, rows, "avg_speed_mph", 1)
+
+
+def test_percentiles_equal_the_approximate_ones(batch):
+    fractions = [0.25, 0.5, 0.75, 0.9, 0.99]
+    sketch = batch.features.agg(
+        F.percentile_approx("surge_multiplier", fractions), F.stddev("surge_multiplier")
+    ).first()
+    row = batch.reports["surge_percentiles"].first()
+    assert [row.p25, row.median, row.p75, row.p90, row.p99] == sketch[0]
+    assert math.isclose(row.std_dev, sketch[1], abs_tol=0.0005)
+
+
+def test_the_view_answers_sql(spark, batch):
+    busy = spark.sql("SELECT count(*) AS n FROM trips WHERE surge_multiplier >= 2.5 AND is_weekend = 0")
+    assert busy.first().n == batch.cells.filter("surge_multiplier >= 2.5 AND is_weekend = 0").agg(
+        F.sum("trips")
+    ).first()[0]
 
 
 def test_reports_of_one_trip_and_of_none(spark, batch):

@@ -94,9 +94,11 @@ def test_an_updated_window_replaces_its_older_version(spark, tmp_path):
         [request("2024-01-01T10:01:00", ride_requests=5)],
         [request("2024-01-01T10:02:00", ride_requests=100)],
     ])
-    run_windows(spark, folder, tmp_path)
+    run_windows(spark, folder, tmp_path, files=1)
     stored = spark.read.parquet(str(tmp_path / "windows"))
     assert stored.count() == 2
+    # Two batches of rows and the empty one that closes old windows, a file each.
+    assert len(stored.inputFiles()) == len(list((tmp_path / "windows").iterdir())) == 3
     row = streams.latest_windows(spark, str(tmp_path / "windows")).collect()
     assert [(r.total_requests, r.avg_drivers, r.demand_supply_ratio, r.surge_multiplier) for r in row] == [
         (105, 5.0, 21.0, 3.5)

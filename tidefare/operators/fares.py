@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidefare.operators.sampling import DEFAULT_SEED, seeded_sample
 
+# The range of the fare plot.
 MAX_FARE = 60
 MAX_DISTANCE = 20
 

@@ -18,10 +18,11 @@ def start_window_surge(
     trigger: str | None = "15 seconds",
     width: str = WINDOW,
     lateness: str = LATENESS,
+    files: int | None = None,
 ) -> StreamingQuery:
     """Windowed surge per zone, upserted under `path`."""
-    requests = valid_requests(parse_requests(messages))
-    return streams.upsert_windows(window_surge(requests, width, lateness), path, checkpoint, trigger)
+    windows = window_surge(valid_requests(parse_requests(messages)), width, lateness)
+    return streams.upsert_windows(windows, path, checkpoint, trigger, files)
 
 
 def start_event_surge_files(

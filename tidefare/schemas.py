@@ -2,12 +2,12 @@
 
 from pyspark.sql import types as T
 
-# Columns of the raw trip table, in the library's order.
+# Columns of the raw trip table.
 TRIP_TIMES = ("tpep_pickup_datetime", "tpep_dropoff_datetime")
 TRIP_MEASURES = ("trip_distance", "fare_amount")
 TRIP_COORDINATES = ("pickup_longitude", "pickup_latitude", "dropoff_longitude", "dropoff_latitude")
 
-# Columns of the stored feature table, in order.
+# Columns of the stored feature table, in order.
 FEATURE_COLUMNS = (
     "hour", "day_of_week", "month", "is_weekend",
     "trip_distance", "passenger_count", "trip_duration_min", "avg_speed_mph",
@@ -25,7 +25,7 @@ FEATURES = T.StructType([
     for name in FEATURE_COLUMNS
 ])
 
-# One ride-request message. The last three fields are optional in the feed.
+# One ride-request message. The last three fields are optional in the feed.
 RIDE_REQUEST = T.StructType([
     T.StructField("timestamp", T.StringType()),
     T.StructField("zone", T.StringType()),
@@ -39,7 +39,7 @@ RIDE_REQUEST = T.StructType([
     T.StructField("event_id", T.StringType()),
 ])
 
-# One priced event, as published.
+# One priced event, as published.
 PRICED_EVENT = T.StructType([
     T.StructField("timestamp", T.StringType()),
     T.StructField("zone", T.StringType()),

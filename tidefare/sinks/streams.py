@@ -16,16 +16,22 @@ def _triggered(writer, trigger: str | None):
 
 
 def upsert_windows(
-    windows: DataFrame, path: str, checkpoint: str, trigger: str | None = "15 seconds"
+    windows: DataFrame,
+    path: str,
+    checkpoint: str,
+    trigger: str | None = "15 seconds",
+    files: int | None = None,
 ) -> StreamingQuery:
     """Keep the changed windows of each micro-batch under their batch number.
 
     Rewriting a batch replaces its own folder, so a replay after a failure changes nothing.
-    `latest_windows` reads the newest version of every window.
+    `latest_windows` reads the newest version of every window. A batch is written in `files`
+    files, or else in one per state partition.
     """
 
     def keep(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        rows = batch if files is None else batch.repartition(files)
+        rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     writer = windows.writeStream.outputMode("update").foreachBatch(keep)
     return _triggered(writer.option("checkpointLocation", checkpoint), trigger).start()
