@@ -27,7 +27,7 @@ def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _with_k(rows: DataFrame) -> DataFrame:
     """Add the integer `k` of `props`; as a generator's output it is read once per row."""
-    number = F.regexp_extract("props", r'"k":\s*(-?\d+)', 1).cast("int")
+    number = F.regexp_extract("props", r'"k":\s*(-?\d+)', 1).try_cast("int")
     return rows.select("*", F.explode(F.array(number)).alias("k"))
 
 

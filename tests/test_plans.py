@@ -266,6 +266,10 @@ def test_stored_sample_from_csv(spark, gate):
     # 4 files of 2,500 rows: three blocks each, 100 rows from every block before cleaning.
     assert 700 < found.count() < 1200
     assert stored_sample(spark, "no such file", copy, sample).count() == found.count()
+    again = stored_sample(
+        spark, csv, scratch_path(spark, "copy"), scratch_path(spark, "sample"), 1000, 100
+    )
+    assert again.exceptAll(found).count() == found.exceptAll(again).count() == 0
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - WRITES_OR_FITS))

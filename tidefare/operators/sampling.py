@@ -6,6 +6,8 @@ retry or file layout.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -67,13 +69,15 @@ def block_sample(
     max_blocks: int | None = None,
     seed: int = DEFAULT_SEED,
     file: str | None = None,
+    place_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """Up to `per_block` rows of every block of `block_rows` consecutive positions.
 
     `position` is a unique row number (within `file`, if given), so no block can outgrow
     `block_rows`. The rank limit runs inside each map task before the shuffle, which then
     carries about per_block / block_rows of the input. `max_blocks` keeps the first blocks of
-    a table with one numbering.
+    a table with one numbering. Rows are drawn by file and position, or by `place_by` where
+    file names do not last.
     """
     if file is not None and max_blocks is not None:
         raise ValueError("max_blocks needs positions that run through the whole table")
@@ -82,7 +86,7 @@ def block_sample(
         session.conf.set(_GROUP_LIMIT_SETTING, str(per_block + 1))
     if max_blocks is not None:
         rows = rows.filter(F.col(position) < max_blocks * block_rows)
-    keys = [file, position] if file else [position]
+    keys = place_by or ([file, position] if file else [position])
     blocks = [*([file] if file else []), "sample_block"]
     order = W.partitionBy(*blocks).orderBy("sample_place", position)
     return (

@@ -27,8 +27,10 @@ def stored_sample(
     def build() -> DataFrame:
         cached_table(spark, trips_path, lambda: read_trips_csv(spark, csv_path))
         positioned = read_positioned(spark, trips_path)
+        # Part files get new names in every copy; the trips themselves stay the same.
+        lasting = [name for name in positioned.columns if name != "source_file"]
         picked = block_sample(
-            positioned, "source_row", block_rows, per_block, file="source_file"
+            positioned, "source_row", block_rows, per_block, file="source_file", place_by=lasting
         )
         return feature_table(labelled_trips(picked))
 
