@@ -8,12 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidefare.llm import ftrl_toxicity, mixing, packing, ppm_language, repetition
+from tidefare.llm import ftrl_toxicity, html_blocks, lz_fingerprint, mixing, packing, ppm_language, repetition
 from tidefare.llm.common import remainder_of_crc, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_lz_fingerprint(spark, sf_dir):
+    return lz_fingerprint.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op2_ppm_language(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").withColumn("held_out", remainder_of_crc("doc_id", 3) == 1)
     model = ppm_language.fit(docs.where(~F.col("held_out")))
@@ -29,6 +33,10 @@ def op3_ftrl_toxicity(spark, sf_dir):
     return ftrl_toxicity.score(docs, weights).select("doc_id", held_out, "score", "predicted")
 
 
+def op5_block_tree(spark, sf_dir):
+    return html_blocks.extract(table(spark, sf_dir, "pages"))
+
+
 def op6_cost_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -43,5 +51,5 @@ def op10_water_filling(spark, sf_dir):
 
 QUERIES: dict[str, Query] = {
     query.__name__: query
-    for query in (op2_ppm_language, op3_ftrl_toxicity, op6_cost_packing, op7_suffix_repetition, op10_water_filling)
+    for query in (op1_lz_fingerprint, op2_ppm_language, op3_ftrl_toxicity, op5_block_tree, op6_cost_packing, op7_suffix_repetition, op10_water_filling)
 }
