@@ -81,6 +81,9 @@ LABELLED = (
     # articles with many references in the running text
     ((1, 1, 4, 0, 1), (1, 0, 30, 9, 1), (1, 0, 52, 15, 1), (1, 0, 12, 4, 1), (1, 0, 25, 7, 1), (1, 0, 9, 5, 0), (-1, 0, 8, 2, 0)),
     ((0, 0, 2, 2, 0), (0, 1, 6, 0, 1), (0, 0, 60, 18, 1), (0, 0, 44, 12, 1), (0, 0, 35, 11, 1), (0, 0, 7, 4, 0), (0, 0, 3, 2, 0)),
+    # pages that end with their text
+    ((-1, 0, 2, 2, 0), (1, 1, 5, 0, 1), (1, 0, 30, 0, 1), (1, 0, 12, 0, 1)), ((-1, 0, 3, 3, 0), (1, 0, 40, 0, 1)),
+    ((1, 1, 3, 0, 1), (1, 0, 2, 0, 1)), ((0, 1, 4, 0, 1), (0, 0, 22, 0, 1), (0, 0, 31, 1, 1)), ((0, 0, 25, 0, 1), (0, 0, 14, 0, 1)),
     # plain pages that end in, or begin with, lists of links
     ((0, 0, 1, 1, 0), (0, 0, 1, 1, 0), (0, 0, 26, 0, 1), (0, 0, 19, 0, 1), (0, 0, 15, 0, 1), (0, 0, 1, 1, 0), (0, 0, 1, 1, 0), (0, 0, 2, 0, 0)),
     ((0, 0, 2, 2, 0), (0, 1, 3, 0, 1), (0, 0, 16, 1, 1), (0, 0, 12, 0, 1), (0, 0, 3, 3, 0), (0, 0, 2, 2, 0), (0, 0, 3, 0, 0)),
