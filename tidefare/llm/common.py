@@ -7,7 +7,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,19 +63,6 @@ def utf8(batch: pa.RecordBatch, text: str = "text") -> list[bytes]:
     return [value or b"" for value in column.cast(kind).to_pylist()]
 
 
-class WordHashes(dict):
-    """64-bit hashes of words, remembered for the words that come again."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
-
-
 def mixed(values: np.ndarray) -> np.ndarray:
     """A bijective scramble of unsigned 64-bit integers (fixed values: the splitmix64 constants)."""
     with np.errstate(over="ignore"):
@@ -92,6 +78,53 @@ def odd_multipliers(count: int, seed: int) -> np.ndarray:
     return mixed(steps) | np.uint64(1)
 
 
+class RunHashes:
+    """Hashes of runs of numbers as differences of one running sum: polynomials modulo 2**64 in a fixed odd base."""
+
+    def __init__(self, base: int = 0x9E3779B97F4A7C15):
+        self.base, self.inverse = base, pow(base, -1, 1 << 64)
+        self.powers = self.inverses = np.empty(0, np.uint64)
+
+    def of(self, values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        n = len(values)
+        if len(self.powers) < n + 1:
+            size = max(1 << 14, n + n // 4)
+            with np.errstate(over="ignore"):
+                self.powers = np.cumprod(np.r_[np.uint64(1), np.full(size, self.base, np.uint64)], dtype=np.uint64)
+                self.inverses = np.cumprod(np.r_[np.uint64(1), np.full(size, self.inverse, np.uint64)], dtype=np.uint64)
+        with np.errstate(over="ignore"):
+            sums = np.zeros(n + 1, np.uint64)
+            np.cumsum((values.astype(np.uint64) + np.uint64(1)) * self.powers[:n], out=sums[1:])
+            return mixed((sums[ends] - sums[starts]) * self.inverses[starts])
+
+
+#: Marks the bytes that separate words: 9 to 13 and 32.
+IS_SPACE = np.zeros(256, bool)
+IS_SPACE[[*range(9, 14), 32]] = True
+
+
+class Words:
+    """The words of some texts: their hashes, their places in `buffer`, and where each text's words begin."""
+
+    def __init__(self, texts: list[bytes], runs: RunHashes):
+        self.buffer = b"\n" + b"\n".join(texts) + b"\n"
+        data = np.frombuffer(self.buffer, np.uint8)
+        space = IS_SPACE[data]
+        edges = np.flatnonzero(space[1:] != space[:-1]) + 1
+        self.starts, self.ends = edges[::2], edges[1::2]
+        self.hashes = runs.of(data, self.starts, self.ends)
+        sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+        text_starts = 1 + np.cumsum(sizes + 1) - sizes - 1
+        self.first = np.r_[np.searchsorted(self.starts, text_starts), len(self.starts)]
+
+    def of(self, text: int) -> np.ndarray:
+        return self.hashes[self.first[text]:self.first[text + 1]]
+
+    @property
+    def counts(self) -> np.ndarray:
+        return np.diff(self.first)
+
+
 def window_hashes(hashes: np.ndarray, width: int, seed: int = 0) -> np.ndarray:
     """One hash for each run of `width` word hashes; the words' order counts."""
     n = len(hashes) - width + 1
@@ -102,3 +135,34 @@ def window_hashes(hashes: np.ndarray, width: int, seed: int = 0) -> np.ndarray:
         for k, factor in enumerate(odd_multipliers(width, seed)):
             total += hashes[k:k + n] * factor
     return mixed(total)
+
+
+def few(frame: DataFrame, most: int) -> bool:
+    """Whether a stored table has at most so many rows."""
+    return frame.limit(most + 1).count() <= most
+
+
+def joined(rows: DataFrame, stored_rows: DataFrame, on: str, most: int, how: str = "inner") -> DataFrame:
+    """`rows` joined with a stored table that is broadcast only if it is counted to have at most `most` rows."""
+    return rows.join(F.broadcast(stored_rows) if few(stored_rows, most) else stored_rows, on, how)
+
+
+def groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[tuple, dict[str, list]]]:
+    """Runs of rows with equal keys, as columns of values; the rows come sorted by the keys."""
+    current: tuple | None = None
+    held: dict[str, list] = {}
+    for batch in batches:
+        columns = {name: batch.column(name).to_pylist() for name in batch.schema.names}
+        names = list(zip(*(columns[name] for name in keys)))
+        start = 0
+        for row in range(1, len(names) + 1):
+            if row == len(names) or names[row] != names[start]:
+                if names[start] != current:
+                    if held:
+                        yield current, held
+                    current, held = names[start], {name: [] for name in columns}
+                for name, values in columns.items():
+                    held[name].extend(values[start:row])
+                start = row
+    if held:
+        yield current, held

@@ -1,8 +1,8 @@
 """Toxicity by FTRL-proximal logistic regression over hashed word n-grams and skip-grams.
 
 Features of a text are its distinct words, neighbouring pairs, and pairs with one word between, each
-hashed to one of 2**BITS coordinates; words are lower-cased in ASCII and lose ASCII punctuation at
-their ends. Training makes FTRL-proximal updates with a rate per coordinate; L1 leaves most weights
+hashed to one of 2**BITS coordinates; words are lower-cased in ASCII and end at ASCII punctuation or
+white space. Training makes FTRL-proximal updates with a rate per coordinate; L1 leaves most weights
 at zero, so the model is a short list of (coordinate, weight).
 
 The model is fitted on at most `PER_CLASS` labelled documents of each class, those of the smallest
@@ -26,23 +26,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidefare.llm.common import WordHashes, mixed, slices, utf8
+from tidefare.llm.common import RunHashes, Words, mixed, slices, utf8
 
 BITS = 20
 PER_CLASS = 3000
 EPOCHS = 8
 ALPHA, BETA, L1, L2 = 2.0, 1.0, 10.0, 0.1
 HEAVIER = 0.7
-PUNCTUATION = string.punctuation.encode()
+PLAIN = bytes(32 if chr(k) in string.punctuation else ord(chr(k).lower()) if k < 128 else k for k in range(256))
 
 
-class Vocabulary(WordHashes):
-    """Hashes of words without case and outer punctuation."""
-
-    def __missing__(self, word: bytes) -> int:
-        value = super().__missing__(word.lower().strip(PUNCTUATION))
-        self[word] = value
-        return value
+def plain_words(texts: list[bytes], runs: RunHashes) -> Words:
+    """Words of ASCII-lower-cased texts in which ASCII punctuation separates as white space does."""
+    return Words([text.translate(PLAIN) for text in texts], runs)
 
 
 def occurrences(hashes: np.ndarray, bits: int = BITS) -> np.ndarray:
@@ -97,10 +93,10 @@ def fit(docs: DataFrame, labels: DataFrame, bits: int = BITS, per_class: int = P
     """Non-zero weights by coordinate; they are few because of L1."""
 
     def whole_sample(rows: pd.DataFrame) -> pd.DataFrame:
-        words = Vocabulary()
+        runs = RunHashes()
         examples = []
         for _, row in rows.sort_values("doc_id").iterrows():
-            found = np.unique(occurrences(words.of((row["text"] or "").encode().split()), bits))
+            found = np.unique(occurrences(plain_words([(row["text"] or "").encode()], runs).of(0), bits))
             examples.append((np.append(found, 1 << bits).astype(np.int32), int(row["toxic"])))
         weights = train(examples, bits)
         return pd.DataFrame({"at": list(weights.keys()), "weight": list(weights.values())}).astype({"at": "int64", "weight": "float64"})
@@ -126,11 +122,12 @@ def score(docs: DataFrame, weights: dict[int, float], bits: int = BITS) -> DataF
         coordinates, values = shared.value
         dense = np.zeros((1 << bits) + 1, np.float32)
         dense[coordinates] = values
-        words = Vocabulary()
+        runs = RunHashes()
         for batch in slices(batches):
             margins = []
-            for text in utf8(batch):
-                found = occurrences(words.of(text.split()), bits)
+            words = plain_words(utf8(batch), runs)
+            for k in range(batch.num_rows):
+                found = occurrences(words.of(k), bits)
                 margins.append(float(dense[np.unique(found[dense[found] != 0])].sum(dtype=np.float64) + dense[-1]))
             result = 1 / (1 + np.exp(-np.clip(np.array(margins), -35, 35)))
             if not len(coordinates):

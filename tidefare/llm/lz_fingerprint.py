@@ -29,12 +29,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidefare.llm.common import mixed, shuffle_partitions, slices
+from tidefare.llm.common import RunHashes, shuffle_partitions, slices
 
 SIZE = 128
-#: An odd base for hashing runs of code points, and its inverse modulo 2**64.
-BASE = 0x9E3779B97F4A7C15
-INVERSE = pow(BASE, -1, 1 << 64)
 
 FINGERPRINTS = T.StructType([
     T.StructField("doc_id", T.LongType()),
@@ -79,24 +76,8 @@ def parse(text: str, at: int, known: set[str], ends: list[int]) -> int:
     return at
 
 
-class RunHashes:
-    """Hashes of runs of a text by differences of one running sum."""
-
-    def __init__(self):
-        self.powers = self.inverses = np.empty(0, np.uint64)
-
-    def of(self, text: str, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        n = len(text)
-        if len(self.powers) < n + 1:
-            size = max(1 << 14, 2 * n)
-            with np.errstate(over="ignore"):
-                self.powers = np.cumprod(np.r_[np.uint64(1), np.full(size, BASE, np.uint64)], dtype=np.uint64)
-                self.inverses = np.cumprod(np.r_[np.uint64(1), np.full(size, INVERSE, np.uint64)], dtype=np.uint64)
-        points = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.uint64)
-        with np.errstate(over="ignore"):
-            sums = np.zeros(n + 1, np.uint64)
-            np.cumsum((points + np.uint64(1)) * self.powers[:n], out=sums[1:])
-            return mixed((sums[ends] - sums[starts]) * self.inverses[starts])
+def code_points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le"), np.uint32)
 
 
 def smallest(hashes: np.ndarray, size: int = SIZE) -> np.ndarray:
@@ -127,7 +108,7 @@ class Walker:
 
     def hashed(self, text: str, ends: list[int]) -> np.ndarray:
         stops = np.array(ends, np.int64)
-        return self.runs.of(text, np.r_[0, stops[:-1]] if len(stops) else stops, stops)
+        return self.runs.of(code_points(text), np.r_[0, stops[:-1]] if len(stops) else stops, stops)
 
     def whole(self, text: str) -> np.ndarray:
         ends: list[int] = []
@@ -148,7 +129,7 @@ class Walker:
         shared = len(ends_then)
         parse(edited, at, known_then, ends_then)
         stops = np.array(ends_then[shared:], np.int64)
-        rest = self.runs.of(edited, np.r_[at, stops[:-1]] if len(stops) else stops, stops)
+        rest = self.runs.of(code_points(edited), np.r_[at, stops[:-1]] if len(stops) else stops, stops)
         return smallest(hashes, self.size), edited, smallest(np.concatenate([hashes[:shared], rest]), self.size)
 
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidefare.llm import ftrl_toxicity, html_blocks, lz_fingerprint, mixing, packing, ppm_language, repetition
+from tidefare.llm import ftrl_toxicity, html_blocks, lz_fingerprint, minhash, mixing, packing, ppm_language, repetition, suffix_groups
 from tidefare.llm.common import remainder_of_crc, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,11 +45,19 @@ def op7_suffix_repetition(spark, sf_dir):
     return repetition.repetition_rules(table(spark, sf_dir, "documents"))
 
 
+def op8_circulant_minhash(spark, sf_dir):
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=4)
+
+
+def op9_suffix_groups(spark, sf_dir):
+    return suffix_groups.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op10_water_filling(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents")).drop("copies")
 
 
 QUERIES: dict[str, Query] = {
     query.__name__: query
-    for query in (op1_lz_fingerprint, op2_ppm_language, op3_ftrl_toxicity, op5_block_tree, op6_cost_packing, op7_suffix_repetition, op10_water_filling)
+    for query in (op1_lz_fingerprint, op2_ppm_language, op3_ftrl_toxicity, op5_block_tree, op6_cost_packing, op7_suffix_repetition, op8_circulant_minhash, op9_suffix_groups, op10_water_filling)
 }

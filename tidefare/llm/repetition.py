@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidefare.llm.common import slices, utf8
+from tidefare.llm.common import RunHashes, Words, slices, utf8
 
 WINDOW = 8
 LEAST_WORDS = 20
@@ -108,23 +108,20 @@ def shared_prefixes(numbers: np.ndarray, window: int = WINDOW) -> np.ndarray:
     return longest
 
 
-def measured(texts: list[bytes], window: int = WINDOW) -> list[tuple]:
+def measured(texts: list[bytes], runs: RunHashes, window: int = WINDOW) -> list[tuple]:
     """(words, word characters, symbols, repeated lines, words in repeats, longest repeat, covered share of bytes) of each text."""
-    split = [text.split() for text in texts]
-    counts = np.array([len(words) for words in split], np.int64)
-    flat = [word for words in split for word in words]
-    numbers = {word: k for k, word in enumerate(dict.fromkeys(flat))}
+    words = Words(texts, runs)
+    counts, ends = words.counts, words.first[1:]
     # A word has another number in each text, so no common prefix joins or crosses two texts.
-    sequence = np.fromiter(map(numbers.__getitem__, flat), np.int64, len(flat))
-    sequence += np.repeat(np.arange(len(texts)) * len(numbers), counts)
-    ends = np.cumsum(counts)
+    with np.errstate(over="ignore"):
+        sequence = words.hashes + np.repeat(np.arange(len(texts), dtype=np.uint64), counts) * np.uint64(0xD1342543DE82EF95)
     longest = shared_prefixes(sequence, window)
     opened = np.zeros(len(sequence) + 1, np.int64)
     starts = np.flatnonzero(longest)
     np.add.at(opened, starts, 1)
     np.add.at(opened, starts + longest[starts], -1)
     covered = np.cumsum(opened)[:-1] > 0
-    sizes = np.fromiter(map(len, flat), np.int64, len(flat))
+    sizes = words.ends - words.starts
     rows = []
     for k, (text, end) in enumerate(zip(texts, ends)):
         first = end - counts[k]
@@ -149,9 +146,10 @@ def repetition_rules(docs: DataFrame, window: int = WINDOW, most_covered: float
     schema = pa.schema(list(zip(names, kinds)))
 
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        runs = RunHashes()
         for batch in slices(batches, most_bytes=ORDERED_BYTES):
             rows = []
-            for key, found in zip(batch.column("doc_id").to_pylist(), measured(utf8(batch), window)):
+            for key, found in zip(batch.column("doc_id").to_pylist(), measured(utf8(batch), runs, window)):
                 words, _, _, _, repeated, longest, share = found
                 failed = words < LEAST_WORDS or 100 * repeated > MOST_REPEATED_PERCENT * words
                 kept = not failed and share <= most_covered and longest <= max(LONGEST_WORDS, LONGEST_SHARE * words)
