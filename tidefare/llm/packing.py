@@ -19,6 +19,7 @@ empty table gives no rows. Columns other than the id and the text are not read.
 
 from __future__ import annotations
 
+import struct
 import unicodedata
 import zlib
 from collections.abc import Iterator
@@ -75,7 +76,14 @@ class WordTokens(dict):
             self.clear()
         text = word.decode("utf-8")
         if max(text) < "Ā" and "<|" not in text and not any("\x1c" <= c <= "\x1f" or c in "\x85\xa0" for c in text):
-            value = b"".join(map(self._piece, self.pattern.findall(unicodedata.normalize("NFC", text).lower())))
+            text = unicodedata.normalize("NFC", text).lower()
+            # Letters alone, or letters and one mark, need no pattern.
+            if text.isalpha():
+                value = self._piece(text)
+            elif text[-1] in ",.!" and text[:-1].isalpha():
+                value = self._piece(text[:-1]) + self._piece(text[-1])
+            else:
+                value = b"".join(map(self._piece, self.pattern.findall(text)))
         else:
             value = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         self[word] = value
@@ -86,8 +94,9 @@ class WordTokens(dict):
         if value is None:
             if len(self.pieces) >= CACHED_WORDS:
                 self.pieces.clear()
-            shown = piece.encode().decode("latin-1").translate(self.printable)
-            value = np.array([token.id for token in self.model.tokenize(shown)], "<u4").tobytes()
+            shown = piece if piece.isascii() and piece.isprintable() else piece.encode().decode("latin-1").translate(self.printable)
+            found = self.model.tokenize(shown)
+            value = struct.pack(f"<{len(found)}I", *(token.id for token in found))
             self.pieces[piece] = value
         return value
 
