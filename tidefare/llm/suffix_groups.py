@@ -2,7 +2,7 @@
 
 Every window of `WINDOW` words is the suffix that starts there, cut at that depth: below it a tree says
 nothing more about repeats. Suffixes are split into groups by prefixes of variable length. A count of
-all first and second words (as 12 and 8 bits of their hashes) finds the sizes; a run of first words
+all first and second words (as 10 and 6 bits of their hashes) finds the sizes; a run of first words
 makes a group while it is small enough, a frequent first word is split by its second words, and a
 frequent pair by ranges of the suffix's label, so that a group holds about `GROUP` suffixes whatever
 the corpus. In a group a suffix is its label, a 64-bit hash of its words, and its place. Sorted labels
@@ -39,7 +39,7 @@ WINDOW = 20
 #: Words in a task's block, and suffixes in a group.
 BLOCK = 3_000_000
 GROUP, LEAST_GROUP = 1_000_000, 20_000
-FIRST_BITS, SECOND_BITS = 12, 8
+FIRST_BITS, SECOND_BITS = 10, 6
 CELLS = 1 << (FIRST_BITS + SECOND_BITS)
 #: A slice of this many bytes is hashed at once (one longer text stands alone).
 HASHED_BYTES = 1 << 20
