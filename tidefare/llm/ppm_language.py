@@ -40,8 +40,8 @@ DOCUMENTS_PER_LANGUAGE = 1500
 LEAST_SEEN = 4
 UNKNOWN = "und"
 LETTER = regex.compile(r"\p{L}")
-#: A byte of ordinary text costs two to four bits; one that no language predicts costs eight or more.
-MOST_BITS_PER_BYTE = 6.5
+#: A text that no language codes in fewer bits than it has is rejected; ordinary text takes two to four bits a byte.
+MOST_BITS_PER_BYTE = 8.0
 
 
 @dataclass

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidefare.llm import ftrl_toxicity, html_blocks, lz_fingerprint, minhash, mixing, packing, ppm_language, repetition, suffix_groups
+from tidefare.llm import ftrl_toxicity, html_blocks, line_dedup, lz_fingerprint, minhash, mixing, packing, ppm_language, repetition, suffix_groups
 from tidefare.llm.common import remainder_of_crc, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,10 @@ def op3_ftrl_toxicity(spark, sf_dir):
     return ftrl_toxicity.score(docs, weights).select("doc_id", held_out, "score", "predicted")
 
 
+def op4_prefix_lines(spark, sf_dir):
+    return line_dedup.dedup_report(table(spark, sf_dir, "documents"))
+
+
 def op5_block_tree(spark, sf_dir):
     return html_blocks.extract(table(spark, sf_dir, "pages"))
 
@@ -59,5 +63,5 @@ def op10_water_filling(spark, sf_dir):
 
 QUERIES: dict[str, Query] = {
     query.__name__: query
-    for query in (op1_lz_fingerprint, op2_ppm_language, op3_ftrl_toxicity, op5_block_tree, op6_cost_packing, op7_suffix_repetition, op8_circulant_minhash, op9_suffix_groups, op10_water_filling)
+    for query in (op1_lz_fingerprint, op2_ppm_language, op3_ftrl_toxicity, op4_prefix_lines, op5_block_tree, op6_cost_packing, op7_suffix_repetition, op8_circulant_minhash, op9_suffix_groups, op10_water_filling)
 }

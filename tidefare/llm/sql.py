@@ -44,3 +44,36 @@ SELECT doc_id, size, source_size, target,
        (size * (repeats + CASE WHEN fraction > 0 AND through - here / 2.0 <= fraction THEN 1 ELSE 0 END))::BIGINT AS taken
 FROM running
 """
+
+# All pairs that share a token of their prefixes, verified on full sets; every earlier line counts.
+SQL["op4_prefix_lines"] = r"""
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line_no
+  FROM documents
+), worded AS (
+  SELECT row_number() OVER (ORDER BY doc_id NULLS FIRST, line_no) AS id, doc_id, line_no, line,
+         list_distinct(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS tokens
+  FROM lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
+), sets AS (SELECT tokens, MIN(id) AS id FROM (SELECT id, list_sort(tokens) AS tokens FROM worded) GROUP BY tokens
+), tokens AS (SELECT id, len(tokens) AS n, unnest(tokens) AS token FROM sets
+), ranked AS (
+  SELECT id, n, token, row_number() OVER (PARTITION BY id ORDER BY df, token) AS position
+  FROM tokens JOIN (SELECT token, COUNT(*) AS df FROM tokens GROUP BY token) USING (token)
+), prefixes AS (SELECT * FROM ranked WHERE position <= n - (4 * n + 4) // 5 + 1
+), pairs AS (
+  SELECT DISTINCT a.id AS earlier, b.id AS later FROM prefixes a JOIN prefixes b
+  ON a.token = b.token AND a.id < b.id AND 5 * a.n >= 4 * b.n AND 5 * b.n >= 4 * a.n
+), shared AS (
+  SELECT later, len(list_intersect(x.tokens, y.tokens)) AS in_both, len(x.tokens) + len(y.tokens) AS total
+  FROM pairs JOIN sets x ON x.id = earlier JOIN sets y ON y.id = later
+), matched AS (SELECT DISTINCT later AS id FROM shared WHERE 5 * in_both >= 4 * (total - in_both)
+), judged AS (
+  SELECT w.doc_id, w.line_no, w.id <> s.id OR EXISTS (SELECT 1 FROM matched m WHERE m.id = s.id) AS removed
+  FROM worded w JOIN sets s ON list_sort(w.tokens) = s.tokens
+)
+SELECT d.doc_id, COUNT(j.line_no)::BIGINT AS n_lines, COUNT(*) FILTER (WHERE j.removed)::BIGINT AS n_removed,
+       sha256(COALESCE(string_agg(l.line, chr(10) ORDER BY l.line_no) FILTER (WHERE l.line IS NOT NULL AND NOT COALESCE(j.removed, FALSE)), '')) AS kept_sha256
+FROM documents d LEFT JOIN lines l ON l.doc_id IS NOT DISTINCT FROM d.doc_id
+LEFT JOIN judged j ON j.doc_id IS NOT DISTINCT FROM l.doc_id AND j.line_no = l.line_no
+GROUP BY d.doc_id
+"""
