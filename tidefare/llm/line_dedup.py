@@ -206,8 +206,10 @@ def removed_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 def dedup_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The documents, with all their columns, without the removed lines in `text`."""
     kept = F.array_join(F.filter(F.split("text", "\n"), lambda line, k: ~F.array_contains("gone", k)), "\n")
-    rows = with_lists(docs, removed_lines(docs, percent))
-    return rows.select(*[F.when(F.col("gone").isNull(), F.col("text")).otherwise(kept).alias("text") if name == "text" else F.col(name) for name in docs.columns])
+    text = F.when(F.col("gone").isNull(), F.col("text")).otherwise(kept).alias("text")
+    others = F.struct(*(F.col(f"`{name}`") for name in docs.columns)).alias("row")
+    rows = with_lists(docs.select(others, "doc_id", "text"), removed_lines(docs, percent))
+    return rows.select(*(text if name == "text" else F.col(f"row.`{name}`") for name in docs.columns))
 
 
 def dedup_report(docs: DataFrame, percent: int = PERCENT) -> DataFrame:

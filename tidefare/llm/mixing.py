@@ -138,6 +138,7 @@ def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epo
     """The documents of the mix: each row as often as it is taken, with its own columns."""
     sizes = stored(measured(docs, seed).drop("doc_id"), "document-sizes")
     plan = source_plan(sizes, weights, max_epochs).select("source", "repeats", "below")
-    rows = with_small(docs.withColumn("place", place(seed=seed)), plan, check=True)
+    whole = F.struct(*(F.col(f"`{name}`") for name in docs.columns)).alias("row")
+    rows = with_small(docs.select(whole, "source", place(seed=seed).alias("place")), plan, check=True)
     times = F.transform(F.sequence(F.lit(1), F.lit(max_epochs)), lambda k: F.when(k <= _copies(), k))
-    return rows.withColumn("__copy", F.explode(F.array_compact(times))).select(*docs.columns)
+    return rows.withColumn("__copy", F.explode(F.array_compact(times))).select("row.*")
