@@ -122,14 +122,15 @@ def widen(data: memoryview, n: int, width: int) -> np.ndarray:
     return out.view("<u8").reshape(-1)
 
 
-def by_document(doc: np.ndarray, start: np.ndarray) -> Iterator[tuple[int, bytes]]:
-    """(doc, starts) from unordered pairs."""
-    order = np.argsort(doc, kind="stable")
-    doc, start = doc[order], start[order].astype("<i4")
-    cuts = np.r_[0, np.flatnonzero(doc[1:] != doc[:-1]) + 1, len(doc)]
-    for low, high in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+def by_bucket(doc: np.ndarray, start: np.ndarray, buckets: int) -> Iterator[tuple[int, int, bytes]]:
+    """(bucket of documents, n, n docs and n starts as bytes) from unordered pairs."""
+    bucket = (mixed(doc.astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    bucket, doc, start = bucket[order], doc[order].astype("<i8"), start[order].astype("<i4")
+    cuts = np.r_[0, np.flatnonzero(bucket[1:] != bucket[:-1]) + 1, len(bucket)].tolist()
+    for low, high in zip(cuts[:-1], cuts[1:]):
         if high > low:
-            yield int(doc[low]), start[low:high].tobytes()
+            yield int(bucket[low]), high - low, doc[low:high].tobytes() + start[low:high].tobytes()
 
 
 def later_leaves(label: np.ndarray, doc: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -139,12 +140,12 @@ def later_leaves(label: np.ndarray, doc: np.ndarray, start: np.ndarray) -> tuple
     return np.flatnonzero(new), np.flatnonzero(~new & ((doc != doc[head]) | (start != start[head])))
 
 
-SENT = "grp int, least long, n int, widths array<int>, doc long, payload binary"
-SENT_SCHEMA = pa.schema([("grp", pa.int32()), ("least", pa.int64()), ("n", pa.int32()), ("widths", pa.list_(pa.int32())), ("doc", pa.int64()), ("payload", pa.binary())])
+SENT = "grp int, least long, n int, widths array<int>, payload binary"
+SENT_SCHEMA = pa.schema([("grp", pa.int32()), ("least", pa.int64()), ("n", pa.int32()), ("widths", pa.list_(pa.int32())), ("payload", pa.binary())])
 
 
-def sent_blocks(docs: DataFrame, group_of: np.ndarray, splits: np.ndarray, window: int, block: int) -> DataFrame:
-    """Rows for the groups, and rows (payload starts, no widths) with the repeats that a block finds itself."""
+def sent_blocks(docs: DataFrame, group_of: np.ndarray, splits: np.ndarray, window: int, block: int, buckets: int) -> DataFrame:
+    """Rows for the groups and, with numbers below 0, the repeats that a block finds itself."""
     first_part = np.cumsum(splits) - splits
     shared = docs.sparkSession.sparkContext.broadcast((group_of.astype(np.int32), splits, first_part))
 
@@ -156,8 +157,8 @@ def sent_blocks(docs: DataFrame, group_of: np.ndarray, splits: np.ndarray, windo
         order = np.argsort(label, kind="stable")
         label, part, doc, start = label[order], part[order], doc[order], start[order]
         heads, repeats = later_leaves(label, doc, start)
-        for key, starts in by_document(doc[repeats], start[repeats]):
-            yield -1 - key % 1024, None, None, None, key, starts
+        for bucket, n, payload in by_bucket(doc[repeats], start[repeats], buckets):
+            yield -1 - bucket, None, n, None, payload
         label, part, doc, start = label[heads], part[heads], doc[heads], start[heads]
         order = np.argsort(part, kind="stable")
         label, part, doc, start = label[order], part[order], doc[order], start[order]
@@ -167,7 +168,7 @@ def sent_blocks(docs: DataFrame, group_of: np.ndarray, splits: np.ndarray, windo
                 own, least = label[low:high], int(doc[low:high].min())
                 steps = np.r_[own[:1], own[1:] - own[:-1]]
                 coded = [narrow(steps), narrow((doc[low:high] - least).astype(np.uint64)), narrow(start[low:high].astype(np.uint64))]
-                yield int(part[low]), least, high - low, [width for width, _ in coded], None, b"".join(data for _, data in coded)
+                yield int(part[low]), least, high - low, [width for width, _ in coded], b"".join(data for _, data in coded)
 
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cell_group, split, first = shared.value
@@ -202,13 +203,13 @@ def sent_blocks(docs: DataFrame, group_of: np.ndarray, splits: np.ndarray, windo
     return docs.select("doc_id", "text").mapInArrow(tasks, SENT)
 
 
-def found_repeats(sent: DataFrame) -> DataFrame:
-    """(doc, starts): windows that start earlier elsewhere; a document may have several rows."""
+def found_repeats(sent: DataFrame, buckets: int) -> DataFrame:
+    """(doc, repeats): where windows that stand earlier elsewhere start, once for each document that has any."""
 
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (group,), columns in groups(batches, ["grp"]):
             if group < 0:
-                rows = zip(columns["doc"], columns["payload"])
+                rows = [(-1 - group, n, payload) for n, payload in zip(columns["n"], columns["payload"])]
             else:
                 labels, docs, starts = [], [], []
                 for least, n, widths, payload in zip(columns["least"], columns["n"], columns["widths"], columns["payload"]):
@@ -227,13 +228,25 @@ def found_repeats(sent: DataFrame) -> DataFrame:
                 order = order[np.r_[False, same] | np.r_[same, False]]
                 order = order[np.lexsort((start[order], doc[order], label[order]))]
                 _, repeats = later_leaves(label[order], doc[order], start[order]) if len(order) else (order, order)
-                rows = by_document(doc[order[repeats]], start[order[repeats]])
-            rows = list(rows)
-            for low in range(0, len(rows), 5000):
-                some = list(zip(*rows[low:low + 5000]))
-                yield pa.RecordBatch.from_arrays([pa.array(some[0], pa.int64()), pa.array(some[1], pa.binary())], names=["doc", "starts"])
+                rows = list(by_bucket(doc[order[repeats]], start[order[repeats]], buckets))
+            if rows:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(column, kind) for column, kind in zip(zip(*rows), (pa.int32(), pa.int32(), pa.binary()))], names=["bucket", "n", "payload"]
+                )
+
+    def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, columns in groups(batches, ["bucket"]):
+            pairs = [(np.frombuffer(data, "<i8", n), np.frombuffer(data, "<i4", n, 8 * n)) for n, data in zip(columns["n"], columns["payload"])]
+            doc, start = map(np.concatenate, zip(*pairs))
+            order = np.argsort(doc, kind="stable")
+            doc, start = doc[order], start[order]
+            cuts = np.r_[0, np.flatnonzero(doc[1:] != doc[:-1]) + 1, len(doc)].tolist()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(doc[cuts[:-1]]), pa.array([start[low:high].tobytes() for low, high in zip(cuts[:-1], cuts[1:])], pa.binary())], names=["doc", "repeats"]
+            )
 
-    return sent.repartition("grp").sortWithinPartitions("grp").mapInArrow(tasks, "doc long, starts binary")
+    packed = sent.repartition("grp").sortWithinPartitions("grp").mapInArrow(tasks, "bucket int, n int, payload binary")
+    return packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(gathered, "doc long, repeats binary")
 
 
 def without_repeats(docs: DataFrame, window: int) -> DataFrame:
@@ -244,20 +257,20 @@ def without_repeats(docs: DataFrame, window: int) -> DataFrame:
         for batch in slices(batches):
             rows = []
             for key, text, repeats in zip(batch.column("doc_id").to_pylist(), utf8(batch), batch.column("repeats").to_pylist()):
-                words, kept = kept_words(text, repeats or [], window)
+                words, kept = kept_words(text, repeats, window)
                 rows.append((key, words, words - len(kept), hashlib.sha256(b" ".join(kept)).hexdigest()))
             yield pa.RecordBatch.from_arrays([pa.array(column, field.type) for column, field in zip(zip(*rows), schema)], schema=schema)
 
     return docs.select("doc_id", "text", "repeats").mapInArrow(tasks, RESULT)
 
 
-def kept_words(text: bytes, repeats: list[bytes], window: int = WINDOW) -> tuple[int, list[bytes]]:
+def kept_words(text: bytes, repeats: bytes | None, window: int = WINDOW) -> tuple[int, list[bytes]]:
     """The number of words, and those that no repeated window covers."""
     words = text.split()
     if not repeats:
         return len(words), words
     change = np.zeros(len(words) + 1, np.int64)
-    starts = np.unique(np.frombuffer(b"".join(repeats), "<i4"))
+    starts = np.unique(np.frombuffer(repeats, "<i4"))
     change[starts] += 1
     np.add.at(change, starts + window, -1)
     covered = np.cumsum(change[:-1]) > 0
@@ -265,13 +278,14 @@ def kept_words(text: bytes, repeats: list[bytes], window: int = WINDOW) -> tuple
 
 
 def repeated_windows(docs: DataFrame, window: int = WINDOW, block: int = BLOCK, most: int | None = None) -> DataFrame:
-    """(doc, repeats): for each document with repeats, where they start, as stored byte strings of 32-bit numbers."""
+    """(doc, repeats): for each document with repeats, where they start, as 32-bit numbers; a stored table."""
     named = docs.select(F.col("doc_id").cast("long"), "text")
     counts = prefix_counts(named, window)
     if most is None:
         most = int(min(GROUP, max(LEAST_GROUP, counts.sum() // (3 * shuffle_partitions(docs.sparkSession)))))
-    sent = sent_blocks(named, *prefix_groups(counts, most), window, block)
-    return stored(found_repeats(sent).groupBy("doc").agg(F.collect_list("starts").alias("repeats")), "suffix-repeats")
+    buckets = shuffle_partitions(docs.sparkSession)
+    sent = sent_blocks(named, *prefix_groups(counts, most), window, block, buckets)
+    return stored(found_repeats(sent, buckets), "suffix-repeats")
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, block: int = BLOCK, most: int | None = None) -> DataFrame:
@@ -283,5 +297,5 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, block: int = BLOCK, mo
     # Only texts that change are shuffled.
     ids = F.broadcast(found.select("doc"))
     changed = named.join(ids, "doc", "left_semi").join(found.hint("shuffle_merge"), "doc")
-    same = named.join(ids, "doc", "left_anti").withColumn("repeats", F.lit(None).cast("array<binary>"))
+    same = named.join(ids, "doc", "left_anti").withColumn("repeats", F.lit(None).cast("binary"))
     return without_repeats(changed, window).unionByName(without_repeats(same, window))
