@@ -37,7 +37,7 @@ from tidefare.llm.common import RunHashes, Words, few, groups, mixed, shuffle_pa
 
 WINDOW = 20
 #: Words in a task's block, and suffixes in a group.
-BLOCK = 3_000_000
+BLOCK = 2_000_000
 GROUP, LEAST_GROUP = 1_000_000, 20_000
 FIRST_BITS, SECOND_BITS = 10, 6
 CELLS = 1 << (FIRST_BITS + SECOND_BITS)
