@@ -75,7 +75,7 @@ def numbered_lines(docs: DataFrame) -> DataFrame:
 
 
 def has_word(line: str) -> Column:
-    return F.trim(F.translate(F.col(line), "\t\x0b\x0c\r", "    ")) != ""
+    return F.col(line).rlike(WORD)
 
 
 def repeated_lines(docs: DataFrame) -> DataFrame:
@@ -152,18 +152,21 @@ def closest_partners(lines: DataFrame, percent: int) -> DataFrame:
     """(doc, line_no, partner): for each line that has partners, the one whose bitmap is closest."""
     group = Window.partitionBy("token").orderBy("doc", "line_no")
     own = F.struct(*ENTRY)
-    all_entries = entries(lines)
+    # Dealt once: the window and both sides of the join read the same shuffle.
+    all_entries = entries(lines).select("token", *ENTRY).repartition("token")
     seen = all_entries.select(
         "token", own.alias("own"), F.first(own).over(group.rowsBetween(Window.unboundedPreceding, 0)).alias("first"), F.lag(own).over(group).alias("last")
-    ).select(
-        "*", (before("first", "own") & may_match("own", "first", percent)).alias("near_first"),
-        F.coalesce(before("last", "own") & may_match("own", "last", percent), F.lit(False)).alias("near_last"),
     )
-    near = [seen.where(flag).select(*partner("own", name)) for flag, name in (("near_first", "first"), ("NOT near_first AND near_last", "last"))]
-    alone = seen.where("NOT near_first AND NOT near_last").select("token", "own")
+    near = F.when(before("first", "own") & may_match("own", "first", percent), F.col("first")).when(
+        before("last", "own") & may_match("own", "last", percent), F.col("last")
+    )
+    chosen = seen.select("token", "own", near.alias("near"))
     others = all_entries.select("token", own.alias("other"))
-    met = alone.join(others, "token").where(before("other", "own") & may_match("own", "other", percent)).select(*partner("own", "other"))
-    return reduce(DataFrame.unionByName, [*near, met]).groupBy("doc", "line_no").agg(F.min("partner").alias("partner"))
+    tried = F.when(F.col("near").isNotNull(), (F.col("other.doc") == F.col("near.doc")) & (F.col("other.line_no") == F.col("near.line_no"))).otherwise(
+        before("other", "own") & may_match("own", "other", percent)
+    )
+    met = chosen.join(others, "token").where(tried).select(*partner("own", "other"))
+    return met.groupBy("doc", "line_no").agg(F.min("partner").alias("partner"))
 
 
 def verified(docs: DataFrame, ranks: Column, pairs: DataFrame, percent: int) -> DataFrame:
