@@ -78,8 +78,8 @@ def clean_labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return labelled_trips(raw_trips(spark, sf_dir))
 
 
-def messages_from_events(rows: DataFrame) -> DataFrame:
-    """Request messages as JSON text in `value`; fields without a value are left out."""
+def messages_from_events(rows: DataFrame, **changed: str) -> DataFrame:
+    """Request messages as JSON text in `value`; fields without a value are left out. `changed` replaces expressions."""
     zone = " ".join(f"WHEN '{event_type}' THEN '{name}'" for event_type, name in ZONES.items())
     fields = {
         "timestamp": "date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\")",
@@ -93,6 +93,7 @@ def messages_from_events(rows: DataFrame) -> DataFrame:
         "weather": "cast(null AS string)",
         "event_id": "cast(event_id AS string)",
     }
+    fields |= changed
     body = F.struct(*[F.expr(fields[name]).alias(name) for name in RIDE_REQUEST.fieldNames()])
     return _with_k(rows).select("event_id", F.to_json(body).alias("value"))
 
@@ -108,6 +109,29 @@ def messages_with_bad_ones(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def messages_with_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages without an id, timed to the minute, every 997th in the year 9999."""
+    minute = "date_format(date_trunc('minute', ts), \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\")"
+    late = f"if(event_id % 997 = 0, '9999-06-01T12:00:00.000000', {minute})"
+    return messages_from_events(events(spark, sf_dir), timestamp=late, event_id="cast(null AS string)").select("value")
+
+
+def mixed(rows: DataFrame) -> DataFrame:
+    """Messages of which every 83rd is no JSON, and every 41st of the others has no time."""
+    timed = "if(event_id % 41 != 0, date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\"), null)"
+    return messages_from_events(rows, timestamp=timed).selectExpr("if(event_id % 83 = 0, concat('bad ', event_id), value) AS value")
+
+
+def feed_in_order(spark: SparkSession, sf_dir: str, path: str, files: int = 6) -> None:
+    """The messages as text files in order of time, the earliest written first."""
+    rows = events(spark, sf_dir)
+    first, last = rows.select(F.min(F.unix_micros(F.col("ts").cast("timestamp"))), F.max(F.unix_micros(F.col("ts").cast("timestamp")))).first()
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    part = F.least(F.floor((micros - first) * files / F.lit(last - first + 1)), F.lit(files - 1))
+    for number in range(files):
+        messages_from_events(rows.where(part == number)).select("value").coalesce(1).write.mode("append").text(path)
+
+
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Test-part trips with a prediction that misses the label by a known amount, up to 0.1."""
     _, test = train_test_split(clean_labelled(spark, sf_dir), "trip_id")

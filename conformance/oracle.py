@@ -147,7 +147,7 @@ def _boxes() -> str:
     count(*) AS trips
   FROM clean GROUP BY dow_monday, day_name),
 fences AS (
-  SELECT *, q1 - 1.5 * (q3 - q1) - 1e-9 AS low_fence, q3 + 1.5 * (q3 - q1) + 1e-9 AS high_fence
+  SELECT *, round(q1 - 1.5 * (q3 - q1), 9) AS low_fence, round(q3 + 1.5 * (q3 - q1), 9) AS high_fence
   FROM boxes)
 SELECT f.dow_monday, f.day_name, f.q1, f.median, f.q3,
   {six("least(f.q1, min(c.surge_multiplier) FILTER (c.surge_multiplier >= low_fence))")}
@@ -211,13 +211,14 @@ BLOCKS = """
   SELECT *, row_number() OVER (PARTITION BY trip_id // 500 ORDER BY place, trip_id) AS block_rank
   FROM placed)"""
 
-WINDOWED = _with(REQUESTS, f"""
+def _windowed(requests: str) -> str:
+    return _with(requests, f"""
 , windows AS (
   SELECT time_bucket(INTERVAL 5 MINUTE, event_time) AS window_start, zone,
     CAST(sum(ride_requests) AS BIGINT) AS total_requests,
     avg(available_drivers) AS drivers,
-    first(weather_code ORDER BY event_time, event_id) AS weather_code,
-    first(is_weekend ORDER BY event_time, event_id) AS is_weekend
+    first(weather_code ORDER BY event_time, weather_code NULLS FIRST, is_weekend NULLS FIRST) AS weather_code,
+    first(is_weekend ORDER BY event_time, weather_code NULLS FIRST, is_weekend NULLS FIRST) AS is_weekend
   FROM requests GROUP BY 1, 2),
 priced AS (
   SELECT *, {half_up("total_requests / drivers", 2)} AS demand_supply_ratio FROM windows)
@@ -228,6 +229,13 @@ SELECT window_start, window_start + INTERVAL 5 MINUTE AS window_end, zone, total
     WHEN demand_supply_ratio >= 1.0 THEN 1.4 ELSE 1.0 END AS DOUBLE) AS surge_multiplier
 FROM priced""")
 
+
+WINDOWED = _windowed(REQUESTS)
+WINDOWED_TIES = _windowed(REQUESTS.replace(
+    "CAST(ts AS TIMESTAMP) AS event_time",
+    "CASE WHEN src.event_id % 997 = 0 THEN TIMESTAMP '9999-06-01 12:00:00' ELSE date_trunc('minute', CAST(ts AS TIMESTAMP)) END AS event_time",
+))
+
 EVENT_FIELDS = """
 coalesce(zone, 'Unknown') AS zone, surge_multiplier, ride_requests, available_drivers,
 coalesce(weather, 'clear') AS weather, coalesce(special_event, false) AS special_event,
@@ -253,6 +261,10 @@ def _report_means(*columns: tuple[str, int, str]) -> str:
     return ", ".join(f"{steady(f'avg({column})', digits)} AS {name}" for column, digits, name in columns)
 
 
+# A forest's predictions have no SQL; which rows it scores, and within which limits, has.
+FOREST_ROWS = _from_clean("""
+SELECT trip_id, surge_multiplier AS label, TRUE AS in_label_range FROM clean WHERE NOT in_train AND dropoff_longitude IS NOT NULL""")
+
 ORACLE: dict[str, str] = {
     "src_csv_roundtrip": _with(TRIPS, """
 SELECT trip_id, pickup_dt, dropoff_dt, trip_distance, fare_amount, pickup_longitude,
@@ -384,4 +396,44 @@ FROM predictions"""),
     "stream_event_surge": _with(
         PRICED, f"SELECT coalesce(zone, 'Unknown') AS message_key, {EVENT_FIELDS} FROM priced"
     ),
+    "window_surge_ties": WINDOWED_TIES,
+    "event_surge_mixed": _with(PRICED, f"SELECT {EVENT_FIELDS} FROM priced WHERE CAST(event_id AS BIGINT) % 83 <> 0"),
+    "stream_event_surge_mixed": _with(PRICED, f"SELECT {EVENT_FIELDS} FROM priced WHERE CAST(event_id AS BIGINT) % 83 <> 0"),
+    "unparsed_request_records": "SELECT 'bad ' || event_id AS value FROM events WHERE event_id % 83 = 0",
+    "stored_sample_csv": _with(LABELLED, f"""
+, numbered AS (SELECT *, row_number() OVER (ORDER BY trip_id) - 1 AS position FROM placed),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY position // 500 ORDER BY md5('42:' || position), position) AS block_rank
+  FROM numbered)
+SELECT {FEATURES.replace("trip_id,", "")} FROM ranked WHERE ok AND block_rank <= 10"""),
+    "feature_schema": """
+SELECT CAST(position AS INTEGER) AS position, name, type FROM (VALUES
+  (0, 'trip_id', 'bigint'), (1, 'hour', 'int'), (2, 'day_of_week', 'int'), (3, 'month', 'int'), (4, 'is_weekend', 'int'),
+  (5, 'trip_distance', 'double'), (6, 'passenger_count', 'int'), (7, 'trip_duration_min', 'double'),
+  (8, 'avg_speed_mph', 'double'), (9, 'pickup_longitude', 'double'), (10, 'pickup_latitude', 'double'),
+  (11, 'dropoff_longitude', 'double'), (12, 'dropoff_latitude', 'double'), (13, 'fare_amount', 'double'),
+  (14, 'surge_multiplier', 'double')) AS fields(position, name, type)""",
+    "views_with_rows": _from_clean(f"""
+SELECT 'asked' AS view, count(*) > 0 AS has_rows FROM clean WHERE {VIEW}
+UNION ALL SELECT 'none', count(*) > 0 FROM clean WHERE dow_monday = 0 AND hour = 3 AND surge_multiplier = 3.2"""),
+    "surge_box_edges": _boxes().replace(
+        ", boxes AS (",
+        ", edged AS (SELECT * REPLACE (CAST(CASE WHEN trip_id % 10 = 0 THEN 1.0 WHEN trip_id % 10 < 5 THEN 1.6 ELSE 2.0 END AS DOUBLE)"
+        " AS surge_multiplier) FROM clean),\nboxes AS (",
+    ).replace("FROM clean GROUP", "FROM edged GROUP").replace("JOIN clean c", "JOIN edged c"),
+    "prediction_points": _with(PREDICTIONS, f"""
+, kept AS (SELECT *, place AS row_key FROM predictions ORDER BY place, trip_id LIMIT 1000),
+points AS (SELECT * FROM kept ORDER BY md5('42:' || row_key) LIMIT 300)
+SELECT label, {six("round(prediction, 1)")} AS prediction, CAST(7 AS INTEGER) AS hour, CAST(2 AS INTEGER) AS day_of_week, is_weekend, row_key
+FROM points"""),
+    "rf_scored_rows": FOREST_ROWS,
+    "rf_reloaded_rows": FOREST_ROWS,
+    "rf_quality": _from_clean("""
+SELECT count(*) AS scored_rows, TRUE AS rmse_is_low, TRUE AS r2_is_high FROM clean WHERE NOT in_train AND dropoff_longitude IS NOT NULL"""),
+    "rf_skipped_rows": _from_clean("""
+SELECT count(*) AS rows, count(*) FILTER (dropoff_longitude IS NULL) AS skipped FROM clean"""),
+    "rf_importance_bands": """
+SELECT unnest(['hour', 'day_of_week', 'month', 'is_weekend', 'trip_distance', 'passenger_count', 'trip_duration_min', 'avg_speed_mph',
+  'pickup_longitude', 'pickup_latitude', 'dropoff_longitude', 'dropoff_latitude', 'is_morning_peak', 'is_evening_peak', 'is_late_night'])
+  AS feature, TRUE AS band_fits, CAST(1 AS DOUBLE) AS total""",
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from conformance import fixtures
@@ -13,16 +13,19 @@ from tidefare.functions.numbers import steady_round
 from tidefare.operators import dashboard, demand, fares, predictions, regressor, sampling, trips
 from tidefare.operators.cells import trip_cells
 from tidefare.operators.dashboard import FilterSpec
+from tidefare.operators.local import rows_of
 from tidefare.plans import batch, live
+from tidefare.plans.sample import stored_sample
 from tidefare.plans.training import TrainingResult, train_surge_model
 from tidefare.schemas import PRICED_EVENT
 from tidefare.session import SESSION_DEFAULTS, scratch_path
 from tidefare.sinks.streams import latest_windows
-from tidefare.sinks.tables import write_features, write_predictions_csv
-from tidefare.sources.tables import cached_table, read_predictions_csv
+from tidefare.sinks.tables import load_model, save_model, write_features, write_predictions_csv
+from tidefare.sources.requests import read_json_files
+from tidefare.sources.tables import ROW_KEY, cached_table, read_predictions_csv
 from tidefare.sources.trips import read_features, read_trips_csv
 from tidefare.streaming.events import price_events
-from tidefare.streaming.requests import bad_records, parse_requests, valid_requests
+from tidefare.streaming.requests import bad_records, parse_requests, parsed_requests, unparsed_records, valid_requests
 from tidefare.streaming.windows import window_surge
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -267,6 +270,11 @@ def _model(spark: SparkSession, sf_dir: str) -> TrainingResult:
     return _trained[key]
 
 
+def forget_models() -> None:
+    """Makes the next query of the model fit it again."""
+    _trained.clear()
+
+
 def rf_metrics(spark, sf_dir):
     return _model(spark, sf_dir).metrics
 
@@ -294,9 +302,16 @@ def window_surge_batch(spark, sf_dir):
     return rounded(wall_clock(priced, "window_start", "window_end"), "avg_drivers")
 
 
+def window_surge_ties(spark, sf_dir):
+    priced = window_surge(valid_requests(parse_requests(fixtures.messages_with_ties(spark, sf_dir))))
+    return rounded(wall_clock(priced, "window_start", "window_end"), "avg_drivers")
+
+
 def window_surge_stream(spark, sf_dir):
-    path, checkpoint = scratch_path(spark, "windows"), scratch_path(spark, "windows-checkpoint")
-    feed = fixtures.messages_from_events(fixtures.events_stream(spark, sf_dir)).select("value")
+    """Six files in order of time, one in each micro-batch."""
+    path, checkpoint, written = (scratch_path(spark, name) for name in ("windows", "windows-checkpoint", "windows-feed"))
+    fixtures.feed_in_order(spark, sf_dir, written)
+    feed = read_json_files(spark, written, files_per_trigger=1)
     live.start_window_surge(feed, path, checkpoint, trigger=None).awaitTermination()
     priced = latest_windows(spark, path)
     return rounded(wall_clock(priced, "window_start", "window_end"), "avg_drivers")
@@ -316,6 +331,95 @@ def event_surge_stream(spark, sf_dir):
     ).select("message_key", "event.*").drop("timestamp")
 
 
+def event_surge_mixed(spark, sf_dir):
+    messages = fixtures.mixed(fixtures.events(spark, sf_dir))
+    return price_events(parsed_requests(parse_requests(messages))).drop("timestamp")
+
+
+def event_surge_mixed_stream(spark, sf_dir):
+    path, checkpoint = scratch_path(spark, "priced"), scratch_path(spark, "priced-checkpoint")
+    feed = fixtures.mixed(fixtures.events_stream(spark, sf_dir))
+    live.start_event_surge_files(feed, path, checkpoint, trigger=None).awaitTermination()
+    return spark.read.parquet(path).select(F.from_json("value", PRICED_EVENT).alias("event")).select("event.*").drop("timestamp")
+
+
+def unparsed_request_records(spark, sf_dir):
+    return unparsed_records(parse_requests(fixtures.mixed(fixtures.events(spark, sf_dir))))
+
+
+# Jobs and reports
+
+def stored_sample_csv(spark, sf_dir):
+    csv, copy, out = (scratch_path(spark, name) for name in ("ordered-csv", "ordered-copy", "ordered-sample"))
+    ordered = fixtures.raw_trips_as_exported(spark, sf_dir).repartitionByRange(7, "trip_id").sortWithinPartitions("trip_id")
+    ordered.write.option("header", True).csv(csv)
+    return stored_sample(spark, csv, copy, out, block_rows=500, per_block=10)
+
+
+def feature_schema(spark, sf_dir):
+    return trips.schema_report(trips.feature_table(_clean(spark, sf_dir), "trip_id")).drop("nullable")
+
+
+def views_with_rows(spark, sf_dir):
+    views = {"asked": VIEW, "none": FilterSpec(days=("Mon",), first_hour=3, last_hour=3, surge_levels=(3.2,))}
+    cells = _cells(spark, sf_dir)
+    return rows_of(
+        spark, "view: string, has_rows: boolean",
+        [{"view": name, "has_rows": dashboard.has_rows(dashboard.apply_filter(cells, spec))} for name, spec in views.items()],
+    )
+
+
+def surge_box_edges(spark, sf_dir):
+    """Quartiles 1.6 and 2.0, so that level 1.0 lies on the fence."""
+    level = F.when(F.col("trip_id") % 10 == 0, 1.0).when(F.col("trip_id") % 10 < 5, 1.6).otherwise(2.0)
+    boxes = dashboard.surge_box_by_day(trip_cells(_clean(spark, sf_dir).withColumn("surge_multiplier", level)))
+    return rounded(boxes, "q1", "median", "q3", "whisker_low", "whisker_high")
+
+
+def prediction_points(spark, sf_dir):
+    """A keyed sample of a stored file in which many rows are equal."""
+    path = scratch_path(spark, "predictions")
+    rows = fixtures.predictions(spark, sf_dir).withColumns({"prediction": F.round("prediction", 1), "hour": F.lit(7), "day_of_week": F.lit(2)})
+    write_predictions_csv(rows, path, "trip_id", n=1000)
+    return rounded(sampling.seeded_sample(read_predictions_csv(spark, path, keyed=True), 300, ROW_KEY), "prediction")
+
+
+# Properties of the forest that SQL can state
+
+def _in_label_range(scored: DataFrame) -> DataFrame:
+    return scored.select("trip_id", "label", F.col("prediction").between(1.0, 3.2).alias("in_label_range"))
+
+
+def rf_scored_rows(spark, sf_dir):
+    return _in_label_range(_model(spark, sf_dir).scored)
+
+
+def rf_reloaded_rows(spark, sf_dir):
+    path = scratch_path(spark, "model")
+    save_model(_model(spark, sf_dir).model, path)
+    _, test = sampling.train_test_split(regressor.training_rows(trips.feature_table(_clean(spark, sf_dir), "trip_id")), "trip_id")
+    return _in_label_range(regressor.score(load_model(path), test))
+
+
+def rf_quality(spark, sf_dir):
+    trained = _model(spark, sf_dir)
+    spread = trained.scored.agg(F.stddev_pop("label").alias("spread"))
+    return trained.metrics.select(
+        F.col("rows").alias("scored_rows"), (F.col("rmse") < spread.scalar() / 2).alias("rmse_is_low"), (F.col("r2") > 0.8).alias("r2_is_high")
+    )
+
+
+def rf_skipped_rows(spark, sf_dir):
+    return regressor.skipped_rows(regressor.training_rows(trips.feature_table(_clean(spark, sf_dir), "trip_id")))
+
+
+def rf_importance_bands(spark, sf_dir):
+    ranked = _model(spark, sf_dir).importances
+    total = F.round(F.sum("importance").over(Window.partitionBy()), 6)
+    expected = F.when(F.col("importance") >= 0.15, "high").when(F.col("importance") >= 0.05, "medium").otherwise("low")
+    return ranked.select("feature", (F.col("band") == expected).alias("band_fits"), total.alias("total"))
+
+
 QUERIES: dict[str, Query] = {
     "src_csv_roundtrip": src_csv_roundtrip,
     "features_roundtrip": features_roundtrip,
@@ -364,6 +468,20 @@ QUERIES: dict[str, Query] = {
     "stream_window_surge": window_surge_stream,
     "event_surge": event_surge_batch,
     "stream_event_surge": event_surge_stream,
+    "window_surge_ties": window_surge_ties,
+    "event_surge_mixed": event_surge_mixed,
+    "stream_event_surge_mixed": event_surge_mixed_stream,
+    "unparsed_request_records": unparsed_request_records,
+    "stored_sample_csv": stored_sample_csv,
+    "feature_schema": feature_schema,
+    "views_with_rows": views_with_rows,
+    "surge_box_edges": surge_box_edges,
+    "prediction_points": prediction_points,
+    "rf_scored_rows": rf_scored_rows,
+    "rf_reloaded_rows": rf_reloaded_rows,
+    "rf_quality": rf_quality,
+    "rf_skipped_rows": rf_skipped_rows,
+    "rf_importance_bands": rf_importance_bands,
 }
 
 

@@ -77,16 +77,17 @@ def test_block_sample_of_the_first_blocks(spark):
     found = sampling.block_sample(rows, "position", 100, 10, max_blocks=3)
     assert found.count() == 30
     assert found.agg(F.max("position")).first()[0] < 300
-    with pytest.raises(ValueError):
-        sampling.block_sample(rows, "position", max_blocks=3, file="f")
 
 
-def test_block_sample_limits_before_the_shuffle(spark):
-    rows = spark.range(5_000_000).withColumnRenamed("id", "position")
-    # The size a full-scale sample uses must keep the map-side limit too.
-    tree = plan_text(sampling.block_sample(rows, "position"), "simple")
-    assert tree.count("WindowGroupLimit") == 2
-    assert tree.rindex("WindowGroupLimit") > tree.index("Exchange")
+def test_block_sample_cuts_before_it_sorts(spark):
+    rows = spark.range(5_000_000).selectExpr("id AS position", "id AS a", "id AS b")
+    setting = spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")
+    tree = plan_text(sampling.block_sample(rows, "position", per_block=100_000), "simple").splitlines()
+    # Upwards from the scan of the rows: the join with the cuts, then a shuffle, and only then their sort.
+    joined = next(k for k, line in enumerate(tree) if "Join" in line)
+    assert any("Sort" in line for line in tree[:joined]) and any("Exchange" in line for line in tree[:joined])
+    assert not any("Sort" in line and "sample_place" in line for line in tree[joined:])
+    assert spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold") == setting
 
 
 def test_split_parts_are_disjoint_and_whole(spark, gate):

@@ -9,7 +9,6 @@ from tidefare.session import scratch_path, scratch_root
 from tidefare.sources import requests, tables
 from tidefare.sources.trips import (
     read_features,
-    read_positioned,
     read_trips_csv,
     read_trips_parquet,
 )
@@ -106,13 +105,21 @@ def test_cleaning_rules_on_stored_columns_reach_the_scan(spark, small):
         assert condition in pushed
 
 
-def test_positions_restart_in_each_file(spark):
-    path = scratch_path(spark, "positions")
-    spark.range(0, 100, 1, 4).write.parquet(path)
-    rows = read_positioned(spark, path).groupBy("source_file").agg(
-        F.max("source_row").alias("last"), F.count_distinct("source_row").alias("rows")
-    ).collect()
-    assert [(row.last, row.rows) for row in rows] == [(24, 25)] * 4
+@pytest.mark.parametrize("files", [1, 4, 16])
+def test_the_stored_sample_does_not_depend_on_files(spark, small, files):
+    from conformance import fixtures
+    from tidefare.plans.sample import stored_sample
+
+    ordered = fixtures.raw_trips_as_exported(spark, small).repartitionByRange(files, "trip_id").sortWithinPartitions("trip_id")
+    csv, copy, out = (scratch_path(spark, name) for name in ("csv", "copy", "sample"))
+    ordered.write.option("header", True).csv(csv)
+    found = stored_sample(spark, csv, copy, out, block_rows=100, per_block=10, max_blocks=5)
+    assert 0 < found.count() <= 50
+    rows = sorted(map(tuple, found.collect()))
+    assert rows == _samples.setdefault("rows", rows)
+
+
+_samples: dict[str, list] = {}
 
 
 def test_cached_table_is_built_once(spark):

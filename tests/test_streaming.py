@@ -98,7 +98,7 @@ def test_an_updated_window_replaces_its_older_version(spark, tmp_path):
     stored = spark.read.parquet(str(tmp_path / "windows"))
     assert stored.count() == 2
     # Two batches of rows and the empty one that closes old windows, a file each.
-    assert len(stored.inputFiles()) == len(list((tmp_path / "windows").iterdir())) == 3
+    assert len(stored.inputFiles()) == len(list((tmp_path / "windows").glob("run=*/*"))) == 3
     row = streams.latest_windows(spark, str(tmp_path / "windows")).collect()
     assert [(r.total_requests, r.avg_drivers, r.demand_supply_ratio, r.surge_multiplier) for r in row] == [
         (105, 5.0, 21.0, 3.5)
@@ -193,3 +193,38 @@ def test_a_running_stream_can_be_stopped(spark, feed, tmp_path):
     query.stop()
     assert not query.isActive
     assert spark.read.parquet(str(tmp_path / "out")).count() == spark.read.text(str(feed)).count()
+
+
+def test_a_new_checkpoint_neither_destroys_nor_hides(spark, tmp_path):
+    for number, demand in enumerate((5, 70)):
+        folder = tmp_path / f"feed{number}"
+        write_feed(folder, [[request("2024-01-01T10:01:00", ride_requests=demand)]])
+        live.start_window_surge(
+            read_json_files(spark, str(folder)), str(tmp_path / "windows"), str(tmp_path / f"c{number}"), trigger=None
+        ).awaitTermination()
+    assert len(list((tmp_path / "windows").glob("run=*"))) == 2
+    assert [row.total_requests for row in streams.latest_windows(spark, str(tmp_path / "windows")).collect()] == [70]
+    streams.compact_windows(spark, str(tmp_path / "windows"), str(tmp_path / "compact"))
+    assert [row.total_requests for row in streams.latest_windows(spark, str(tmp_path / "compact")).collect()] == [70]
+    from conftest import plan_text
+
+    assert "SortAggregate" not in plan_text(streams.latest_windows(spark, str(tmp_path / "compact")))
+
+
+def test_a_counter_outlasts_the_last_hundred_triggers():
+    from types import SimpleNamespace
+
+    counter = streams.FeedCounter()
+    for _ in range(150):
+        state = SimpleNamespace(numRowsDroppedByWatermark=1)
+        counter.onQueryProgress(SimpleNamespace(progress=SimpleNamespace(id="q", numInputRows=2, stateOperators=[state])))
+    assert counter.read["q"] == 300 and counter.late["q"] == 150
+
+
+def test_messages_without_a_time_are_priced_and_others_kept_apart(spark):
+    from tidefare.streaming.requests import parsed_requests, unparsed_records
+
+    rows = [("not json",), ('{"zone": "A", "ride_requests": 9, "available_drivers": 3}',), ("",), (None,)]
+    parsed = parse_requests(spark.createDataFrame(rows, "value string"))
+    assert [row.zone for row in price_events(parsed_requests(parsed)).collect()] == ["A"]
+    assert unparsed_records(parsed).count() == 3 and valid_requests(parsed).count() == 0 and bad_records(parsed).count() == 4

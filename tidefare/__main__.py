@@ -15,16 +15,21 @@ from tidefare.plans.batch import run_batch
 from tidefare.plans.sample import stored_sample
 from tidefare.plans.training import run_training
 from tidefare.session import build_session
-from tidefare.sinks.streams import console_windows
+from tidefare.sinks.streams import SURGE_TOPIC, console_windows
 from tidefare.sources.requests import REQUEST_TOPIC, read_json_files, read_kafka
-from tidefare.sources.tables import read_predictions_csv
+from tidefare.sources.tables import ROW_KEY, read_predictions_csv
 from tidefare.sources.trips import read_features, read_trips_csv, read_trips_parquet
 from tidefare.streaming.requests import parse_requests, valid_requests
 from tidefare.streaming.windows import window_surge
 
 
-def _show(title: str, rows: DataFrame, n: int = 30) -> None:
-    print(f"\n{title}")
+def _show(title: str, rows: DataFrame, n: int = 50, out: str | None = None) -> None:
+    """Print the first rows and say of how many; `out` is where all of them are written, in order."""
+    if out:
+        rows.write.mode("overwrite").parquet(f"{out}/{title}")
+        rows = rows.sparkSession.read.parquet(f"{out}/{title}")
+    total = rows.count()
+    print(f"\n{title}: " + (f"first {n} of {total} rows" if total > n else f"{total} rows"))
     rows.show(n, truncate=False)
 
 
@@ -58,6 +63,13 @@ def _trigger(args: argparse.Namespace) -> str | None:
     return None if args.once else args.every
 
 
+def _also_bad_records(messages: DataFrame, args: argparse.Namespace, timed: bool) -> None:
+    if args.bad_out:
+        bad = live.start_bad_records(messages, args.bad_out, f"{args.checkpoint}-bad", _trigger(args), timed)
+        if args.once:
+            bad.awaitTermination()
+
+
 def _windows(spark: SparkSession, args: argparse.Namespace) -> None:
     messages = _messages(spark, args)
     if args.out:
@@ -65,6 +77,7 @@ def _windows(spark: SparkSession, args: argparse.Namespace) -> None:
     else:
         windows = window_surge(valid_requests(parse_requests(messages)))
         query = console_windows(windows, args.checkpoint, _trigger(args))
+    _also_bad_records(messages, args, timed=True)
     query.awaitTermination()
 
 
@@ -73,13 +86,14 @@ def _events(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.out:
         query = live.start_event_surge_files(messages, args.out, args.checkpoint, _trigger(args))
     else:
-        query = live.start_event_surge_kafka(messages, args.servers, args.checkpoint)
+        query = live.start_event_surge_kafka(messages, args.servers, args.checkpoint, args.out_topic, _trigger(args))
+    _also_bad_records(messages, args, timed=False)
     query.awaitTermination()
 
 
 def _sample(spark: SparkSession, args: argparse.Namespace) -> None:
     rows = stored_sample(
-        spark, args.trips, args.copy, args.out, args.block_rows, args.per_block
+        spark, args.trips, args.copy, args.out, args.block_rows, args.per_block, args.max_blocks
     )
     print(f"sample rows {rows.count()}")
 
@@ -95,14 +109,14 @@ def _dashboard(spark: SparkSession, args: argparse.Namespace) -> None:
         print("no trips match the filters")
         return
     for name, rows in dashboard.cell_datasets(cells, spec).items():
-        _show(name, rows)
+        _show(name, rows, out=args.out)
     keys = args.keys or [name for name in features.columns]
     for name, rows in dashboard.trip_datasets(with_day_names(features), *keys, spec=spec).items():
-        _show(name, rows, 10)
+        _show(name, rows, 10, args.out)
     if args.predictions:
-        scored = read_predictions_csv(spark, args.predictions)
-        for name, rows in dashboard.prediction_datasets(scored, *scored.columns).items():
-            _show(name, rows, 10)
+        scored = read_predictions_csv(spark, args.predictions, keyed=True)
+        for name, rows in dashboard.prediction_datasets(scored, ROW_KEY).items():
+            _show(name, rows, 10, args.out)
 
 
 def _feed_arguments(job: argparse.ArgumentParser) -> None:
@@ -111,6 +125,7 @@ def _feed_arguments(job: argparse.ArgumentParser) -> None:
     source.add_argument("--files", help="folder of JSON lines")
     job.add_argument("--topic", default=REQUEST_TOPIC)
     job.add_argument("--checkpoint", required=True)
+    job.add_argument("--bad-out", help="folder for messages that cannot be used")
     job.add_argument("--every", default="15 seconds", help="trigger interval")
     job.add_argument("--once", action="store_true", help="take what is there and stop")
 
@@ -144,6 +159,7 @@ def parser() -> argparse.ArgumentParser:
     job = jobs.add_parser("events", help="surge and fare of each request of a feed")
     _feed_arguments(job)
     job.add_argument("--out", help="folder for messages; Kafka if absent")
+    job.add_argument("--out-topic", default=SURGE_TOPIC, help="Kafka topic to publish to")
     job.set_defaults(run=_events)
 
     job = jobs.add_parser("sample", help="a stored sample of labelled trips from CSV")
@@ -152,12 +168,14 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--out", required=True)
     job.add_argument("--block-rows", type=int, default=500_000)
     job.add_argument("--per-block", type=int, default=10_000)
+    job.add_argument("--max-blocks", type=int, help="only the first blocks")
     job.set_defaults(run=_sample)
 
     job = jobs.add_parser("dashboard", help="every dataset of one filtered dashboard view")
     job.add_argument("--features", required=True)
     job.add_argument("--cells", required=True, help="folder of the cells; made if it is missing")
     job.add_argument("--predictions", help="predictions CSV")
+    job.add_argument("--out", help="folder for all rows of every dataset")
     job.add_argument("--keys", nargs="*", default=[])
     job.add_argument("--days", nargs="*", default=list(DAY_NAMES), choices=DAY_NAMES)
     job.add_argument("--first-hour", type=int, default=0)

@@ -104,7 +104,8 @@ def surge_box_by_day(cells: DataFrame) -> DataFrame:
         F.percentile("surge_multiplier", quarters, F.col("trips")).over(W.partitionBy("dow_monday")),
     ).withColumns({"q1": F.col("q")[0], "median": F.col("q")[1], "q3": F.col("q")[2]})
     reach = (F.col("q3") - F.col("q1")) * 1.5
-    low_fence, high_fence = F.col("q1") - reach, F.col("q3") + reach
+    # Rounded, so that a level on a fence is inside whatever the last bit says.
+    low_fence, high_fence = F.round(F.col("q1") - reach, 9), F.round(F.col("q3") + reach, 9)
     level = F.col("surge_multiplier")
     inside = level.between(low_fence, high_fence)
     return (

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
@@ -14,6 +17,8 @@ from tidefare.operators.local import rows_of
 from tidefare.operators.trips import with_period_flags
 from tidefare.schemas import FEATURE_COLUMNS
 
+TRAINING_PARTS = 32
+
 # The fare is not a feature; the surge is the label.
 MODEL_FEATURES = (
     *[name for name in FEATURE_COLUMNS if name not in ("fare_amount", "surge_multiplier")],
@@ -41,16 +46,30 @@ def surge_pipeline(trees: int = 100, depth: int = 8, seed: int = 42) -> Pipeline
     return Pipeline(stages=[assembler, forest])
 
 
-def spread(rows: DataFrame, *keys: str) -> DataFrame:
-    """Use every core: repartition by key if the rows come in fewer parts than there are cores."""
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores, *keys)
+def settled(rows: DataFrame, parts: int = TRAINING_PARTS) -> DataFrame:
+    """The rows dealt by content into a fixed number of sorted parts.
+
+    Bagging and split sampling follow partitions and their order, so this makes the forest the
+    same for any file layout and number of cores.
+    """
+    return rows.repartition(parts, *rows.columns).sortWithinPartitions(*rows.columns)
 
 
-def fit(train: DataFrame, trees: int = 100, depth: int = 8, seed: int = 42) -> PipelineModel:
-    """Fit on the needed columns only; the forest keeps its own binned copy on memory and disk."""
+def fit(
+    train: DataFrame, trees: int = 100, depth: int = 8, seed: int = 42, parts: int = TRAINING_PARTS
+) -> PipelineModel:
+    """Fit on the needed columns only; the forest keeps its own binned copy on memory and disk.
+
+    Raise `parts` with the training rows; it is part of what decides the model.
+    """
     needed = train.select(*MODEL_FEATURES, "label")
-    return surge_pipeline(trees, depth, seed).fit(spread(needed))
+    return surge_pipeline(trees, depth, seed).fit(settled(needed, parts))
+
+
+def skipped_rows(rows: DataFrame) -> DataFrame:
+    """How many rows the model skips because a feature is null."""
+    some_null = reduce(or_, (F.col(name).isNull() for name in MODEL_FEATURES))
+    return rows.agg(F.count(F.lit(1)).alias("rows"), F.count_if(some_null).alias("skipped"))
 
 
 def score(model: PipelineModel, rows: DataFrame) -> DataFrame:

@@ -6,14 +6,13 @@ retry or file layout.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 DEFAULT_SEED = 42
-_GROUP_LIMIT_SETTING = "spark.sql.optimizer.windowGroupLimitThreshold"
+#: A table of one short row for each of at most so many blocks is broadcast.
+BROADCAST_BLOCKS = 100_000
 
 
 def sample_key(seed: int, *keys: str) -> Column:
@@ -68,35 +67,38 @@ def block_sample(
     per_block: int = 10_000,
     max_blocks: int | None = None,
     seed: int = DEFAULT_SEED,
-    file: str | None = None,
-    place_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """Up to `per_block` rows of every block of `block_rows` consecutive positions.
 
-    `position` is a unique row number (within `file`, if given), so no block can outgrow
-    `block_rows`. The rank limit runs inside each map task before the shuffle, which then
-    carries about per_block / block_rows of the input. `max_blocks` keeps the first blocks of
-    a table with one numbering. Rows are drawn by file and position, or by `place_by` where
-    file names do not last.
+    `position` is a unique row number through the whole table, so no block can outgrow
+    `block_rows`, and `max_blocks` keeps the first blocks. A first pass, which reads the
+    position only, counts each block's rows per leading part of their places and so finds where
+    the block's last drawn row lies; only the rows up to there, about 1.06 `per_block` of each
+    block, are shuffled, sorted and ranked.
     """
-    if file is not None and max_blocks is not None:
-        raise ValueError("max_blocks needs positions that run through the whole table")
-    session = rows.sparkSession
-    if per_block >= int(session.conf.get(_GROUP_LIMIT_SETTING, "1000")):
-        session.conf.set(_GROUP_LIMIT_SETTING, str(per_block + 1))
     if max_blocks is not None:
         rows = rows.filter(F.col(position) < max_blocks * block_rows)
-    keys = place_by or ([file, position] if file else [position])
-    blocks = [*([file] if file else []), "sample_block"]
-    order = W.partitionBy(*blocks).orderBy("sample_place", position)
+    block = F.floor(F.col(position) / F.lit(block_rows)).alias("sample_block")
+    placed = rows.select("*", block, F.explode(F.array(sample_key(seed, position))).alias("sample_place"))
+    part = _leading_part(F.col("sample_place"))
+    counts = placed.groupBy("sample_block", part.alias("part")).agg(F.count(F.lit(1)).alias("rows"))
+    # A block has a few hundred leading parts.
+    through = W.partitionBy("sample_block").orderBy("part").rowsBetween(W.unboundedPreceding, 0)
+    cuts = (
+        counts.withColumn("seen", F.sum("rows").over(through))
+        .groupBy("sample_block")
+        .agg(F.min(F.when(F.col("seen") >= per_block, F.col("part"))).alias("cut"))
+    )
+    last = rows.agg(F.max(position)).first()[0]
+    if last is None or last // block_rows < BROADCAST_BLOCKS:  # one short row a block
+        cuts = F.broadcast(cuts)
+    order = W.partitionBy("sample_block").orderBy("sample_place", position)
     return (
-        rows.withColumns({
-            "sample_block": F.floor(F.col(position) / F.lit(block_rows)),
-            "sample_place": sample_key(seed, *keys),
-        })
+        placed.join(cuts, "sample_block")
+        .filter(part <= F.coalesce("cut", F.lit("g")))
         .withColumn("sample_rank", F.row_number().over(order))
         .filter(F.col("sample_rank") <= per_block)
-        .drop("sample_block", "sample_place", "sample_rank")
+        .select(*rows.columns)
     )
 
 

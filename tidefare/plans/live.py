@@ -7,7 +7,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidefare.sinks import streams
 from tidefare.streaming.events import as_messages, price_events
-from tidefare.streaming.requests import bad_records, parse_requests, valid_requests
+from tidefare.streaming.requests import (
+    bad_records,
+    parse_requests,
+    parsed_requests,
+    unparsed_records,
+    valid_requests,
+)
 from tidefare.streaming.windows import LATENESS, WINDOW, window_surge
 
 
@@ -28,21 +34,26 @@ def start_window_surge(
 def start_event_surge_files(
     messages: DataFrame, path: str, checkpoint: str, trigger: str | None = "15 seconds"
 ) -> StreamingQuery:
-    """Per-event surge, appended to files as keyed messages."""
-    priced = price_events(parse_requests(messages))
+    """Per-event surge of every message that parses, appended to files as keyed messages."""
+    priced = price_events(parsed_requests(parse_requests(messages)))
     return streams.append_files(as_messages(priced), path, checkpoint, trigger)
 
 
 def start_event_surge_kafka(
-    messages: DataFrame, servers: str, checkpoint: str, topic: str = streams.SURGE_TOPIC
+    messages: DataFrame,
+    servers: str,
+    checkpoint: str,
+    topic: str = streams.SURGE_TOPIC,
+    trigger: str | None = "1 second",
 ) -> StreamingQuery:
     """Per-event surge, published to Kafka with the zone as key."""
-    priced = price_events(parse_requests(messages))
-    return streams.publish_kafka(as_messages(priced), servers, checkpoint, topic)
+    priced = price_events(parsed_requests(parse_requests(messages)))
+    return streams.publish_kafka(as_messages(priced), servers, checkpoint, topic, trigger)
 
 
 def start_bad_records(
-    messages: DataFrame, path: str, checkpoint: str, trigger: str | None = "15 seconds"
+    messages: DataFrame, path: str, checkpoint: str, trigger: str | None = "15 seconds", timed: bool = True
 ) -> StreamingQuery:
-    """Messages that did not parse, kept for inspection."""
-    return streams.append_files(bad_records(parse_requests(messages)), path, checkpoint, trigger)
+    """Messages that the windows (`timed`) or the per-event job could not use, kept for inspection."""
+    choose = bad_records if timed else unparsed_records
+    return streams.append_files(choose(parse_requests(messages)), path, checkpoint, trigger)

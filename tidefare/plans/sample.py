@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidefare.operators.sampling import block_sample
 from tidefare.operators.trips import feature_table, labelled_trips
 from tidefare.sources.tables import cached_table
-from tidefare.sources.trips import read_positioned, read_trips_csv
+from tidefare.sources.trips import read_positioned, read_trips_csv_in_order
 
 
 def stored_sample(
@@ -17,21 +17,17 @@ def stored_sample(
     sample_path: str,
     block_rows: int = 500_000,
     per_block: int = 10_000,
+    max_blocks: int | None = None,
 ) -> DataFrame:
     """The sample at `sample_path`; if it is missing, it is drawn from the CSV by way of Parquet.
 
-    The Parquet copy is parsed once and numbers its rows, which a CSV scan cannot do without
-    reading everything in order.
+    The Parquet copy is parsed once and keeps the order of the CSV rows. Blocks run through the
+    whole table, so the sample does not depend on how the CSV or the copy is divided into files.
     """
 
     def build() -> DataFrame:
-        cached_table(spark, trips_path, lambda: read_trips_csv(spark, csv_path))
-        positioned = read_positioned(spark, trips_path)
-        # Part files get new names in every copy; the trips themselves stay the same.
-        lasting = [name for name in positioned.columns if name != "source_file"]
-        picked = block_sample(
-            positioned, "source_row", block_rows, per_block, file="source_file", place_by=lasting
-        )
+        cached_table(spark, trips_path, lambda: read_trips_csv_in_order(spark, csv_path))
+        picked = block_sample(read_positioned(spark, trips_path), "position", block_rows, per_block, max_blocks)
         return feature_table(labelled_trips(picked))
 
     return cached_table(spark, sample_path, build)

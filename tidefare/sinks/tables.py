@@ -6,7 +6,8 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 
 from tidefare.operators.predictions import prediction_columns
-from tidefare.operators.sampling import seeded_sample
+from tidefare.operators.sampling import DEFAULT_SEED, sample_key, seeded_sample
+from tidefare.sources.tables import ROW_KEY
 
 
 def write_features(features: DataFrame, path: str, partition_by: str | None = None) -> None:
@@ -28,9 +29,9 @@ def write_cells(cells: DataFrame, path: str) -> None:
 
 
 def write_predictions_csv(scored: DataFrame, path: str, *keys: str, n: int = 5000) -> None:
-    """Overwrite a seeded sample of predictions as CSV with a header."""
-    sample = seeded_sample(scored, n, *keys)
-    prediction_columns(sample).write.mode("overwrite").option("header", True).csv(path)
+    """Overwrite a seeded sample of predictions as CSV with a header; `row_key` is a hash of the keys."""
+    sample = seeded_sample(scored, n, *keys).withColumn(ROW_KEY, sample_key(DEFAULT_SEED, *keys))
+    prediction_columns(sample, ROW_KEY).write.mode("overwrite").option("header", True).csv(path)
 
 
 def save_model(model: PipelineModel, path: str) -> None:

@@ -5,18 +5,27 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidefare.schemas import PREDICTIONS
 
 
-def read_predictions_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Predictions written by `write_predictions_csv`."""
-    return (
-        spark.read.schema(PREDICTIONS)
-        .option("header", True)
-        .option("enforceSchema", False)
-        .csv(path)
-    )
+#: Tells rows of a predictions file apart, also equal ones.
+ROW_KEY = "row_key"
+
+
+def read_predictions_csv(spark: SparkSession, path: str, keyed: bool = False) -> DataFrame:
+    """Predictions written by `write_predictions_csv`; `keyed` adds their `row_key`.
+
+    Columns are chosen by the header's names. Files from elsewhere have no key; their rows then
+    share the empty key of equal values.
+    """
+    stored = spark.read.option("header", True).csv(path)
+    columns = [F.col(field.name).cast(field.dataType).alias(field.name) for field in PREDICTIONS.fields]
+    if keyed:
+        own = F.col(ROW_KEY) if ROW_KEY in stored.columns else F.md5(F.to_json(F.struct(*PREDICTIONS.fieldNames())))
+        columns.append(own.alias(ROW_KEY))
+    return stored.select(*columns)
 
 
 def is_complete(spark: SparkSession, path: str) -> bool:

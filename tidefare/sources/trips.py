@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidefare.functions.trip import nan_to_null
@@ -51,10 +52,37 @@ def read_features(spark: SparkSession, path: str, *extra: str) -> DataFrame:
     return spark.read.parquet(path).select(*extra, *FEATURE_COLUMNS)
 
 
+def read_trips_csv_in_order(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Trips from CSV with the file and the part of it (`source_file`, `source_start`) each row came from.
+
+    A CSV scan cannot number its rows, but a task reads a part in order, and so stores it.
+    """
+    raw = spark.read.option("header", True).option("enforceSchema", False).csv(path)
+    named = raw.withColumns({
+        "source_file": F.col("_metadata.file_path"),
+        "source_start": F.col("_metadata.file_block_start"),
+    })
+    return typed_trips(named, "source_file", "source_start")
+
+
 def read_positioned(spark: SparkSession, path: str) -> DataFrame:
-    """A Parquet table with each row's `source_file` and its `source_row` within that file."""
-    return spark.read.parquet(path).select(
-        "*",
-        F.col("_metadata.file_path").alias("source_file"),
-        F.col("_metadata.row_index").alias("source_row"),
+    """A Parquet copy of `read_trips_csv_in_order` with each row's `position` in the CSV files.
+
+    Files count in order of their names, so positions do not depend on how the table is divided
+    into files or how tasks wrote the copy. The running sum covers one row for each part that a
+    task read.
+    """
+    copy = spark.read.parquet(path).withColumn("stored_row", F.col("_metadata.row_index"))
+    parts = copy.groupBy("source_file", "source_start").agg(
+        F.count(F.lit(1)).alias("rows"), F.min("stored_row").alias("first_row")
+    )
+    before = W.orderBy("source_file", "source_start").rowsBetween(W.unboundedPreceding, -1)
+    offsets = parts.select(
+        "source_file", "source_start",
+        (F.coalesce(F.sum("rows").over(before), F.lit(0)) - F.col("first_row")).alias("offset"),
+    )
+    return (
+        copy.join(offsets, ["source_file", "source_start"])
+        .withColumn("position", F.col("offset") + F.col("stored_row"))
+        .drop("source_file", "source_start", "stored_row", "offset")
     )

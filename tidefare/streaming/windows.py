@@ -12,13 +12,17 @@ LATENESS = "2 minutes"
 
 
 def _arrival_order() -> Column:
-    """Event time, then a few bits of the event's identity, as one long.
+    """Event time, then a code of the carried values, as one number.
 
     A struct would be the plain choice, but only fixed-width buffers let Spark aggregate by
-    hash; with a struct every task sorts all its rows first. Past the year 2255 it is null.
+    hash; with a struct every task sorts all its rows first. Messages of one instant are ordered
+    by weather code, then weekend, nulls first, so equal numbers carry equal values.
     """
-    tie = F.pmod(F.xxhash64("event_id"), F.lit(1024))
-    return F.try_add(F.try_multiply(F.unix_micros("event_time"), F.lit(1024)), tie)
+    weather = F.coalesce(F.col("weather_code").cast("long") + F.lit((1 << 31) + 1), F.lit(0))
+    weekend = F.coalesce(F.col("is_weekend").cast("int") + 1, F.lit(0))
+    micros = F.unix_micros("event_time").cast("decimal(20,0)")
+    shifted = (micros * F.lit(1 << 40).cast("decimal(13,0)")).cast("decimal(37,0)")
+    return (shifted + (weather * 4 + weekend).cast("decimal(20,0)")).cast("decimal(38,0)")
 
 
 def demand_windows(requests: DataFrame, width: str = WINDOW, lateness: str = LATENESS) -> DataFrame:
