@@ -10,8 +10,7 @@ def duration_minutes(pickup: Column, dropoff: Column) -> Column:
     """Whole seconds between two times, in minutes to 2 decimals.
 
     A hundredth of a minute is 0.6 s, so whole seconds never fall halfway between two
-    hundredths and long arithmetic rounds exactly. Catalyst copies this expression into the
-    cleaning filter, where the decimal round() would be paid twice per trip.
+    hundredths, and one floor of a division by 6 rounds exactly, without decimals.
     """
     seconds = F.unix_timestamp(dropoff) - F.unix_timestamp(pickup)
     return F.floor((seconds * 10 + 3) / F.lit(6)) / F.lit(100.0)

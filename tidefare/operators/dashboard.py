@@ -1,8 +1,8 @@
 """Datasets behind the dashboard.
 
 Every dataset but the row-level ones is computed from trip cells (see `cells`), and so are
-all filters, because each filter tests a cell key. With stored cells a dashboard never scans
-the trips again.
+all filters, because each filter tests a cell key. With stored cells only the preview and the
+fare points scan the trips.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from tidefare.operators.cells import mean_of, mean_surge, surge_level_trips
 from tidefare.operators.sampling import DEFAULT_SEED, seeded_sample
 
 HOURS = range(24)
+# Columns of the preview, in order.
 PREVIEW_COLUMNS = (
     "hour", "day_name", "is_weekend", "trip_distance", "fare_amount",
     "passenger_count", "avg_speed_mph", "trip_duration_min", "surge_multiplier",

@@ -53,6 +53,7 @@ PRICED_EVENT = T.StructType([
     T.StructField("source_event_id", T.StringType()),
 ])
 
+# One stored prediction.
 PREDICTIONS = T.StructType([
     T.StructField("label", T.DoubleType()),
     T.StructField("prediction", T.DoubleType()),
