@@ -11,6 +11,7 @@ import pytest
 
 import corpus_pipeline
 from tidefare.llm import components, line_dedup, minhash, mixing, suffix_groups
+from tidefare.llm.common import stored
 from tidefare.llm.queries import QUERIES
 from tidefare.llm.sql import SQL
 
@@ -273,7 +274,7 @@ def test_pipeline_stages_decide_on_what_they_get(spark, docs):
     assert [name for name, _ in corpus_pipeline.STAGES] == ["language", "lines", "near_duplicates", "mix", "pack"]
     current, seen = docs, {}
     for name, stage in corpus_pipeline.STAGES:
-        current = spark.createDataFrame(stage(spark, current, "").toPandas().to_dict("records"), stage(spark, current, "").schema)
+        current = stored(stage(spark, current, ""), f"test-{name}")
         seen[name] = rows_of(current)
         if name != "pack":
             assert current.columns == docs.columns
