@@ -34,6 +34,8 @@ PERCENT = 80
 #: Hash buckets in which tokens are counted: a table of fixed size.
 BUCKET_BITS = 16
 BROADCAST_ROWS = 400_000
+#: The first lines of a group are compared with all lines before them.
+SHORT = 64
 NO_ID = -(1 << 63)
 
 
@@ -148,25 +150,30 @@ def partner(later: str, earlier: str) -> list[Column]:
     ]
 
 
-def closest_partners(lines: DataFrame, percent: int) -> DataFrame:
-    """(doc, line_no, partner): for each line that has partners, the one whose bitmap is closest."""
+def partners(lines: DataFrame, percent: int) -> DataFrame:
+    """(doc, line_no, partners, untried): for each line that has partners, the earlier lines that pass the filters.
+
+    Past the first `SHORT` lines of a group a line that is close to the group's first line, or to the
+    line before it, is not compared with the others there; `untried` says so.
+    """
     group = Window.partitionBy("token").orderBy("doc", "line_no")
     own = F.struct(*ENTRY)
     # Dealt once: the window and both sides of the join read the same shuffle.
     all_entries = entries(lines).select("token", *ENTRY).repartition("token")
     seen = all_entries.select(
-        "token", own.alias("own"), F.first(own).over(group.rowsBetween(Window.unboundedPreceding, 0)).alias("first"), F.lag(own).over(group).alias("last")
+        "token", own.alias("own"), F.row_number().over(group).alias("rank"),
+        F.first(own).over(group.rowsBetween(Window.unboundedPreceding, 0)).alias("first"), F.lag(own).over(group).alias("last"),
     )
-    near = F.when(before("first", "own") & may_match("own", "first", percent), F.col("first")).when(
+    near = F.when(F.col("rank") > SHORT, F.when(before("first", "own") & may_match("own", "first", percent), F.col("first")).when(
         before("last", "own") & may_match("own", "last", percent), F.col("last")
-    )
+    ))
     chosen = seen.select("token", "own", near.alias("near"))
     others = all_entries.select("token", own.alias("other"))
     tried = F.when(F.col("near").isNotNull(), (F.col("other.doc") == F.col("near.doc")) & (F.col("other.line_no") == F.col("near.line_no"))).otherwise(
         before("other", "own") & may_match("own", "other", percent)
     )
-    met = chosen.join(others, "token").where(tried).select(*partner("own", "other"))
-    return met.groupBy("doc", "line_no").agg(F.min("partner").alias("partner"))
+    met = chosen.join(others, "token").where(tried).select(*partner("own", "other"), F.col("near").isNotNull().alias("untried"))
+    return met.groupBy("doc", "line_no").agg(F.collect_set("partner").alias("partners"), F.max("untried").alias("untried"))
 
 
 def verified(docs: DataFrame, ranks: Column, pairs: DataFrame, percent: int) -> DataFrame:
@@ -175,23 +182,21 @@ def verified(docs: DataFrame, ranks: Column, pairs: DataFrame, percent: int) ->
     wanted = stored(by_document(sides[0].unionByName(sides[1]).distinct(), "wanted"), "lines-wanted")
     some = joined(docs.select("text", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc")), wanted, "doc", BROADCAST_ROWS)
     listed = some.select("doc", "wanted", F.posexplode(F.split("text", "\n")).alias("line_no", "line")).where(F.array_contains("wanted", F.col("line_no")))
-    keyed = stored(listed.select("doc", "line_no", token_keys("line", ranks).alias("keys")).dropDuplicates(["doc", "line_no"]), "lines-keys")
+    keyed = stored(listed.select("doc", "line_no", token_keys("line", ranks).alias("keys")), "lines-keys")
     later = pairs.join(keyed, ["doc", "line_no"]).select("doc", "line_no", "partner", F.col("keys").alias("own"))
     both = later.join(keyed.select(F.struct("doc", "line_no").alias("at"), "keys"), F.struct("partner.doc", "partner.line_no") == F.col("at"))
     shared = F.size(F.array_intersect("own", "keys"))
     return both.where(shared * 100 >= (F.size("own") + F.size("keys") - shared) * percent).select("doc", "line_no").distinct()
 
 
-def other_partners(lines: DataFrame, unmatched: DataFrame, percent: int) -> DataFrame:
-    """All partners but the closest of the given lines (doc, line_no, partner)."""
+def untried_partners(lines: DataFrame, open_lines: DataFrame, percent: int) -> DataFrame:
+    """(doc, line_no, partner): all partners of the given lines."""
     theirs = stored(
-        entries(joined(lines, unmatched.select("doc", "line_no"), ["doc", "line_no"], BROADCAST_ROWS, "left_semi")).select("token", F.struct(*ENTRY).alias("own")),
-        "lines-unmatched",
+        entries(joined(lines, open_lines.select("doc", "line_no"), ["doc", "line_no"], BROADCAST_ROWS, "left_semi")).select("token", F.struct(*ENTRY).alias("own")),
+        "lines-untried",
     )
     met = joined(entries(lines).select("token", F.struct(*ENTRY).alias("other")), theirs, "token", BROADCAST_ROWS)
-    pairs = met.where(before("other", "own") & may_match("own", "other", percent)).select(*partner("own", "other")).distinct()
-    tried = unmatched.select("doc", "line_no", "partner")
-    return pairs.join(tried, ["doc", "line_no", "partner"], "left_anti")
+    return met.where(before("other", "own") & may_match("own", "other", percent)).select(*partner("own", "other")).distinct()
 
 
 def removed_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -199,10 +204,14 @@ def removed_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     repeated = stored(repeated_lines(docs), "lines-repeated")
     ranks = token_ranks(docs)
     lines = stored(prefix_table(docs, ranks, stored(by_document(repeated, "gone"), "lines-gone"), percent), "lines-prefixes")
-    closest = stored(closest_partners(lines, percent), "lines-closest")
+    found = stored(partners(lines, percent), "lines-partners")
+    closest = found.select("doc", "line_no", F.array_min("partners").alias("partner"))
     matched = stored(verified(docs, ranks, closest, percent), "lines-matched")
-    unmatched = stored(closest.join(matched, ["doc", "line_no"], "left_anti"), "lines-open")
-    more = stored(verified(docs, ranks, stored(other_partners(lines, unmatched, percent), "lines-others"), percent), "lines-matched")
+    left = stored(found.join(matched, ["doc", "line_no"], "left_anti"), "lines-open")
+    others = left.select("doc", "line_no", F.explode("partners").alias("partner"), F.array_min("partners").alias("closest")).where("partner <> closest").drop("closest")
+    untried = left.where("untried").select("doc", "line_no")
+    pairs = stored(others.unionByName(untried_partners(lines, untried, percent)).distinct(), "lines-others")
+    more = stored(verified(docs, ranks, pairs, percent), "lines-matched")
     return stored(by_document(repeated.unionByName(matched).unionByName(more), "gone"), "lines-gone")
 
 
