@@ -192,8 +192,9 @@ def test_similar_lines_equal_brute_force(spark, monkeypatch):
             texts[family * 100 + (k * 13) % 100] = " ".join(changed) + "\n" + " ".join(changed[:3 + k % 4])
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     expected = similar_lines(texts)
-    for most in (400_000, 0):
+    for most, short in ((400_000, 64), (0, 2)):  # the second leaves many partners to the second join
         monkeypatch.setattr(line_dedup, "BROADCAST_ROWS", most)
+        monkeypatch.setattr(line_dedup, "SHORT", short)
         found = {r["doc"]: sorted(r["gone"]) for r in rows_of(line_dedup.removed_lines(docs))}
         assert found == {key: gone for key, gone in expected.items() if gone}
 
