@@ -32,12 +32,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidefare.llm.common import slices, utf8
+from tidefare.llm.common import joined, slices, stored, utf8
 
 ORDER = 3
 DOCUMENTS_PER_LANGUAGE = 1500
 #: Contexts seen less often than this in all languages together are left out of the trees.
 LEAST_SEEN = 4
+#: A table with one row for each of at most so many languages is broadcast.
+BROADCAST_LANGUAGES = 10_000
 UNKNOWN = "und"
 LETTER = regex.compile(r"\p{L}")
 #: A text that no language codes in fewer bits than it has is rejected; ordinary text takes two to four bits a byte.
@@ -74,11 +76,11 @@ class LanguageModel:
 def training_sample(labelled: DataFrame, per_language: int = DOCUMENTS_PER_LANGUAGE) -> DataFrame:
     """At most `per_language` rows (text, lang) of each language, by hash of doc_id."""
     named = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    share = named.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    share = stored(named.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "language-counts")
     # The hash is even, so twice the share that is needed holds enough rows and few of them are ranked.
     unit = (F.xxhash64("doc_id").bitwiseAND(F.lit((1 << 31) - 1)) / float(1 << 31)).alias("unit")
     return (
-        named.select("doc_id", "lang", "text", unit).join(share, "lang")
+        joined(named.select("doc_id", "lang", "text", unit), share, "lang", BROADCAST_LANGUAGES)
         .where(F.col("unit") * F.col("n") <= 2 * per_language)
         .withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("unit", "doc_id")))
         .where(F.col("rank") <= per_language)
