@@ -100,26 +100,31 @@ def with_lists(docs: DataFrame, lists: DataFrame) -> DataFrame:
 
 
 def prefix_table(docs: DataFrame, ranks: Column, gone: DataFrame, percent: int) -> DataFrame:
-    """(doc, line_no, n, bits, prefix) of lines that are not yet gone."""
+    """(doc, line_no, n, bits, more_bits, prefix) of lines that are not yet gone."""
     left = with_lists(docs.select("doc_id", "text"), gone).select("doc", "gone", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
     left = left.where(F.col("gone").isNull() | ~F.array_contains("gone", F.col("line_no"))).where(has_word("line"))
     n = F.size("keys")
-    bits = F.aggregate(
-        "keys", F.lit(0).cast("long"),
-        lambda seen, key: seen.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), key.bitwiseAND(F.lit(63)).cast("int"))),
-    )
+
+    def bits(upper: int) -> Column:
+        """Half of a bitmap of 128 places: each token flips one."""
+        own = F.filter("keys", lambda key: key.bitwiseAND(F.lit(64)) == 64 * upper)
+        return F.aggregate(
+            own, F.lit(0).cast("long"),
+            lambda seen, key: seen.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), key.bitwiseAND(F.lit(63)).cast("int"))),
+        )
+
     length = (n - F.ceil(n * percent / 100) + 1).cast("int")
     return left.select("doc", "line_no", token_keys("line", ranks).alias("keys")).select(
-        "doc", "line_no", n.alias("n"), bits.alias("bits"), F.slice("keys", F.lit(1), length).alias("prefix")
+        "doc", "line_no", n.alias("n"), bits(0).alias("bits"), bits(1).alias("more_bits"), F.slice("keys", F.lit(1), length).alias("prefix")
     )
 
 
 def entries(lines: DataFrame) -> DataFrame:
-    return lines.select("doc", "line_no", "n", "bits", F.posexplode("prefix").alias("position", "token"))
+    return lines.select("doc", "line_no", "n", "bits", "more_bits", F.posexplode("prefix").alias("position", "token"))
 
 
 def distance(one: str, other: str) -> Column:
-    return F.bit_count(F.col(f"{one}.bits").bitwiseXOR(F.col(f"{other}.bits")))
+    return reduce(Column.__add__, (F.bit_count(F.col(f"{one}.{name}").bitwiseXOR(F.col(f"{other}.{name}"))) for name in ("bits", "more_bits")))
 
 
 def may_match(later: str, earlier: str, percent: int) -> Column:
@@ -134,7 +139,7 @@ def may_match(later: str, earlier: str, percent: int) -> Column:
     )
 
 
-ENTRY = ("doc", "line_no", "n", "bits", "position")
+ENTRY = ("doc", "line_no", "n", "bits", "more_bits", "position")
 
 
 def before(earlier: str, later: str) -> Column:
