@@ -173,6 +173,40 @@ def test_main_text_of_an_article():
     assert blocks == 9
 
 
+LINE = "words of a longer line that stands in the article and is read to its end"
+
+
+@pytest.mark.parametrize("part, text", [
+    ('<svg viewBox="0 0 1 1"/>', ""),
+    ("<math/>", ""),
+    ("<svg><title/><style/><path d=1 /><text>No</text></svg>", ""),
+    ("<svg><foreignObject><div>No</div></foreignObject></svg>", ""),
+    ("<datalist><option>No<option>No</datalist>", None),
+    ("<span><option>No</span>", ""),
+    ("<select><option>No<option>No</select>", ""),
+    ("<object><p>No</p><h2>No</h2></object>", ""),
+    ("<iframe src=x />", ""),
+    ("<script>No</script><noscript>No <b>no</b></noscript>", ""),
+    ("<a href=x><svg><a>No</a></svg></a>", ""),
+    ("<math><mrow><mi>x</mi><mo>+</mo><mn>1</mn></mrow></math>", "x+1"),
+    ("<math><mtable><mtr><mtd>1</mtd><mtd>2</mtd></mtr></mtable>", "1 2"),
+])
+def test_elements_without_text_end_where_html_ends_them(part, text):
+    page = f"<article><h1>Head</h1><p>First {LINE} {part} second {LINE}</p><p>Third {LINE}</p></article><footer>us</footer>"
+    found = [block.text for block in html_blocks.blocks(page)]
+    assert "No" not in " ".join(found).split()
+    if text is not None:
+        assert found == ["Head", " ".join(f"First {LINE} {text} second {LINE}".split()), f"Third {LINE}", "us"]
+        assert html_blocks.main_text(page, html_blocks.trained_tree())[0] == "\n".join(found[:3])
+    else:
+        assert found == ["Head", f"First {LINE}", f"second {LINE}", f"Third {LINE}", "us"]
+
+
+def test_an_open_drawing_ends_at_the_next_paragraph():
+    found = html_blocks.blocks(f"<div><svg><path d=1><p>First {LINE}</p></div><div><canvas>No</div><p>Second {LINE}</p>")
+    assert [block.text for block in found] == [f"First {LINE}", f"Second {LINE}"]
+
+
 def test_every_page_gives_its_article(spark, gate):
     import html
 

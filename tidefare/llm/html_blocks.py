@@ -10,16 +10,20 @@ whose class, id or role names an advert, a notice, comments and the like. `nav`,
 The tree is grown by Gini impurity on `LABELLED`, a small table of blocks judged by hand.
 
 Character references are decoded, white space inside a block becomes one space, blocks are trimmed
-and joined in page order by one line feed. `br` is white space. Scripts, styles, titles, comments and
-the like are no text; an element of that kind that is not closed runs to the end of the page, and
-other unclosed or badly nested tags are tolerated. Null and empty pages give the empty text. Each
-input row gives one row, also if rows repeat; an empty table gives none.
+and joined in page order by one line feed. `br` is white space. Scripts, styles, titles, text areas
+and comments are no text; HTML ends them only at their own end tag, so one that is not closed runs to
+the end of the page. Drawings, choices, templates and what stands in for media are no text either, up to
+their end tag or that of what holds them, and do not end the block around them; a self-closed one is
+empty, and an open `svg` ends where HTML elements begin. Formulas are text of the block they stand in.
+Other unclosed or badly nested tags are tolerated. Null and empty pages give the empty text. Each input
+row gives one row, also if rows repeat; an empty table gives none.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -41,11 +45,18 @@ ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden)(?:\s*=\s*("[^"]*
 NAME = re.compile(r"[a-z]+")
 
 # Element names by their role in HTML.
-HIDDEN = frozenset("script style title noscript template textarea select option svg math iframe object canvas audio video".split())
+RAW = frozenset("script style title textarea".split())
+SKIPPED = frozenset("noscript template select option svg iframe object canvas audio video".split())
 INLINE = frozenset(
-    "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub "
-    "sup time tt u var wbr".split()
+    "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark math q s samp small span strike strong "
+    "sub sup time tt u var wbr".split()
 )
+#: HTML elements that end an open drawing or formula, and parts of a drawing that hold HTML.
+ENDS_FOREIGN = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre "
+    "ruby s small span strong strike sub sup table tt u ul var".split()
+)
+HOLDS_HTML = frozenset("foreignobject desc title".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 FURNITURE = frozenset("nav footer aside form menu dialog head button fieldset".split())
@@ -132,6 +143,9 @@ def blocks(page: str) -> list[Block]:
     linked = heading = in_link = 0
     stack: list[tuple[str, tuple[int, bool]]] = []
     inherited = (0, False)
+    skipped: int | None = None  # where the outermost skipped element stands in the stack
+    in_math = False
+    around, within = Counter(), Counter()  # open inline elements outside and inside of it
     at, n = 0, len(page)
 
     def close() -> None:
@@ -144,10 +158,20 @@ def blocks(page: str) -> list[Block]:
                 found.append(Block(text, count, min(linked, count), int(heading > 0), inherited[0]))
         linked = 0
 
+    def leave(depth: int) -> None:
+        """Ends the open elements from this depth on; what is skipped sets neither place nor heading."""
+        nonlocal inherited, heading, skipped
+        inherited = stack[depth][1]
+        heading -= sum(open_name in HEADINGS for open_name, _ in stack[depth:skipped])
+        del stack[depth:]
+        if skipped is not None and skipped >= depth:
+            skipped = None
+            within.clear()
+
     while at < n:
         match = MARKUP.search(page, at)
         piece = page[at:match.start() if match else n]
-        if piece:
+        if piece and skipped is None:
             if "&" in piece:
                 piece = html.unescape(piece)
             parts.append(piece)
@@ -159,31 +183,57 @@ def blocks(page: str) -> list[Block]:
         name = match.group(2)
         if not name:
             continue
-        name, closing = name.lower(), match.group(1)
-        if name in INLINE:
+        name, closing, empty = name.lower(), match.group(1), match.group(3).endswith("/")
+        if skipped is not None and not closing and name in ENDS_FOREIGN and stack[skipped][0] == "svg":
+            if HOLDS_HTML.isdisjoint(open_name for open_name, _ in stack[skipped:]):
+                leave(skipped)
+        inline = name in INLINE
+        if in_math and not inline and skipped is None and name not in RAW and name not in SKIPPED:
+            in_math = inline = not any(open_name == name for open_name, _ in stack) if closing else name not in ENDS_FOREIGN
+        if inline:
+            if skipped is not None:
+                if not closing:
+                    within[name] += not empty
+                    continue
+                if within[name] or not around[name]:
+                    within[name] -= within[name] > 0
+                    continue
+                leave(skipped)  # the end of what holds the skipped element
+            if closing:
+                around[name] -= around[name] > 0
+            else:
+                around[name] += not empty
             if name == "a":
                 in_link = 0 if closing else 1
-            elif name == "br":
+            elif name == "math":
+                in_math = not closing and not empty
+            elif name in ("br", "mtd"):
                 parts.append(" ")
             continue
-        close()
-        in_link = 0
         if closing:
-            for depth in range(len(stack) - 1, -1, -1):
-                if stack[depth][0] == name:
-                    inherited = stack[depth][1]
-                    heading -= sum(open_name in HEADINGS for open_name, _ in stack[depth:])
-                    del stack[depth:]
-                    break
-        elif name in HIDDEN:
+            depth = next((depth for depth in range(len(stack) - 1, -1, -1) if stack[depth][0] == name), None)
+            if name not in RAW and name not in SKIPPED and (skipped is None or depth is not None and depth < skipped):
+                close()
+                in_link = 0
+            if depth is not None:
+                leave(depth)
+            continue
+        if name in RAW and (skipped is None or all(open_name != "svg" for open_name, _ in stack[skipped:])):
             end = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.IGNORECASE).search(page, at)
-            at = end.end() if end else n
-        elif name not in VOID and not match.group(3).endswith("/"):
-            if name == "p" and stack and stack[-1][0] == "p":  # a paragraph ends where the next begins
-                inherited = stack.pop()[1]
+            at = end.end() if end else at if empty else n
+            continue
+        if skipped is None and name not in SKIPPED:
+            close()
+            in_link = 0
+        if name not in VOID and not empty:
+            if name in ("p", "option") and stack and stack[-1][0] == name:  # it ends where the next begins
+                leave(len(stack) - 1)
             stack.append((name, inherited))
-            heading += name in HEADINGS
-            inherited = _place(name, match.group(3), inherited)
+            if skipped is None and name in SKIPPED:
+                skipped = len(stack) - 1
+            elif skipped is None:
+                heading += name in HEADINGS
+                inherited = _place(name, match.group(3), inherited)
     close()
     return found
 
