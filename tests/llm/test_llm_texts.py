@@ -207,6 +207,40 @@ def test_an_open_drawing_ends_at_the_next_paragraph():
     assert [block.text for block in found] == [f"First {LINE}", f"Second {LINE}"]
 
 
+BODY = f"<h1>Head of it</h1><p>First {LINE}, and a little more of it.</p><p>Second {LINE}, and a little more.</p>"
+
+
+@pytest.mark.parametrize("page", [
+    f"<form id=aspnetForm><div>{BODY}</div></form>",
+    f"<form><fieldset><article>{BODY}</article></fieldset></form>",
+    f"<form><main>{BODY}</main></form>",
+    f"<nav><ul><li><a href=1>One</a><main>{BODY}</main>",
+    f"<head><title>T</title><body>{BODY}",
+    f"<html class=no-banner><body class='menu-open has-sidebar'>{BODY}</body></html>",
+    f"<div class='layout with-footer'>{BODY}</div>",
+    f"<div class='menu-open'><div id=sidebar-layout>{BODY}</div><div class=comments>{LINE}</div></div>",
+    f"<article><h1>Head of it</h1><div class=has-sidebar>{BODY[19:]}</div><div class=comments>{BODY}{BODY}</div></article>",
+    f"<article><h1>Head of it</h1><div class=social-box>{BODY[19:]}</div></article>",
+    f"<div class=sidebar-left><article>{BODY}</article></div>",
+])
+def test_frames_of_the_text_are_no_furniture(page):
+    text = html_blocks.main_text(f"{page}<footer>All rights are with us</footer>", html_blocks.trained_tree())[0]
+    assert text.split("\n") == ["Head of it", f"First {LINE}, and a little more of it.", f"Second {LINE}, and a little more."]
+
+
+@pytest.mark.parametrize("furniture", [
+    f"<div class=comments>{BODY * 3}</div>",
+    f"<form>{BODY * 3}</form>",
+    f"<aside><article>{BODY}</article></aside>",
+    f"<div hidden><main>{BODY}</main></div>",
+    f"<article class=comment><article>{BODY}</article></article>",
+])
+def test_furniture_beside_an_article_stays_furniture(furniture):
+    page = f"<article><p>First {LINE}</p>%s</article>%s"
+    for inside, after in ((furniture, ""), ("", furniture)):
+        assert html_blocks.main_text(page % (inside, after), html_blocks.trained_tree())[0] == f"First {LINE}"
+
+
 def test_every_page_gives_its_article(spark, gate):
     import html
 

@@ -4,8 +4,12 @@ A page is read as a flat list of text blocks: runs of text between block-level t
 the tree sees its number of words and its link density (share of words inside links), the same of the
 block before and after, whether it is a heading, and what its innermost telling ancestor says: part of
 an article (1), nothing (0), or furniture (-1) such as navigation, footers, asides, forms, and boxes
-whose class, id or role names an advert, a notice, comments and the like. `nav`, `aside`, `form` and
-`footer` say -1 for everything inside them; a class name gives way to an article inside it.
+whose class, id or role names an advert, a notice, comments and the like. `nav`, `aside`, `footer` and
+the like say -1 for everything inside them but `main`; a form, a fieldset or a class name gives way to
+an article inside it, unless it stands in an article itself. Class names of `html` and `body`, and those
+that say what a box has or lacks (`has-sidebar`), tell nothing. On a page whose articles hold no text but
+headings, a form, fieldset or named box with more than half of the page's words outside links tells
+nothing either: it is the frame of the text.
 
 The tree is grown by Gini impurity on `LABELLED`, a small table of blocks judged by hand.
 
@@ -59,7 +63,8 @@ ENDS_FOREIGN = frozenset(
 HOLDS_HTML = frozenset("foreignobject desc title".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
-FURNITURE = frozenset("nav footer aside form menu dialog head button fieldset".split())
+FURNITURE = frozenset("nav footer aside menu dialog button".split())
+FORMS = frozenset("form fieldset".split())
 ARTICLE = frozenset("article main".split())
 ROLES = {"navigation": -1, "banner": -1, "contentinfo": -1, "complementary": -1, "search": -1, "form": -1, "dialog": -1,
          "alert": -1, "alertdialog": -1, "menu": -1, "menubar": -1, "main": 1, "article": 1}
@@ -69,6 +74,10 @@ FURNITURE_NAMES = frozenset(
     "breadcrumb breadcrumbs sidebar sidenav aside widget related recommended trending share sharing social comment comments reply "
     "replies respond disqus discussion footer copyright legal pagination pager masthead toolbar search".split()
 )
+#: First words of class names that say what a box has or lacks, not what it is.
+HAS_OR_LACKS = frozenset("has with without no".split())
+#: How firmly a place holds: it gives way to an article inside, to `main` only, or to nothing.
+SOFT, FIRM, FIXED = range(3)
 
 #: Pages judged by hand: (place, heading, words, words in links, is main text) of their blocks, in page order.
 LABELLED = (
@@ -114,55 +123,90 @@ class Block:
     place: int
 
 
-def _place(name: str, attributes: str, inherited: tuple[int, bool]) -> tuple[int, bool]:
-    """(place, firm) of what an element holds, from those of what holds it; firm furniture stays furniture."""
+@dataclass
+class Told:
+    """What the attributes of an element say of it."""
+
+    hidden: bool = False
+    role: str = ""
+    furniture: bool = False  # by class or id
+
+
+def _told(name: str, attributes: str) -> Told:
+    told = Told()
+    for key, value in ATTRIBUTE.findall(attributes) if attributes else ():
+        key, value = key.lower(), value.strip("\"'").lower()
+        if key == "hidden" or key == "aria-hidden" and value == "true":
+            told.hidden = True
+        elif key == "role" and value in ROLES:
+            told.role = value
+        elif key in ("class", "id") and name not in ("html", "body"):
+            for words in map(NAME.findall, value.split()):
+                if words and words[0] not in HAS_OR_LACKS and not FURNITURE_NAMES.isdisjoint(words):
+                    told.furniture = True
+    return told
+
+
+def _place(name: str, told: Told, frame: bool, inherited: tuple[int, int]) -> tuple[int, int]:
+    """(place, firmness) of what an element holds, from those of what holds it; a frame is no furniture by form or class."""
     place, firm = inherited
-    if firm:
+    if firm == FIXED:
         return inherited
+    if told.hidden:
+        return -1, FIXED
+    says = ROLES.get(told.role, 0) or -int(told.furniture and not frame)
+    if firm == FIRM:
+        return (1, SOFT) if says >= 0 and "main" in (name, told.role) else inherited
     if name in FURNITURE or name == "header" and place < 1:
-        return -1, True
-    told = 0
-    if attributes:
-        for key, value in ATTRIBUTE.findall(attributes):
-            key, value = key.lower(), value.strip("\"'").lower()
-            if key == "hidden" or key == "aria-hidden" and value == "true":
-                return -1, True
-            if key == "role" and value in ROLES:
-                told = ROLES[value]
-            elif key in ("class", "id") and not FURNITURE_NAMES.isdisjoint(NAME.findall(value)):
-                told = told or -1
+        return -1, FIXED if place == 1 else FIRM
+    if name in FORMS and not frame and says < 1:
+        return -1, FIXED if place == 1 else SOFT
     if name in ARTICLE:
-        return (1, False) if told >= 0 else (told, True)
-    return (told, place == 1) if told else inherited
+        return (1, SOFT) if says >= 0 else (-1, FIXED if place == 1 else FIRM)
+    return (says, FIXED if place == 1 else SOFT) if says else inherited
 
 
 def blocks(page: str) -> list[Block]:
     """The text blocks of a page, in order."""
+    found, boxes = _read(page)
+    if boxes and not any(block.place == 1 and not block.heading and block.words > block.linked for block in found):
+        half = sum(block.words - block.linked for block in found) / 2
+        frames = frozenset(start for start, words in boxes if words > half)
+        if frames:
+            return _read(page, frames)[0]
+    return found
+
+
+def _read(page: str, frames: frozenset[int] = frozenset()) -> tuple[list[Block], list[tuple[int, int]]]:
+    """The blocks, and where each form, fieldset or box named as furniture begins and how many words outside links it holds."""
     found: list[Block] = []
+    boxes: list[tuple[int, int]] = []
     parts: list[str] = []
-    linked = heading = in_link = 0
-    stack: list[tuple[str, tuple[int, bool]]] = []
-    inherited = (0, False)
+    linked = heading = in_link = unlinked = 0
+    stack: list[tuple[str, tuple[int, int], tuple[int, int] | None]] = []  # with the box that begins there, and the words before it
+    inherited = (0, SOFT)
     skipped: int | None = None  # where the outermost skipped element stands in the stack
     in_math = False
     around, within = Counter(), Counter()  # open inline elements outside and inside of it
     at, n = 0, len(page)
 
     def close() -> None:
-        nonlocal linked
+        nonlocal linked, unlinked
         if parts:
             text = " ".join("".join(parts).split())
             parts.clear()
             if text:
                 count = text.count(" ") + 1
                 found.append(Block(text, count, min(linked, count), int(heading > 0), inherited[0]))
+                unlinked += count - found[-1].linked
         linked = 0
 
     def leave(depth: int) -> None:
         """Ends the open elements from this depth on; what is skipped sets neither place nor heading."""
         nonlocal inherited, heading, skipped
         inherited = stack[depth][1]
-        heading -= sum(open_name in HEADINGS for open_name, _ in stack[depth:skipped])
+        heading -= sum(open_name in HEADINGS for open_name, _, _ in stack[depth:skipped])
+        boxes.extend((box[0], unlinked - box[1]) for _, _, box in stack[depth:] if box)
         del stack[depth:]
         if skipped is not None and skipped >= depth:
             skipped = None
@@ -185,11 +229,11 @@ def blocks(page: str) -> list[Block]:
             continue
         name, closing, empty = name.lower(), match.group(1), match.group(3).endswith("/")
         if skipped is not None and not closing and name in ENDS_FOREIGN and stack[skipped][0] == "svg":
-            if HOLDS_HTML.isdisjoint(open_name for open_name, _ in stack[skipped:]):
+            if HOLDS_HTML.isdisjoint(open_name for open_name, _, _ in stack[skipped:]):
                 leave(skipped)
         inline = name in INLINE
         if in_math and not inline and skipped is None and name not in RAW and name not in SKIPPED:
-            in_math = inline = not any(open_name == name for open_name, _ in stack) if closing else name not in ENDS_FOREIGN
+            in_math = inline = not any(open_name == name for open_name, _, _ in stack) if closing else name not in ENDS_FOREIGN
         if inline:
             if skipped is not None:
                 if not closing:
@@ -218,7 +262,7 @@ def blocks(page: str) -> list[Block]:
             if depth is not None:
                 leave(depth)
             continue
-        if name in RAW and (skipped is None or all(open_name != "svg" for open_name, _ in stack[skipped:])):
+        if name in RAW and (skipped is None or all(open_name != "svg" for open_name, _, _ in stack[skipped:])):
             end = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.IGNORECASE).search(page, at)
             at = end.end() if end else at if empty else n
             continue
@@ -228,14 +272,20 @@ def blocks(page: str) -> list[Block]:
         if name not in VOID and not empty:
             if name in ("p", "option") and stack and stack[-1][0] == name:  # it ends where the next begins
                 leave(len(stack) - 1)
-            stack.append((name, inherited))
-            if skipped is None and name in SKIPPED:
-                skipped = len(stack) - 1
-            elif skipped is None:
+            if skipped is None and name not in SKIPPED:
+                told = _told(name, match.group(3))
+                box = (match.start(), unlinked) if told.furniture or name in FORMS else None
+                stack.append((name, inherited, box))
                 heading += name in HEADINGS
-                inherited = _place(name, match.group(3), inherited)
+                inherited = _place(name, told, match.start() in frames, inherited)
+            else:
+                stack.append((name, inherited, None))
+                if skipped is None:
+                    skipped = len(stack) - 1
     close()
-    return found
+    if stack:
+        leave(0)
+    return found, boxes
 
 
 def features(words: np.ndarray, links: np.ndarray, heading: np.ndarray, place: np.ndarray) -> np.ndarray:
