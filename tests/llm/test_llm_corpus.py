@@ -251,6 +251,31 @@ def test_small_sources_are_clamped_and_odd_rows_counted(docs, no_docs):
     assert rows_of(mixing.mix(no_docs)) == [] == rows_of(mixing.mixed_documents(no_docs))
 
 
+@pytest.mark.parametrize("counts", [(6, 6), (9, 9, 9, 3), (30, 30)])
+def test_whole_targets_are_drawn_exactly(spark, tmp_path, monkeypatch, counts):
+    rows, key = [], 0
+    for name, count in zip("abcd", counts):
+        for _ in range(count):
+            key += 1
+            rows.append((key, "word", "en", name))
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    frame.write.parquet(f"{tmp_path}/documents.parquet")
+    database = duckdb.connect()
+    database.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    expected = Counter(database.execute(SQL["op10_water_filling"]).fetchall())
+    for bits in (mixing.CELL_BITS, 29, 0):
+        monkeypatch.setattr(mixing, "CELL_BITS", bits)
+        found = rows_of(mixing.mix(frame))
+        taken, targets = Counter(), {}
+        for r in found:
+            source = rows[r["doc_id"] - 1][3]
+            taken[source] += r["taken"]
+            targets[source] = r["target"]
+        assert all(abs(taken[source] - target) <= 0.5 for source, target in targets.items())
+        assert Counter((r["doc_id"], r["size"], r["source_size"], r["target"], r["taken"]) for r in found) == expected
+        assert mixing.mixed_documents(frame).count() == sum(taken.values())
+
+
 # SQL and the pipeline
 
 @pytest.mark.parametrize("name", sorted(SQL))

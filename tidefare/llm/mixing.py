@@ -74,13 +74,13 @@ def source_plan(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs
     )
 
     def crossing(rows: DataFrame, cell: str, known: DataFrame) -> DataFrame:
-        """The cell of each source in which its running words pass the fraction."""
+        """The cell of each source in which its running words reach the fraction."""
         running = Window.partitionBy("source").orderBy(cell)
         summed = rows.groupBy("source", cell).agg(F.sum("size").alias("cell_size"))
         return (
             with_small(summed, known)
             .withColumn("through", F.col("passed") + F.sum("cell_size").over(running))
-            .where((F.col("through") > F.col("fraction")) & (F.col("through") - F.col("cell_size") < F.col("fraction")))
+            .where((F.col("through") >= F.col("fraction")) & (F.col("through") - F.col("cell_size") < F.col("fraction")))
         )
 
     coarse = F.shiftright("place", CELL_BITS)
