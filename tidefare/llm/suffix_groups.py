@@ -1,13 +1,20 @@
-"""Removal of repeated passages by prefix-partitioned suffix trees.
+"""Removal of repeated passages: hashes of fixed windows, in place of prefix-partitioned suffix trees.
 
-Every window of `WINDOW` words is the suffix that starts there, cut at that depth: below it a tree says
-nothing more about repeats. Suffixes are split into groups by prefixes of variable length. A count of
+No tree is built. The method dealt was one suffix subtree for each prefix group; here every window of
+`WINDOW` words, the suffix that starts there cut at that depth, is one hash. A passage is removed if
+`WINDOW` words of it stand earlier, and longer repeats are made of such windows, so the nodes of that one
+depth decide all; and a hash of 8 bytes is moved and sorted instead of 20 words. Nodes of other depths,
+common prefixes of neighbours and maximal repeats are not available, words of equal hashes are not
+compared, and the prefixes below only deal windows out; they take no part in finding repeats.
+
+Windows are split into groups by prefixes of variable length. A count of
 all first and second words (as 10 and 6 bits of their hashes) finds the sizes; a run of first words
 makes a group while it is small enough, a frequent first word is split by its second words, and a
 frequent pair by ranges of the suffix's label, so that a group holds about `GROUP` suffixes whatever
-the corpus. In a group a suffix is its label, a 64-bit hash of its words, and its place. Sorted labels
-are the tree in suffix order: a run of equal labels is an internal node of that depth, its leaves are
-the occurrences, and all but the first one, by doc_id and start, are repeats.
+the corpus. In a group a suffix is its label, a 64-bit hash of its words, and its place. Sorted
+labels are in the order of the hash, not in suffix order; a run of equal labels holds what the tree
+has under one node of that depth: its leaves are the occurrences, and all but the first one, by doc_id
+and start, are repeats.
 
 Suffixes are combined before the shuffle: a task sends each node of a block of `BLOCK` words once, with
 its first leaf there, and knows the block's other leaves as repeats. So a passage in a third of all
