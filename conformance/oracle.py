@@ -413,6 +413,13 @@ SELECT CAST(position AS INTEGER) AS position, name, type FROM (VALUES
   (8, 'avg_speed_mph', 'double'), (9, 'pickup_longitude', 'double'), (10, 'pickup_latitude', 'double'),
   (11, 'dropoff_longitude', 'double'), (12, 'dropoff_latitude', 'double'), (13, 'fare_amount', 'double'),
   (14, 'surge_multiplier', 'double')) AS fields(position, name, type)""",
+    "feature_counts": _from_clean(" UNION ALL ".join(
+        f"SELECT CAST({position} AS INTEGER) AS position, '{name}' AS name, '{kind}' AS type, count(*) AS rows,"
+        f" count(*) FILTER ({name} IS NULL) AS nulls FROM clean"
+        for position, (name, kind) in enumerate(zip(
+            FEATURES.replace(",", " ").split(), "bigint int int int int double int".split() + ["double"] * 8
+        ))
+    )),
     "views_with_rows": _from_clean(f"""
 SELECT 'asked' AS view, count(*) > 0 AS has_rows FROM clean WHERE {VIEW}
 UNION ALL SELECT 'none', count(*) > 0 FROM clean WHERE dow_monday = 0 AND hour = 3 AND surge_multiplier = 3.2"""),

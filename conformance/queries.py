@@ -356,8 +356,18 @@ def stored_sample_csv(spark, sf_dir):
     return stored_sample(spark, csv, copy, out, block_rows=500, per_block=10)
 
 
+def _stored_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "schema-features")
+    write_features(trips.feature_table(_clean(spark, sf_dir), "trip_id"), path)
+    return spark.read.parquet(path)
+
+
 def feature_schema(spark, sf_dir):
-    return trips.schema_report(trips.feature_table(_clean(spark, sf_dir), "trip_id")).drop("nullable")
+    return trips.schema_report(_stored_features(spark, sf_dir)).drop("nullable")
+
+
+def feature_counts(spark, sf_dir):
+    return trips.column_report(_stored_features(spark, sf_dir))
 
 
 def views_with_rows(spark, sf_dir):
@@ -474,6 +484,7 @@ QUERIES: dict[str, Query] = {
     "unparsed_request_records": unparsed_request_records,
     "stored_sample_csv": stored_sample_csv,
     "feature_schema": feature_schema,
+    "feature_counts": feature_counts,
     "views_with_rows": views_with_rows,
     "surge_box_edges": surge_box_edges,
     "prediction_points": prediction_points,

@@ -171,6 +171,22 @@ def test_features_can_be_partitioned(spark, small):
     assert stored.count() == features.count()
 
 
+def test_column_report_counts_rows_and_nulls(spark):
+    frame = spark.createDataFrame([(1, "a", None), (2, None, None), (3, "c", None)], "`a.b` long, nulls_0 string, rows double")
+    of = lambda rows: sorted(map(tuple, trips.column_report(rows).collect()))
+    assert of(frame) == [(0, "a.b", "bigint", 3, 0), (1, "nulls_0", "string", 3, 1), (2, "rows", "double", 3, 3)]
+    assert {row[3:] for row in of(frame.limit(0))} == {(0, 0)}
+
+
+def test_feature_schema_reads_the_stored_table(spark, small):
+    from conformance.queries import feature_counts, feature_schema
+
+    report = feature_schema(spark, small).collect()
+    counts = feature_counts(spark, small).collect()
+    assert [(row.name, row.type) for row in counts] == [(row.name, row.type) for row in report]
+    assert {row.rows for row in counts} != {0} and "Scan parquet" in plan_text(feature_counts(spark, small))
+
+
 def test_schema_report(spark, small):
     from conformance import fixtures
 

@@ -106,6 +106,22 @@ def clean_audit(trips: DataFrame, in_train: Column | None = None) -> DataFrame:
     return trips.agg(*[value.alias(name) for name, value in counts.items()])
 
 
+def column_report(frame: DataFrame) -> DataFrame:
+    """Position, name and type of each column, with the table's rows and the column's nulls as counted in one pass."""
+    fields = frame.schema.fields
+    counted = frame.agg(
+        F.count(F.lit(1)).alias("rows"),
+        *[F.count_if(F.col(f"`{field.name}`").isNull()).alias(f"nulls_{position}") for position, field in enumerate(fields)],
+    )
+    return counted.select(F.inline(F.array(*[
+        F.struct(
+            F.lit(position).alias("position"), F.lit(field.name).alias("name"), F.lit(field.dataType.simpleString()).alias("type"),
+            F.col("rows"), F.col(f"nulls_{position}").alias("nulls"),
+        )
+        for position, field in enumerate(fields)
+    ])))
+
+
 def schema_report(frame: DataFrame) -> DataFrame:
     """Position, name, type and nullability of each column; reads no data."""
     return rows_of(
