@@ -11,7 +11,7 @@ import pytest
 
 import corpus_pipeline
 from tidefare.llm import components, line_dedup, minhash, mixing, suffix_groups
-from tidefare.llm.common import stored
+from tidefare.llm.common import identified, stored
 from tidefare.llm.queries import QUERIES
 from tidefare.llm.sql import SQL
 
@@ -149,6 +149,47 @@ def test_prefixes_split_frequent_words_and_ranges():
     assert sizes.max() <= 100
 
 
+#: One doc_id with different texts, two null ids, copies, and lines that stand nowhere else.
+SHARED_IDS = [
+    (1, "alpha beta gamma delta"),
+    (2, "x y z\nalpha beta gamma delta"),
+    (2, "own first\nown other line two"),
+    (2, "own first\nown other line two"),
+    (None, sentence(41, 70) + "\nfirst line without an id"),
+    (None, "second line without an id\n" + sentence(42, 50)),
+    (None, None),
+    (3, sentence(41, 60)),
+    (3, "three words only"),
+    (3, sentence(42, 45) + " " + sentence(43, 140)),
+    (4, sentence(43, 140)),
+    (4, ""),
+]
+
+
+def by_text(spark, rows):
+    """The distinct rows in the operators' order, with numbers as ids."""
+    from pyspark.sql import functions as F
+
+    ordered = spark.createDataFrame(rows, "doc_id long, text string").distinct().orderBy(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
+    return [(row["doc_id"], row["text"]) for row in ordered.collect()]
+
+
+def test_different_texts_under_one_id_are_documents_of_their_own(spark):
+    docs = spark.createDataFrame(SHARED_IDS, "doc_id long, text string").repartition(3)
+    ordered = by_text(spark, SHARED_IDS)
+    texts = dict(enumerate(text for _, text in ordered))
+    gone, repeats = similar_lines(texts), brute_removed(texts)
+    lines, passages = {}, {}
+    for number, row in enumerate(ordered):
+        lines[row] = None if row[1] is None else kept_text(row[1], gone[number])
+        passages[row] = repeats[number]
+    expected = Counter((key, lines[key, text]) for key, text in SHARED_IDS)
+    assert Counter((r["doc_id"], r["text"]) for r in rows_of(line_dedup.dedup_lines(docs))) == expected
+    found = Counter((r["doc_id"], r["n_words"], r["n_removed"], r["kept_sha256"]) for r in rows_of(suffix_groups.remove_repeats(docs)))
+    assert found == Counter((key, *passages[key, text]) for key, text in SHARED_IDS)
+    assert sum(n for _, n, _ in repeats.values()) > 100 and any(gone.values())
+
+
 # Lines
 
 def similar_lines(texts):
@@ -195,10 +236,30 @@ def test_similar_lines_equal_brute_force(spark, monkeypatch):
     for most, short in ((400_000, 64), (0, 2)):  # the second leaves many partners to the second join
         monkeypatch.setattr(line_dedup, "BROADCAST_ROWS", most)
         monkeypatch.setattr(line_dedup, "SHORT", short)
-        found = {r["doc"]: sorted(r["gone"]) for r in rows_of(line_dedup.removed_lines(docs))}
+        found = {r["doc"]: sorted(r["gone"]) for r in rows_of(line_dedup.removed_lines(identified(docs)))}
         assert found == {key: gone for key, gone in expected.items() if gone}
 
 
+def test_interleaved_families_keep_few_partners(spark):
+    """Three families of similar lines that share a rare token, one line after the other: rows grow with the lines."""
+    from pyspark.sql import functions as F
+
+    kept = []
+    for size in (300, 600):
+        texts = []
+        for k in range(size):
+            words = sentence(700 + k % 3, 24).split()
+            words[k % 5] = f"own{k}"
+            texts.append((k, "raretoken " + " ".join(words)))
+        docs = identified(spark.createDataFrame(texts, "doc_id long, text string"))
+        lines = stored(line_dedup.prefix_table(docs, line_dedup.token_ranks(docs), spark.createDataFrame([], "doc long, gone array<int>"), 80), "test-lines")
+        found = stored(line_dedup.partners(lines, 80), "test-partners")
+        kept.append(found.agg(F.sum(F.size("partners"))).first()[0])
+        removed = {r["doc"] for r in rows_of(line_dedup.removed_lines(docs))}
+        assert removed == {key for key, gone in similar_lines(dict(texts)).items() if gone}
+    assert kept[1] < 2.5 * kept[0]
+
+
 # Mixing
 
 def filled(sizes, weights, cap=3):

@@ -33,6 +33,32 @@ def stored(frame: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+#: Stands for a null doc_id, before all others.
+NO_ID = -(1 << 63)
+
+
+def identified(docs: DataFrame, row: Column | None = None) -> DataFrame:
+    """(doc, doc_id, text, and `row` if given): `doc` is a number in order of doc_id, nulls first, that tells rows apart.
+
+    Where every doc_id has one text, `doc` is the doc_id. Else rows of one doc_id are in order of a hash of
+    their text; their numbers come from a sorted, stored table of (doc_id, hash). Equal rows share a number: they are
+    copies of one document.
+    """
+    columns = [F.col("doc_id").cast("long").alias("doc_id"), "text"] + ([row.alias("row")] if row is not None else [])
+    named = docs.select(*columns)
+    doc_id = F.coalesce("doc_id", F.lit(NO_ID))
+    plain = named.withColumn("doc", doc_id)
+    # Texts are only read if an id occurs twice.
+    if named.groupBy("doc_id").count().where("count > 1").isEmpty():
+        return plain
+    hashed = plain.withColumn("tie", F.xxhash64("text"))
+    if hashed.groupBy("doc").agg(F.min("tie").alias("least"), F.max("tie").alias("most")).where("least <> most").isEmpty():
+        return plain
+    numbers = hashed.select("doc", "tie").distinct().repartitionByRange("doc", "tie").sortWithinPartitions("doc", "tie")
+    numbered = stored(numbers.withColumn("number", F.monotonically_increasing_id()), "row-numbers")
+    return hashed.join(numbered, ["doc", "tie"]).drop("doc", "tie").withColumnRenamed("number", "doc")
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -1,21 +1,22 @@
 """Adaptive context-mixing range coder for token ids, in independent blocks.
 
 A block holds at most `BLOCK_IDS` ids and starts from an empty model; the blocks of a group are coded
-side by side, one numpy step for each place, so that a step costs about as much for one block as for
-a thousand. In a block an id is known by the number of its first appearance there, from 1.
+side by side, one numpy step for each place, so that a step costs little more for a thousand blocks than
+for one. In a block an id is known by the number of its first appearance there, from 1.
 
 Three predictions are mixed for every id:
 
 * order 2: the number that last followed the two before it (a slot chosen by their hash);
 * order 1: the number that last followed the one before it;
-* order 0: counts of all numbers so far, and of first appearances, for which number 0 stands. A first
-  appearance is followed by the id itself, all ids alike.
+* order 0: counts of the numbers that orders 1 and 2 missed so far, and of first appearances, for which number 0
+  stands. A first appearance is followed by the id itself, all ids alike.
 
-Orders 1 and 2 name one number and how often in a row it came true, 0 to 3. Their weights are learned:
+Orders 1 and 2 name one number and how often in a row it came true, 0 to 3. The mixture's weights are learned:
 for every pair of those confidences, and whether both name the same number, the block counts how often
-order 2, else order 1, else neither was right. The mixed probability of a number is the sum over
-all three. Its interval goes to a range coder with 64 bits of state, words of 32 bits and carries.
-All arithmetic is in integers, so every machine decodes what any machine wrote.
+order 2, else order 1, else neither was right. The mixture is coded in two parts: by its weights, which is the
+first order that is right; then, if neither named it, the number by the counts of order 0. Both drive a range
+coder with 64 bits of state, words of 32 bits and carries. All arithmetic is in integers, so every machine
+decodes what any machine wrote.
 
 An encoded block is `HEADER` (mark, ids, their CRC-32, words) and its words, little-endian. The checksum
 is compared after decoding.
@@ -32,23 +33,22 @@ import pandas as pd
 #: Numbers 0 to 1023 fit two digits of 32; 0 stands for a first appearance.
 BLOCK_IDS = 1023
 #: Blocks that are coded side by side.
-LANES = 4096
+LANES = 2048
 HEADER = "<4sIII"
 HEADER_BYTES = struct.calcsize(HEADER)
 MARK = b"tid1"
 
 DIGITS, DIGIT_BITS = 32, 5
 NUMBERS = DIGITS ** 2
-PAIR_SLOTS = 1 << 11
-WEIGHT_BITS = 11
+PAIR_SLOTS = 1 << 10
 U64 = np.uint64
-#: What a count of 1, and of 2, adds to its row's totals: digit d counts for the places after d.
-STEPS = np.concatenate([amount * (np.arange(DIGITS)[:, None] < np.arange(DIGITS)) for amount in (1, 2)]).astype(np.uint16)
-
+#: What a count adds to its row's totals: digit d counts for the places after d.
+STEPS = (np.arange(DIGITS)[:, None] < np.arange(DIGITS)).astype(np.uint16)
 #: Which order was right, by (order 2 was) * 2 + (order 1 was): 0 for order 2, 1 for order 1, 2 for neither.
 OUTCOMES = np.array([2, 1, 0, 0])
 #: The next confidence, by (it came true) * 4 + confidence.
-CONFIDENCES = np.array([1, 1, 1, 1, 1, 2, 3, 3])
+CONFIDENCES = np.array([1, 1, 1, 1, 1, 2, 3, 3], np.uint16)
+CONTEXTS = 32
 
 
 class Damaged(ValueError):
@@ -56,142 +56,106 @@ class Damaged(ValueError):
 
 
 class Counts:
-    """Counts of the numbers of each lane; a number's two digits of 32 lead through rows of running totals."""
+    """Order 0 of each lane: counts of numbers, whose two digits of 32 lead through rows of running totals, and of first appearances."""
 
     def __init__(self, lanes: int):
-        self.rows = [np.zeros((lanes * DIGITS ** depth, DIGITS), np.uint16) for depth in range(2)]
+        self.upper, self.lower = (np.zeros((lanes * DIGITS ** depth, DIGITS), np.uint16) for depth in range(2))
         # The same memory as single numbers, and as whole rows.
-        self.flat = [rows.reshape(-1) for rows in self.rows]
-        self.whole = [rows.view(f"V{2 * DIGITS}").reshape(-1) for rows in self.rows]
+        self.upper_flat, self.lower_flat = self.upper.reshape(-1), self.lower.reshape(-1)
+        self.upper_rows, self.lower_rows = (rows.view(f"V{2 * DIGITS}").reshape(-1) for rows in (self.upper, self.lower))
         self.own = np.zeros(lanes * NUMBERS, np.uint16)
-        self.lane = np.arange(lanes)
-        self.first_row = self.lane * DIGITS
-        self.first_number = self.lane * NUMBERS
         self.fresh = np.ones(lanes, np.int64)
         self.total = np.ones(lanes, np.int64)
 
-    def add(self, number: np.ndarray, twice: np.ndarray) -> None:
-        """Counts each lane's number, above 0, once or twice."""
-        active = len(number)
-        shift = twice * DIGITS
-        upper = number >> DIGIT_BITS
-        for depth, (row, digit) in enumerate(((self.lane[:active], upper), (self.first_row[:active] + upper, number & (DIGITS - 1)))):
-            changed = self.rows[depth].take(row, axis=0)
-            changed += STEPS.take(shift + digit, axis=0)
-            np.put(self.whole[depth], row, changed.view(f"V{2 * DIGITS}").reshape(-1))
-        amount = twice + 1
-        at = self.first_number[:active] + number
-        np.put(self.own, at, self.own.take(at) + amount)
-        self.total[:active] += amount
+    def add(self, lanes: np.ndarray, number: np.ndarray) -> None:
+        """Counts a number above 0 in each of the lanes."""
+        digit = number >> DIGIT_BITS
+        for rows, whole, row, place in (
+            (self.upper, self.upper_rows, lanes, digit), (self.lower, self.lower_rows, lanes * DIGITS + digit, number & (DIGITS - 1)),
+        ):
+            changed = rows.take(row, axis=0)
+            changed += STEPS.take(place, axis=0)
+            np.put(whole, row, changed.view(f"V{2 * DIGITS}").reshape(-1))
+        at = lanes * NUMBERS + number
+        np.put(self.own, at, self.own.take(at) + np.uint16(1))
+        self.total[lanes] += 1
 
     def add_fresh(self, lanes: np.ndarray) -> None:
         self.fresh[lanes] += 1
         self.total[lanes] += 1
 
-    def below(self, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """How much the smaller numbers count, first appearances among them, and how much the number itself."""
-        active = len(number)
-        fresh = self.fresh[:active]
-        at = self.first_number[:active] + number
-        smaller = fresh + self.flat[0].take(self.first_row[:active] + (number >> DIGIT_BITS))
-        smaller += self.flat[1].take(at)
+    def interval(self, lanes: np.ndarray, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(start, size) of each lane's number in a range of `total`; first appearances come first."""
+        fresh = self.fresh.take(lanes)
+        at = lanes * NUMBERS + number
+        start = fresh + self.upper_flat.take(lanes * DIGITS + (number >> DIGIT_BITS))
+        start += self.lower_flat.take(at)
         known = number > 0
-        smaller *= known
-        return smaller, np.where(known, self.own.take(at), fresh)
+        return start * known, np.where(known, self.own.take(at), fresh)
 
-    def at(self, target: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The number whose share of the total holds the target, with its `below`."""
-        active = len(target)
-        fresh = self.fresh[:active]
+    def find(self, lanes: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The number whose interval holds the target, and the interval."""
+        fresh = self.fresh.take(lanes)
         left = target - fresh
         known = left >= 0
         left = np.maximum(left, 0).astype(np.uint16)
-        number, smaller = 0, fresh.copy()
-        for depth, first in enumerate((self.lane, self.first_row)):
-            row = first[:active] + number
-            marks = np.bitwise_count((self.rows[depth].take(row, axis=0) <= left[:, None]).view(U64)).view(np.uint32).reshape(-1)
+        number, start = 0, fresh.copy()
+        for rows, flat, row in ((self.upper, self.upper_flat, lanes), (self.lower, self.lower_flat, lanes * DIGITS)):
+            row = row + number
+            marks = np.bitwise_count((rows.take(row, axis=0) <= left[:, None]).view(U64)).view(np.uint32).reshape(-1)
             # Four counts of up to 8 in one number: their sum is the upper byte of the product.
             digit = ((marks * np.uint32(0x01010101)) >> np.uint32(24)).astype(np.int64) - 1
-            before = self.flat[depth].take(row * DIGITS + digit)
+            before = flat.take(row * DIGITS + digit)
             left -= before
-            smaller += before
+            start += before
             number = number * DIGITS + digit
-        number *= known
-        smaller *= known
-        return number, smaller, np.where(known, self.own.take(self.first_number[:active] + number), fresh)
+        number = number * known
+        return number, start * known, np.where(known, self.own.take(lanes * NUMBERS + number), fresh)
 
 
 class Model:
-    """The three predictions of every lane, and their mixture."""
+    """Orders 1 and 2 of every lane, and the weights of the mixture."""
 
     def __init__(self, lanes: int):
-        self.counts = Counts(lanes)
-        # Predicted number * 4 + confidence; 0 is an empty slot.
-        self.single = np.zeros(lanes * NUMBERS, np.uint16)
-        self.double = np.zeros(lanes * PAIR_SLOTS, np.uint16)
-        self.first_slot = np.arange(lanes) * PAIR_SLOTS
-        confidence = np.arange(32)
-        start = np.stack([confidence // 8 > 0, confidence // 2 % 4 > 0, np.ones(32), np.zeros(32)], axis=1)
-        self.hits = np.tile(start.astype(np.uint32), (lanes, 1))
-        self.hits_flat = self.hits.reshape(-1)
-        self.first_context = np.arange(lanes) * 32
-        self.last = np.zeros(lanes, np.int64)
-        self.before_last = np.zeros(lanes, np.int64)
-
-    def predict(self, active: int) -> None:
-        """Sets the predictions and weights of the next number in the first `active` lanes."""
+        lane = np.arange(lanes)
+        # Predicted number * 4 + confidence; 0 is an empty slot, and no number's.
+        self.single, self.first_single = np.zeros(lanes * NUMBERS, np.uint16), lane * NUMBERS
+        self.double, self.first_double = np.zeros(lanes * PAIR_SLOTS, np.uint16), lane * PAIR_SLOTS
+        confidence = np.arange(CONTEXTS)
+        start = np.stack([confidence // 8 > 0, confidence // 2 % 4 > 0, np.ones(CONTEXTS), np.zeros(CONTEXTS)], axis=1)
+        self.hits = np.tile(start.astype(np.uint16), (lanes, 1))
+        self.hits_flat, self.first_context = self.hits.reshape(-1), lane * CONTEXTS
+        self.last, self.before_last = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
+
+    def predict(self, active: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Predicts the next number in the first `active` lanes; returns the weights of orders 2 and 1, and of all."""
         last = self.last[:active]
-        pair = ((self.before_last[:active] * 0x9E3779B1 + last * 0x85EBCA6B) >> 7) & (PAIR_SLOTS - 1)
-        self.single_at, self.double_at = self.counts.first_number[:active] + last, self.first_slot[:active] + pair
-        single, double = self.single.take(self.single_at).astype(np.int64), self.double.take(self.double_at).astype(np.int64)
+        pair = ((self.before_last[:active] * 0x9E3779B1 + last * 0x85EBCA6B) >> 9) & (PAIR_SLOTS - 1)
+        self.single_at, self.double_at = self.first_single[:active] + last, self.first_double[:active] + pair
+        single, double = self.single.take(self.single_at), self.double.take(self.double_at)
         self.one, self.two = single >> 2, double >> 2
         self.one_sure, self.two_sure = single & 3, double & 3
-        self.context = self.first_context[:active] + self.two_sure * 8 + self.one_sure * 2 + (self.one == self.two)
+        self.context = self.first_context[:active] + (self.two_sure * 8 + self.one_sure * 2 + (self.one == self.two))
         hits = self.hits.take(self.context, axis=0)
-        two, one = hits[:, 0], hits[:, 1]
-        every = two + one + hits[:, 2]
-        two, one = (two << WEIGHT_BITS) // every, (one << WEIGHT_BITS) // every
-        self.base = ((1 << WEIGHT_BITS) - two - one).astype(np.int64)
-        self.total = self.counts.total[:active]
-        self.two_mass, self.one_mass = two * self.total, one * self.total
-
-    def mixed(self, number: np.ndarray, smaller: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(start, size) of the number, with its counts, in a range of total << WEIGHT_BITS."""
-        start = self.base * smaller + self.one_mass * (self.one < number) + self.two_mass * (self.two < number)
-        return start, self.base * own + self.one_mass * (self.one == number) + self.two_mass * (self.two == number)
-
-    def interval(self, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        return self.mixed(number, *self.counts.below(number))
-
-    def find(self, target: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The number whose interval holds the target, and the interval."""
-        low, high = np.minimum(self.one, self.two), np.maximum(self.one, self.two)
-        low_mass = np.where(self.two < self.one, self.two_mass, self.one_mass)
-        high_mass = self.one_mass + self.two_mass - low_mass
-        low_below, low_own = self.counts.below(low)
-        high_below, high_own = self.counts.below(high)
-        into_low, into_high = target - self.base * low_below, target - self.base * high_below - low_mass
-        # A predicted mass stands where its number's counts begin; without the masses, the counts are searched.
-        passed = np.clip(into_low, 0, low_mass) + np.clip(into_high, 0, high_mass)
-        is_low, is_high = (into_low >= 0) & (into_low < low_mass), (into_high >= 0) & (into_high < high_mass)
-        number, smaller, own = self.counts.at(((target - passed).view(U64) // self.base.view(U64)).view(np.int64))
-        number = np.where(is_low, low, np.where(is_high, high, number))
-        smaller = np.where(is_low, low_below, np.where(is_high, high_below, smaller))
-        own = np.where(is_low, low_own, np.where(is_high, high_own, own))
-        return number, *self.mixed(number, smaller, own)
-
-    def update(self, number: np.ndarray, entered: np.ndarray) -> None:
-        """`number` came (0: a first appearance, which got the number `entered`)."""
-        active = len(number)
-        right = self.two == entered, self.one == entered
-        self.hits_flat[self.context * 4 + OUTCOMES.take(right[0] * 2 + right[1])] += 1
-        self.counts.add(entered, (number > 0).astype(np.int64))
-        self.counts.add_fresh(np.flatnonzero(number == 0))
-        for table, at, guess, sure, came in ((self.double, self.double_at, self.two, self.two_sure, right[0]), (self.single, self.single_at, self.one, self.one_sure, right[1])):
-            kept = np.where(came | (sure > 1), guess, entered)
-            kept *= 4
-            kept += CONFIDENCES.take(came * 4 + sure)
-            np.put(table, at, kept)
+        two, one = hits[:, 0], hits[:, 0] + hits[:, 1]
+        return two, one, one + hits[:, 2]
+
+    def outcome(self, entered: np.ndarray) -> np.ndarray:
+        """0 where order 2 named the number, else 1 where order 1 did, else 2."""
+        return OUTCOMES.take((self.two == entered) * 2 + (self.one == entered))
+
+    def update(self, entered: np.ndarray, outcome: np.ndarray) -> None:
+        """The number that came, `entered`, above 0."""
+        at = self.context * 4 + outcome
+        np.put(self.hits_flat, at, self.hits_flat.take(at) + np.uint16(1))
+        numbers = entered.astype(np.uint16)
+        for table, at, guess, sure in ((self.double, self.double_at, self.two, self.two_sure), (self.single, self.single_at, self.one, self.one_sure)):
+            came = guess == numbers
+            held = np.where(came | (sure > 1), guess, numbers)
+            held <<= 2
+            held |= CONFIDENCES.take(came * 4 + sure)
+            np.put(table, at, held)
+        active = len(entered)
         self.before_last[:active] = self.last[:active]
         self.last[:active] = entered
 
@@ -284,16 +248,25 @@ def encode(ids: np.ndarray, ids_in_all: int, block_ids: int = BLOCK_IDS) -> list
         return np.ascontiguousarray(padded.reshape(lanes, places).T)
 
     entered, coded, plain = by_place(number), by_place(np.where(fresh, 0, number)), by_place(ids)
-    model, out = Model(lanes), Writer(lanes, places)
+    model, counts, out = Model(lanes), Counts(lanes), Writer(lanes, places)
     for place in range(places):
         active = lanes if place < lengths[-1] else lanes - 1
-        model.predict(active)
-        start, size = model.interval(coded[place, :active])
-        out.narrow(slice(0, active), start, size, model.total << WEIGHT_BITS)
-        first = np.flatnonzero(coded[place, :active] == 0)
-        if len(first):
-            out.narrow(first, plain[place, first], np.ones(len(first), np.int64), ids_in_all)
-        model.update(coded[place, :active], entered[place, :active])
+        now = entered[place, :active]
+        two, one, every = model.predict(active)
+        outcome = model.outcome(now)
+        start = np.where(outcome == 0, 0, np.where(outcome == 1, two, one))
+        out.narrow(slice(0, active), start, np.where(outcome == 0, two, np.where(outcome == 1, one - two, every - one)), every)
+        missed = np.flatnonzero(outcome == 2)
+        if len(missed):
+            number = coded[place].take(missed)
+            out.narrow(missed, *counts.interval(missed, number), counts.total.take(missed))
+            is_first = number == 0
+            first = missed[is_first]
+            if len(first):
+                out.narrow(first, plain[place].take(first), np.ones(len(first), np.int64), ids_in_all)
+                counts.add_fresh(first)
+            counts.add(missed, now.take(missed))
+        model.update(now, outcome)
     out.finish()
     blocks = []
     for lane in range(lanes):
@@ -323,27 +296,36 @@ def decode(blocks: list[bytes], ids_in_all: int) -> list[np.ndarray]:
         words[lane, :heads[k][2]] = np.frombuffer(blocks[k], "<u4", heads[k][2], HEADER_BYTES)
     lengths = lengths[order]
     places = int(lengths.max(initial=0))
-    model, source = Model(len(blocks)), Reader(words)
+    model, counts, source = Model(len(blocks)), Counts(len(blocks)), Reader(words)
     known = np.zeros(len(blocks) * NUMBERS, np.uint32)
     entries = np.ones(len(blocks), np.int64)
     first_known = np.arange(len(blocks)) * NUMBERS
     ids = np.zeros((places, len(blocks)), np.uint32)
     for place in range(places):
         active = int(np.searchsorted(-lengths, -place, side="left"))
-        model.predict(active)
-        number, start, size = model.find(source.target(slice(0, active), model.total << WEIGHT_BITS))
-        source.narrow(slice(0, active), start, size)
-        first = np.flatnonzero(number == 0)
-        entered = number
-        if len(first):
-            plain = source.target(first, ids_in_all)
-            source.narrow(first, plain, np.ones(len(first), np.int64))
-            entered = number.copy()
-            entered[first] = entries[first]
-            known[first * NUMBERS + entries[first]] = plain
-            entries[first] += 1
+        two, one, every = model.predict(active)
+        target = source.target(slice(0, active), every)
+        by_one, by_none = target >= two, target >= one
+        outcome = by_one.astype(np.int64) + by_none
+        start = np.where(by_none, one, two * by_one)
+        source.narrow(slice(0, active), start, np.where(by_none, every, np.where(by_one, one, two)) - start)
+        entered = np.where(by_one, model.one, model.two).astype(np.int64)
+        missed = np.flatnonzero(by_none)
+        if len(missed):
+            number, start, size = counts.find(missed, source.target(missed, counts.total.take(missed)))
+            source.narrow(missed, start, size)
+            first = missed[number == 0]
+            if len(first):
+                plain = source.target(first, ids_in_all)
+                source.narrow(first, plain, np.ones(len(first), np.int64))
+                number[number == 0] = entries[first]
+                known[first * NUMBERS + entries[first]] = plain
+                entries[first] += 1
+                counts.add_fresh(first)
+            entered[missed] = number
+            counts.add(missed, number)
         ids[place, :active] = known.take(first_known[:active] + entered)
-        model.update(number, entered)
+        model.update(entered, outcome)
     out: list[np.ndarray] = [np.empty(0, np.uint32)] * len(blocks)
     for at, k in enumerate(order.tolist()):
         own = np.ascontiguousarray(ids[:lengths[at], at], "<u4")

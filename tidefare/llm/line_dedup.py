@@ -1,7 +1,7 @@
 """Line deduplication by an exact set-similarity join, in DataFrame functions only.
 
 The tokens of a line are its distinct words. A line is removed if an earlier line of the input, by
-(doc_id, line number), has a Jaccard similarity of at least `PERCENT` in 100 to it, whether or not that
+(document, line number), has a Jaccard similarity of at least `PERCENT` in 100 to it, whether or not that
 earlier line is removed itself. Lines without a word are left alone.
 
 1. Lines of equal text: all but the first go, found by one count of line hashes.
@@ -10,13 +10,15 @@ earlier line is removed itself. Lines without a word are left alone.
    the first n - ceil(0.8 n) + 1 and m - ceil(0.8 m) + 1, so lines meet in the groups of those tokens.
    A pair is dropped there if its sizes differ too much, if the tokens that can still follow the shared
    one are too few (positional filter), or if bitmaps of their tokens differ in more bits than the two
-   lines may differ in tokens. Pairs are never written out: each later line keeps its closest partner.
-   Where the first line of the group or the line just before is already close, only those are tried.
+   lines may differ in tokens. Each later line keeps the earlier lines that pass, in the first `SHORT` of a
+   group at most that many. Past those, where the first line of the group or one of the `SHORT` lines before is
+   close, only that one is tried.
 3. The closest partner is verified on the full sets. Later lines whose closest partner fails meet all
    their other partners, again verified on full sets.
 
-Null and empty texts have no lines; an empty table gives no rows. Rows with equal doc_id are taken as
-copies of one document: a line is no duplicate of the same line number there. Null doc_ids come first.
+Null and empty texts have no lines; an empty table gives no rows. Null doc_ids come first. Different texts
+under one doc_id (or under none) are documents of their own, in order of a hash of the text; equal rows are
+copies of one document: a line is no duplicate of the same line number there.
 The tables that are broadcast have at most `BROADCAST_ROWS` rows; beyond that they are shuffled.
 """
 
@@ -28,15 +30,16 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidefare.llm.common import WORD, joined, stored
+from tidefare.llm.common import identified, joined, stored
 
 PERCENT = 80
+#: What separates words.
+SPACES = " \t\x0b\x0c\r\n"
 #: Hash buckets in which tokens are counted: a table of fixed size.
 BUCKET_BITS = 16
 BROADCAST_ROWS = 400_000
 #: The first lines of a group are compared with all lines before them.
 SHORT = 64
-NO_ID = -(1 << 63)
 
 
 def tokens(line: str) -> Column:
@@ -73,11 +76,11 @@ def token_keys(line: str, ranks: Column) -> Column:
 
 
 def numbered_lines(docs: DataFrame) -> DataFrame:
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    return docs.select("doc", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
 
 
-def has_word(line: str) -> Column:
-    return F.col(line).rlike(WORD)
+def has_word(line: str | Column) -> Column:
+    return F.ltrim(F.col(line) if isinstance(line, str) else line, F.lit(SPACES)) != ""
 
 
 def repeated_lines(docs: DataFrame) -> DataFrame:
@@ -86,6 +89,7 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     hashed = numbered_lines(docs).where(has_word("line")).select(
         "doc", "line_no", F.xxhash64("line").alias("one"), F.xxhash64(F.lit(1), F.col("line")).alias("other")
     )
+    hashed = stored(hashed, "lines-hashed")
     firsts = hashed.groupBy("one", "other").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("one", "other", "first")
     return hashed.join(firsts, ["one", "other"]).where(place != F.col("first")).select("doc", "line_no").distinct()
 
@@ -95,13 +99,12 @@ def by_document(lines: DataFrame, name: str) -> DataFrame:
 
 
 def with_lists(docs: DataFrame, lists: DataFrame) -> DataFrame:
-    keyed = docs.withColumn("doc", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)))
-    return joined(keyed, lists, "doc", BROADCAST_ROWS, "left")
+    return joined(docs, lists, "doc", BROADCAST_ROWS, "left")
 
 
 def prefix_table(docs: DataFrame, ranks: Column, gone: DataFrame, percent: int) -> DataFrame:
     """(doc, line_no, n, bits, more_bits, prefix) of lines that are not yet gone."""
-    left = with_lists(docs.select("doc_id", "text"), gone).select("doc", "gone", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    left = with_lists(docs.select("doc", "text"), gone).select("doc", "gone", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
     left = left.where(F.col("gone").isNull() | ~F.array_contains("gone", F.col("line_no"))).where(has_word("line"))
     n = F.size("keys")
 
@@ -123,17 +126,17 @@ def entries(lines: DataFrame) -> DataFrame:
     return lines.select("doc", "line_no", "n", "bits", "more_bits", F.posexplode("prefix").alias("position", "token"))
 
 
-def distance(one: str, other: str) -> Column:
-    return reduce(Column.__add__, (F.bit_count(F.col(f"{one}.{name}").bitwiseXOR(F.col(f"{other}.{name}"))) for name in ("bits", "more_bits")))
+def distance(one: Column, other: Column) -> Column:
+    return reduce(Column.__add__, (F.bit_count(one[name].bitwiseXOR(other[name])) for name in ("bits", "more_bits")))
 
 
-def may_match(later: str, earlier: str, percent: int) -> Column:
+def may_match(later: Column, earlier: Column, percent: int) -> Column:
     """Length, positional and bitmap filters for entries of one token."""
-    a, b = (lambda name: F.col(f"{later}.{name}")), (lambda name: F.col(f"{earlier}.{name}"))
-    both = a("n") + b("n")
-    shared = F.least(a("n") - a("position"), b("n") - b("position")) + F.least(a("position"), b("position"))
+    sizes = later["n"], earlier["n"]
+    both = sizes[0] + sizes[1]
+    shared = F.least(later["n"] - later["position"], earlier["n"] - earlier["position"]) + F.least(later["position"], earlier["position"])
     return (
-        (F.least(a("n"), b("n")) * 100 >= F.greatest(a("n"), b("n")) * percent)
+        (F.least(*sizes) * 100 >= F.greatest(*sizes) * percent)
         & (shared * (100 + percent) >= both * percent)
         & (distance(later, earlier) * (100 + percent) <= both * (100 - percent))
     )
@@ -142,50 +145,53 @@ def may_match(later: str, earlier: str, percent: int) -> Column:
 ENTRY = ("doc", "line_no", "n", "bits", "more_bits", "position")
 
 
-def before(earlier: str, later: str) -> Column:
-    return (F.col(f"{earlier}.doc") < F.col(f"{later}.doc")) | (
-        (F.col(f"{earlier}.doc") == F.col(f"{later}.doc")) & (F.col(f"{earlier}.line_no") < F.col(f"{later}.line_no"))
-    )
+def before(earlier: Column, later: Column) -> Column:
+    return (earlier["doc"] < later["doc"]) | ((earlier["doc"] == later["doc"]) & (earlier["line_no"] < later["line_no"]))
 
 
-def partner(later: str, earlier: str) -> list[Column]:
+def partner(later: Column, earlier: Column) -> list[Column]:
     return [
-        F.col(f"{later}.doc").alias("doc"), F.col(f"{later}.line_no").alias("line_no"),
-        F.struct(distance(later, earlier).alias("distance"), F.col(f"{earlier}.doc").alias("doc"), F.col(f"{earlier}.line_no").alias("line_no")).alias("partner"),
+        later["doc"].alias("doc"), later["line_no"].alias("line_no"),
+        F.struct(distance(later, earlier).alias("distance"), earlier["doc"].alias("doc"), earlier["line_no"].alias("line_no")).alias("partner"),
     ]
 
 
 def partners(lines: DataFrame, percent: int) -> DataFrame:
     """(doc, line_no, partners, untried): for each line that has partners, the earlier lines that pass the filters.
 
-    Past the first `SHORT` lines of a group a line that is close to the group's first line, or to the
-    line before it, is not compared with the others there; `untried` says so.
+    The first `SHORT` lines of a token's group are compared with all before them. A later one that is close to
+    the group's first line, or to one of the `SHORT` lines before it, is not compared with the others there; `untried`
+    says so. Only a later line that is close to none of them meets the whole group, in a join of its own.
     """
     group = Window.partitionBy("token").orderBy("doc", "line_no")
-    own = F.struct(*ENTRY)
-    # Dealt once: the window and both sides of the join read the same shuffle.
-    all_entries = entries(lines).select("token", *ENTRY).repartition("token")
-    seen = all_entries.select(
-        "token", own.alias("own"), F.row_number().over(group).alias("rank"),
-        F.first(own).over(group.rowsBetween(Window.unboundedPreceding, 0)).alias("first"), F.lag(own).over(group).alias("last"),
+    entry, own, other = F.struct(*ENTRY), F.col("own"), F.col("other")
+    seen = entries(lines).select(
+        "token", entry.alias("own"), F.row_number().over(group).alias("rank"),
+        F.first(entry).over(group.rowsBetween(Window.unboundedPreceding, 0)).alias("first"),
+        F.collect_list(entry).over(group.rowsBetween(-SHORT, -1)).alias("earlier"),
     )
-    near = F.when(F.col("rank") > SHORT, F.when(before("first", "own") & may_match("own", "first", percent), F.col("first")).when(
-        before("last", "own") & may_match("own", "last", percent), F.col("last")
-    ))
-    chosen = seen.select("token", "own", near.alias("near"))
-    others = all_entries.select("token", own.alias("other"))
-    tried = F.when(F.col("near").isNotNull(), (F.col("other.doc") == F.col("near.doc")) & (F.col("other.line_no") == F.col("near.line_no"))).otherwise(
-        before("other", "own") & may_match("own", "other", percent)
+    # An entry of the same line number of an equal row comes right before, and is no partner.
+    first_fits = before(F.col("first"), own) & may_match(own, F.col("first"), percent)
+    fitting = F.filter("earlier", lambda entry: before(entry, own) & may_match(own, entry, percent))
+    near = F.when(F.col("rank") > SHORT, F.when(first_fits, F.col("first")).otherwise(F.get(fitting, F.lit(0))))
+    named = seen.where("rank > 1").select("token", "own", "rank", "earlier", near.alias("near"))
+    tried = F.when(F.col("rank") <= SHORT, F.col("earlier")).when(F.col("near").isNotNull(), F.array("near"))
+    listed = named.select(
+        F.when(tried.isNull(), F.col("token")).alias("far_token"), "own", F.col("near").isNotNull().alias("untried"), F.explode_outer(tried).alias("other")
     )
-    met = chosen.join(others, "token").where(tried).select(*partner("own", "other"), F.col("near").isNotNull().alias("untried"))
-    return met.groupBy("doc", "line_no").agg(F.collect_set("partner").alias("partners"), F.max("untried").alias("untried"))
+    met = stored(listed.where(other.isNull() | (before(other, own) & may_match(own, other, percent))), "lines-met")
+    close = met.where(other.isNotNull()).select(*partner(own, other), "untried")
+    far = stored(met.where(other.isNull()).select(F.col("far_token").alias("token"), "own"), "lines-far")
+    others = joined(entries(lines).select("token", entry.alias("other")), far, "token", BROADCAST_ROWS)
+    farther = others.where(before(other, own) & may_match(own, other, percent)).select(*partner(own, other), F.lit(False).alias("untried"))
+    return close.unionByName(farther).groupBy("doc", "line_no").agg(F.collect_set("partner").alias("partners"), F.max("untried").alias("untried"))
 
 
 def verified(docs: DataFrame, ranks: Column, pairs: DataFrame, percent: int) -> DataFrame:
     """(doc, line_no) of those pairs (doc, line_no, partner) whose full sets are similar enough."""
     sides = [pairs.select("doc", "line_no"), pairs.select(F.col("partner.doc").alias("doc"), F.col("partner.line_no").alias("line_no"))]
     wanted = stored(by_document(sides[0].unionByName(sides[1]).distinct(), "wanted"), "lines-wanted")
-    some = joined(docs.select("text", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc")), wanted, "doc", BROADCAST_ROWS)
+    some = joined(docs.select("doc", "text"), wanted, "doc", BROADCAST_ROWS)
     listed = some.select("doc", "wanted", F.posexplode(F.split("text", "\n")).alias("line_no", "line")).where(F.array_contains("wanted", F.col("line_no")))
     keyed = stored(listed.select("doc", "line_no", token_keys("line", ranks).alias("keys")), "lines-keys")
     later = pairs.join(keyed, ["doc", "line_no"]).select("doc", "line_no", "partner", F.col("keys").alias("own"))
@@ -201,11 +207,12 @@ def untried_partners(lines: DataFrame, open_lines: DataFrame, percent: int) -> D
         "lines-untried",
     )
     met = joined(entries(lines).select("token", F.struct(*ENTRY).alias("other")), theirs, "token", BROADCAST_ROWS)
-    return met.where(before("other", "own") & may_match("own", "other", percent)).select(*partner("own", "other")).distinct()
+    own, other = F.col("own"), F.col("other")
+    return met.where(before(other, own) & may_match(own, other, percent)).select(*partner(own, other)).distinct()
 
 
 def removed_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(doc, gone): the numbers, from 0, of the lines to remove; null doc_ids as `NO_ID`."""
+    """(doc, gone): the numbers, from 0, of the lines to remove, from rows of (doc, text) as `identified` gives them."""
     repeated = stored(repeated_lines(docs), "lines-repeated")
     ranks = token_ranks(docs)
     lines = stored(prefix_table(docs, ranks, stored(by_document(repeated, "gone"), "lines-gone"), percent), "lines-prefixes")
@@ -224,8 +231,8 @@ def dedup_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The documents, with all their columns, without the removed lines in `text`."""
     kept = F.array_join(F.filter(F.split("text", "\n"), lambda line, k: ~F.array_contains("gone", k)), "\n")
     text = F.when(F.col("gone").isNull(), F.col("text")).otherwise(kept).alias("text")
-    others = F.struct(*(F.col(f"`{name}`") for name in docs.columns)).alias("row")
-    rows = with_lists(docs.select(others, "doc_id", "text"), removed_lines(docs, percent))
+    named = identified(docs, F.struct(*(F.col(f"`{name}`") for name in docs.columns)))
+    rows = with_lists(named, removed_lines(named, percent))
     return rows.select(*(text if name == "text" else F.col(f"row.`{name}`") for name in docs.columns))
 
 
@@ -233,10 +240,11 @@ def dedup_report(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_lines with a word, n_removed and kept_sha256 of every document."""
     lines = F.coalesce(F.split("text", "\n"), F.array().cast("array<string>"))
     kept = F.filter(lines, lambda line, k: ~F.array_contains("gone", k))
-    rows = with_lists(docs.select("doc_id", "text"), removed_lines(docs, percent))
+    named = identified(docs)
+    rows = with_lists(named, removed_lines(named, percent))
     return rows.select(
         "doc_id",
-        F.size(F.filter(lines, lambda line: line.rlike(WORD))).cast("long").alias("n_lines"),
+        F.size(F.filter(lines, has_word)).cast("long").alias("n_lines"),
         F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).cast("long").alias("n_removed"),
         F.sha2(F.when(F.col("gone").isNull(), F.coalesce("text", F.lit(""))).otherwise(F.array_join(kept, "\n")), 256).alias("kept_sha256"),
     )

@@ -24,9 +24,9 @@ bytes as the block needs. Repeats return grouped by document, and cover their wi
 Two different windows of one group are confused with probability 2**-64 a pair: 3e-6 windows expected
 in 0.5 GB, 2e-4 in 30 GB.
 
-Null and empty texts have no words: n_words 0, and the digest of the empty text. Rows with equal
-doc_id are taken as copies of one document and get equal results. Null doc_ids come first. An empty
-table gives no rows.
+Null and empty texts have no words: n_words 0, and the digest of the empty text. Null doc_ids come first.
+Different texts under one doc_id (or under none) are documents of their own, in order of a hash of the
+text; equal rows are copies of one document and get equal results. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidefare.llm.common import RunHashes, Words, few, groups, mixed, shuffle_partitions, slices, stored, utf8, window_hashes
+from tidefare.llm.common import RunHashes, Words, few, groups, identified, mixed, shuffle_partitions, slices, stored, utf8, window_hashes
 
 WINDOW = 20
 #: Words in a task's block, and suffixes in a group.
@@ -52,7 +52,6 @@ CELLS = 1 << (FIRST_BITS + SECOND_BITS)
 HASHED_BYTES = 1 << 20
 #: Ids of at most so many documents with repeats, 8 bytes each, are broadcast.
 BROADCAST_IDS = 1_000_000
-NO_ID = -(1 << 63)
 
 RESULT = T.StructType([
     T.StructField("doc_id", T.LongType()),
@@ -192,7 +191,7 @@ def sent_blocks(docs: DataFrame, group_of: np.ndarray, splits: np.ndarray, windo
                 yield pa.RecordBatch.from_arrays([pa.array(column, field.type) for column, field in zip(zip(*rows), SENT_SCHEMA)], schema=SENT_SCHEMA)
 
         for batch in slices(batches, most_bytes=HASHED_BYTES):
-            keys = np.array([NO_ID if key is None else key for key in batch.column("doc_id").to_pylist()], np.int64)
+            keys = batch.column("doc").to_numpy(zero_copy_only=False).astype(np.int64)
             label, cell, text, start = suffixes(Words(utf8(batch), runs), window)
             if not len(label):
                 continue
@@ -207,7 +206,7 @@ def sent_blocks(docs: DataFrame, group_of: np.ndarray, splits: np.ndarray, windo
         if parts:
             yield from flushed()
 
-    return docs.select("doc_id", "text").mapInArrow(tasks, SENT)
+    return docs.select("doc", "text").mapInArrow(tasks, SENT)
 
 
 def found_repeats(sent: DataFrame, buckets: int) -> DataFrame:
@@ -285,20 +284,25 @@ def kept_words(text: bytes, repeats: bytes | None, window: int = WINDOW) -> tupl
 
 
 def repeated_windows(docs: DataFrame, window: int = WINDOW, block: int = BLOCK, most: int | None = None) -> DataFrame:
-    """(doc, repeats): for each document with repeats, where they start, as 32-bit numbers; a stored table."""
-    named = docs.select(F.col("doc_id").cast("long"), "text")
+    """(doc, repeats): for each document with repeats, where they start, as 32-bit numbers; a stored table. `doc` as in `common.identified`."""
+    return _repeated_windows(identified(docs), window, block, most)
+
+
+def _repeated_windows(named: DataFrame, window: int, block: int, most: int | None) -> DataFrame:
     counts = prefix_counts(named, window)
+    parts = shuffle_partitions(named.sparkSession)
     if most is None:
-        most = int(min(GROUP, max(LEAST_GROUP, counts.sum() // (3 * shuffle_partitions(docs.sparkSession)))))
-    buckets = shuffle_partitions(docs.sparkSession)
+        most = int(min(GROUP, max(LEAST_GROUP, counts.sum() // (3 * parts))))
+    # A bucket gathers the repeats of some documents: no more of them than a group has suffixes.
+    buckets = max(parts, int(counts.sum() // GROUP))
     sent = sent_blocks(named, *prefix_groups(counts, most), window, block, buckets)
     return stored(found_repeats(sent, buckets), "suffix-repeats")
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, block: int = BLOCK, most: int | None = None) -> DataFrame:
     """doc_id, n_words, n_removed and kept_sha256 of every row."""
-    found = repeated_windows(docs, window, block, most)
-    named = docs.select(F.col("doc_id").cast("long"), "text").withColumn("doc", F.coalesce("doc_id", F.lit(NO_ID)))
+    named = identified(docs)
+    found = _repeated_windows(named, window, block, most)
     if not few(found, BROADCAST_IDS):
         return without_repeats(named.join(found, "doc", "left"), window)
     # Only texts that change are shuffled.
