@@ -122,14 +122,56 @@ def mixed(rows: DataFrame) -> DataFrame:
     return messages_from_events(rows, timestamp=timed).selectExpr("if(event_id % 83 = 0, concat('bad ', event_id), value) AS value")
 
 
-def feed_in_order(spark: SparkSession, sf_dir: str, path: str, files: int = 6) -> None:
-    """The messages as text files in order of time, the earliest written first."""
-    rows = events(spark, sf_dir)
-    first, last = rows.select(F.min(F.unix_micros(F.col("ts").cast("timestamp"))), F.max(F.unix_micros(F.col("ts").cast("timestamp")))).first()
+def _in_slots(rows: DataFrame, files: int) -> list[DataFrame]:
+    """The rows in slots of time of equal length, the earliest first."""
     micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    first, last = rows.select(F.min(micros), F.max(micros)).first()
     part = F.least(F.floor((micros - first) * files / F.lit(last - first + 1)), F.lit(files - 1))
-    for number in range(files):
-        messages_from_events(rows.where(part == number)).select("value").coalesce(1).write.mode("append").text(path)
+    return [rows.where(part == number) for number in range(files)]
+
+
+def feed_in_order(spark: SparkSession, sf_dir: str, path: str, files: int = 6) -> None:
+    """The messages as text files in order of time, the earliest written first."""
+    for slot in _in_slots(events(spark, sf_dir), files):
+        messages_from_events(slot).select("value").coalesce(1).write.mode("append").text(path)
+
+
+def feed_with_old_rows(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """The feed in order, and a last file in which every fiftieth message comes again, as one more request of its old time."""
+    feed_in_order(spark, sf_dir, path)
+    again = events(spark, sf_dir).where("event_id % 50 = 0")
+    messages_from_events(again, event_id="concat('again ', event_id)").select("value").coalesce(1).write.mode("append").text(path)
+
+
+def feed_with_replays(spark: SparkSession, sf_dir: str, path: str, files: int = 6) -> None:
+    """The feed in order, each message twice in its file and once more in the next one."""
+    before = None
+    for slot in _in_slots(events(spark, sf_dir), files):
+        own = slot.unionByName(slot)
+        rows = own if before is None else own.unionByName(before)
+        messages_from_events(rows).select("value").coalesce(1).write.mode("append").text(path)
+        before = slot
+
+
+def requests_of_users(rows: DataFrame) -> DataFrame:
+    """user_id, event_time, zone and ride_requests of each event."""
+    zone = " ".join(f"WHEN '{event_type}' THEN '{name}'" for event_type, name in ZONES.items())
+    return _with_k(rows).selectExpr("user_id", "cast(ts AS timestamp) AS event_time", f"CASE event_type {zone} END AS zone", "2 * k AS ride_requests")
+
+
+def user_feed_in_order(spark: SparkSession, sf_dir: str, path: str, files: int = 6) -> DataFrame:
+    """`requests_of_users` as a stream of files in order of time."""
+    for slot in _in_slots(events(spark, sf_dir), files):
+        requests_of_users(slot).coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def zoned_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """trip_id, zone and pickup_dt of every event, the pickup half a minute after it; every 29th has no zone."""
+    zone = " ".join(f"WHEN '{event_type}' THEN '{name}'" for event_type, name in ZONES.items())
+    return events(spark, sf_dir).selectExpr(
+        "event_id AS trip_id", f"if(event_id % 29 != 0, CASE event_type {zone} END, null) AS zone", "timestampadd(SECOND, 30, cast(ts AS timestamp)) AS pickup_dt",
+    )
 
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -257,6 +257,74 @@ priced AS (
   FROM rated)"""
 
 
+# The newest event time less the allowed lateness: what the feed's last watermark is.
+MARK = "(SELECT max(event_time) - INTERVAL 2 MINUTE FROM requests)"
+BUCKET = "time_bucket(INTERVAL 5 MINUTE, event_time)"
+
+# Every fiftieth request comes again; what lies in a window behind the mark by then is late.
+LATE_ROWS = _with(REQUESTS, f"""
+, mark AS (SELECT {MARK} AS mark_at),
+arrived AS (
+  SELECT event_time, zone, ride_requests, FALSE AS late FROM requests
+  UNION ALL
+  SELECT event_time, zone, ride_requests, {BUCKET} + INTERVAL 5 MINUTE <= (SELECT mark_at FROM mark) FROM requests WHERE CAST(event_id AS BIGINT) % 50 = 0)
+SELECT {BUCKET} AS window_start, zone,
+  CAST(sum(ride_requests) FILTER (NOT late) AS BIGINT) AS total_requests,
+  CAST(count(*) FILTER (late) AS BIGINT) AS late_rows,
+  CAST(coalesce(sum(ride_requests) FILTER (late), 0) AS BIGINT) AS late_requests
+FROM arrived GROUP BY 1, 2""")
+
+FEED_COUNTS = _with(REQUESTS, f"""
+, mark AS (SELECT {MARK} AS mark_at)
+SELECT (SELECT count(*) + count(*) FILTER (CAST(event_id AS BIGINT) % 50 = 0) FROM requests) AS rows_read,
+  (SELECT count(*) FROM requests WHERE CAST(event_id AS BIGINT) % 50 = 0 AND {BUCKET} + INTERVAL 5 MINUTE <= mark_at) AS rows_late,
+  (SELECT count(*) FROM (SELECT DISTINCT {BUCKET} AS start, zone FROM requests) WHERE start + INTERVAL 5 MINUTE <= mark_at) AS windows_closed
+FROM mark""")
+
+CLOSED_WINDOWS = f"SELECT * FROM ({WINDOWED}) WHERE window_end <= (SELECT CAST(max(ts) AS TIMESTAMP) - INTERVAL 2 MINUTE FROM events)"
+
+EVENTS_WITH_WINDOWS = f"""
+SELECT {EVENT_FIELDS}, p.event_time AS requested_at, w.total_requests, w.window_ratio, w.window_surge, w.window_start, w.window_end
+FROM (SELECT * FROM ({_with(PRICED, "SELECT * FROM priced")})) p
+JOIN (SELECT window_start, window_end, zone AS window_zone, total_requests, demand_supply_ratio AS window_ratio, surge_multiplier AS window_surge FROM ({WINDOWED})) w
+  ON p.zone IS NOT DISTINCT FROM w.window_zone AND p.event_time >= w.window_start AND p.event_time < w.window_end"""
+
+# A session begins where the pause before a request is longer than the gap.
+SESSIONS = _with(REQUESTS, """
+, asked AS (
+  SELECT src.user_id, r.event_time, r.zone, r.ride_requests,
+    r.event_time - lag(r.event_time) OVER (PARTITION BY src.user_id ORDER BY r.event_time) <= INTERVAL 12 HOUR AS goes_on
+  FROM requests r JOIN src ON CAST(src.event_id AS VARCHAR) = r.event_id),
+numbered AS (
+  SELECT *, count(*) FILTER (goes_on IS NOT TRUE) OVER (PARTITION BY user_id ORDER BY event_time) AS session FROM asked)
+SELECT user_id, min(event_time) AS session_start, max(event_time) + INTERVAL 12 HOUR AS session_end, count(*) AS requests,
+  CAST(sum(ride_requests) AS BIGINT) AS total_requests, first(zone ORDER BY event_time, zone NULLS FIRST) AS first_zone,
+  first(zone ORDER BY event_time DESC, zone DESC NULLS LAST) AS last_zone
+FROM numbered GROUP BY user_id, session""")
+
+ZONED_TRIPS = """
+SELECT event_id AS trip_id, CASE WHEN event_id % 29 <> 0 THEN CASE event_type WHEN 'click' THEN 'Downtown' WHEN 'view' THEN 'Uptown'
+  WHEN 'purchase' THEN 'Suburbs' WHEN 'signup' THEN 'Industrial' END END AS zone, CAST(ts AS TIMESTAMP) + INTERVAL 30 SECOND AS pickup_dt
+FROM events"""
+
+
+def _quantiles() -> str:
+    columns = {"fare": "fare_amount", "distance": "trip_distance", "duration": "trip_duration_min", "speed": "avg_speed_mph"}
+    fractions = {"p25": 0.25, "median": 0.5, "p75": 0.75, "p90": 0.9, "p99": 0.99}
+    return _from_clean(" UNION ALL ".join(
+        f"SELECT '{name}' AS measure, " + ", ".join(f"CAST(quantile_disc({column}, {at}) AS DOUBLE) AS {label}" for label, at in fractions.items()) + " FROM clean"
+        for name, column in columns.items()
+    ))
+
+
+def _sketched() -> str:
+    return _from_clean("""
+SELECT v.view, m.measure, l.label, CAST(count(*) AS BIGINT) AS rows, TRUE AS within_bound
+FROM clean, (VALUES ('all'), ('weekend')) v(view), (VALUES ('fare'), ('distance'), ('duration'), ('speed')) m(measure),
+  (VALUES ('p25'), ('median'), ('p75'), ('p90'), ('p99')) l(label)
+WHERE v.view = 'all' OR is_weekend = 1 GROUP BY v.view, m.measure, l.label""")
+
+
 def _report_means(*columns: tuple[str, int, str]) -> str:
     return ", ".join(f"{steady(f'avg({column})', digits)} AS {name}" for column, digits, name in columns)
 
@@ -443,4 +511,25 @@ SELECT count(*) AS rows, count(*) FILTER (dropoff_longitude IS NULL) AS skipped
 SELECT unnest(['hour', 'day_of_week', 'month', 'is_weekend', 'trip_distance', 'passenger_count', 'trip_duration_min', 'avg_speed_mph',
   'pickup_longitude', 'pickup_latitude', 'dropoff_longitude', 'dropoff_latitude', 'is_morning_peak', 'is_evening_peak', 'is_late_night'])
   AS feature, TRUE AS band_fits, CAST(1 AS DOUBLE) AS total""",
+    "stream_late_rows": LATE_ROWS,
+    "stream_closed_windows": CLOSED_WINDOWS,
+    "stream_feed_counts": FEED_COUNTS,
+    "stream_event_surge_replayed": _with(PRICED, f"SELECT {EVENT_FIELDS} FROM priced"),
+    "event_window_join": EVENTS_WITH_WINDOWS,
+    "stream_event_window_join": f"{EVENTS_WITH_WINDOWS} WHERE w.window_end <= (SELECT CAST(max(ts) AS TIMESTAMP) - INTERVAL 2 MINUTE FROM events)",
+    "ride_sessions": SESSIONS,
+    "stream_ride_sessions": f"SELECT * FROM ({SESSIONS}) WHERE session_end <= (SELECT CAST(max(ts) AS TIMESTAMP) - INTERVAL 2 MINUTE FROM events)",
+    "trip_asof_surge": f"""
+SELECT t.trip_id, t.zone, t.pickup_dt, w.window_end, w.demand_supply_ratio, w.surge_multiplier
+FROM ({ZONED_TRIPS}) t ASOF LEFT JOIN ({WINDOWED}) w ON t.zone = w.zone AND t.pickup_dt >= w.window_end""",
+    "demand_moving_30min": _with(REQUESTS, f"""
+SELECT event_id, count(*) OVER recent AS recent_requests, CAST(sum(ride_requests) OVER recent AS BIGINT) AS recent_demand,
+  {six("avg(available_drivers) OVER recent")} AS recent_drivers
+FROM requests WINDOW recent AS (PARTITION BY zone ORDER BY event_time RANGE BETWEEN INTERVAL 30 MINUTE PRECEDING AND CURRENT ROW)"""),
+    "fare_quantiles": _quantiles(),
+    "fare_quantiles_sketched": _sketched(),
+    "top_pickup_areas_fine": _from_clean(f"""
+SELECT {half_up("pickup_longitude", 4)} AS area_lon, {half_up("pickup_latitude", 4)} AS area_lat, count(*) AS total_trips,
+  {_report_means(("surge_multiplier", 3, "avg_surge"), ("fare_amount", 2, "avg_fare"))}
+FROM clean GROUP BY 1, 2 ORDER BY total_trips DESC, area_lon, area_lat LIMIT 15"""),
 }

@@ -10,22 +10,29 @@ from pyspark.sql import functions as F
 
 from conformance import fixtures
 from tidefare.functions.numbers import steady_round
-from tidefare.operators import dashboard, demand, fares, predictions, regressor, sampling, trips
+from tidefare.operators import dashboard, demand, fares, predictions, quantiles, regressor, sampling, trips
+from tidefare.operators.asof import asof_join
 from tidefare.operators.cells import trip_cells
 from tidefare.operators.dashboard import FilterSpec
+from tidefare.operators.hitters import top_areas
 from tidefare.operators.local import rows_of
+from tidefare.operators.moving import moving_demand
 from tidefare.plans import batch, live
 from tidefare.plans.sample import stored_sample
 from tidefare.plans.training import TrainingResult, train_surge_model
 from tidefare.schemas import PRICED_EVENT
 from tidefare.session import SESSION_DEFAULTS, scratch_path
+from tidefare.sinks import streams
+from tidefare.sinks.ledger import Ledger
 from tidefare.sinks.streams import latest_windows
 from tidefare.sinks.tables import load_model, save_model, write_features, write_predictions_csv
 from tidefare.sources.requests import read_json_files
 from tidefare.sources.tables import ROW_KEY, cached_table, read_predictions_csv
 from tidefare.sources.trips import read_features, read_trips_csv
 from tidefare.streaming.events import price_events
+from tidefare.streaming.matching import events_with_windows
 from tidefare.streaming.requests import bad_records, parse_requests, parsed_requests, unparsed_records, valid_requests
+from tidefare.streaming.sessions import ride_sessions
 from tidefare.streaming.windows import window_surge
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -347,6 +354,133 @@ def unparsed_request_records(spark, sf_dir):
     return unparsed_records(parse_requests(fixtures.mixed(fixtures.events(spark, sf_dir))))
 
 
+def _ledger(spark: SparkSession, write_feed: Callable[[SparkSession, str, str], None], sf_dir: str) -> Ledger:
+    path, checkpoint, feed = (scratch_path(spark, name) for name in ("ledger", "ledger-checkpoint", "ledger-feed"))
+    write_feed(spark, sf_dir, feed)
+    live.start_window_ledger(read_json_files(spark, feed, files_per_trigger=1), path, checkpoint, trigger=None).awaitTermination()
+    return Ledger(spark, path)
+
+
+def stream_late_rows(spark, sf_dir):
+    """Six files in order of time and one of old rows: what each window counts, and what came too late for it."""
+    ledger = _ledger(spark, fixtures.feed_with_old_rows, sf_dir)
+    late = ledger.late(_requests(spark, sf_dir).schema).groupBy("window_start", F.col("zone").alias("late_zone")).agg(
+        F.count(F.lit(1)).alias("late_rows"), F.sum("ride_requests").alias("late_requests")
+    )
+    same = [F.col("w.window_start") == F.col("l.window_start"), F.col("zone").eqNullSafe(F.col("late_zone"))]
+    joined = ledger.windows().alias("w").join(late.alias("l"), same, "full")
+    return wall_clock(joined.select(
+        F.coalesce("w.window_start", "l.window_start").alias("window_start"), F.coalesce("zone", "late_zone").alias("zone"), "total_requests",
+        F.coalesce("late_rows", F.lit(0)).alias("late_rows"), F.coalesce("late_requests", F.lit(0)).alias("late_requests"),
+    ), "window_start")
+
+
+def stream_closed_windows(spark, sf_dir):
+    """The windows that the ledger has closed and written once, gathered by compaction in between."""
+    ledger = _ledger(spark, fixtures.feed_in_order, sf_dir)
+    ledger.compact(_requests(spark, sf_dir).schema)
+    return rounded(wall_clock(ledger.closed(), "window_start", "window_end"), "avg_drivers")
+
+
+def stream_feed_counts(spark, sf_dir):
+    """What the ledger says it read, found late and closed."""
+    return rows_of(spark, "rows_read: bigint, rows_late: bigint, windows_closed: bigint", [_ledger(spark, fixtures.feed_with_old_rows, sf_dir).counts()])
+
+
+def event_surge_replayed_stream(spark, sf_dir):
+    """Every message comes three times and is priced once."""
+    path, checkpoint, feed = (scratch_path(spark, name) for name in ("once", "once-checkpoint", "once-feed"))
+    fixtures.feed_with_replays(spark, sf_dir, feed)
+    messages = read_json_files(spark, feed, files_per_trigger=1)
+    live.start_event_surge_files(messages, path, checkpoint, trigger=None, horizon=live.HORIZON).awaitTermination()
+    return spark.read.parquet(path).select(F.from_json("value", PRICED_EVENT).alias("event")).select("event.*").drop("timestamp")
+
+
+def _matched(joined: DataFrame) -> DataFrame:
+    return wall_clock(joined.drop("timestamp"), "requested_at", "window_start", "window_end")
+
+
+def event_window_join(spark, sf_dir):
+    requests = _requests(spark, sf_dir)
+    return _matched(events_with_windows(requests, _requests(spark, sf_dir)))
+
+
+def event_window_join_stream(spark, sf_dir):
+    """Both sides as streams: the requests of all windows that the feed closes."""
+    path, checkpoint, feed = (scratch_path(spark, name) for name in ("matched", "matched-checkpoint", "matched-feed"))
+    fixtures.feed_in_order(spark, sf_dir, feed)
+    sides = (read_json_files(spark, feed, files_per_trigger=1) for _ in range(2))
+    live.start_event_window_join(*sides, path, checkpoint, trigger=None).awaitTermination()
+    return _matched(spark.read.parquet(path))
+
+
+def ride_sessions_batch(spark, sf_dir):
+    return wall_clock(ride_sessions(fixtures.requests_of_users(fixtures.events(spark, sf_dir)), gap=SESSION_GAP), "session_start", "session_end")
+
+
+#: The given users ask about twice a day.
+SESSION_GAP = "12 hours"
+
+
+def ride_sessions_stream(spark, sf_dir):
+    """Six files in order of time: the sessions that the feed ends."""
+    path, checkpoint, written = (scratch_path(spark, name) for name in ("sessions", "sessions-checkpoint", "sessions-feed"))
+    feed = fixtures.user_feed_in_order(spark, sf_dir, written)
+    streams.append_files(ride_sessions(feed, gap=SESSION_GAP), path, checkpoint, None).awaitTermination()
+    return wall_clock(spark.read.parquet(path), "session_start", "session_end")
+
+
+def trip_asof_surge(spark, sf_dir):
+    """Each trip with the latest window of its zone that had ended at its pickup."""
+    windows = window_surge(_requests(spark, sf_dir)).select(
+        F.col("zone").alias("window_zone"), "window_end", "demand_supply_ratio", "surge_multiplier"
+    ).withColumnRenamed("window_zone", "zone")
+    trips_ = fixtures.zoned_trips(spark, sf_dir)
+    found = asof_join(
+        trips_, windows, "zone", time="pickup_dt", others_time="window_end",
+        values=("window_end", "demand_supply_ratio", "surge_multiplier"), slot_rows=ASOF_SLOT_ROWS,
+    )
+    return wall_clock(found, "pickup_dt", "window_end")
+
+
+#: Small enough that the given tables need several slots.
+ASOF_SLOT_ROWS = 2_000
+
+
+def demand_moving_30min(spark, sf_dir):
+    moved = moving_demand(_requests(spark, sf_dir)).select("event_id", "recent_requests", "recent_demand", "recent_drivers")
+    return rounded(moved, "recent_drivers")
+
+
+def fare_quantiles(spark, sf_dir):
+    return quantiles.exact_quantiles(_clean(spark, sf_dir), few=500)
+
+
+def fare_quantiles_sketched(spark, sf_dir):
+    """Whether each merged sketch's quantile lies within its bound of the wanted rank, for all trips and for a view."""
+    clean = _clean(spark, sf_dir)
+    path = scratch_path(spark, "sketches")
+    quantiles.measure_sketches(clean).write.parquet(path)
+    sketches = spark.read.parquet(path)
+    found = None
+    for view, where in (("all", "true"), ("weekend", "is_weekend = 1")):
+        wide = quantiles.sketched_quantiles(sketches.where(where))
+        asked = wide.select("measure", F.inline(F.array(*(F.struct(F.lit(label).alias("label"), F.lit(at).alias("fraction"), F.col(label).alias("value")) for label, at in quantiles.FRACTIONS.items()))))
+        values = clean.where(where).select(F.inline(F.array(*(F.struct(F.lit(name).alias("measure"), F.col(column).cast("double").alias("own")) for name, column in quantiles.MEASURES.items()))))
+        ranks = values.join(F.broadcast(asked), "measure").groupBy("measure", "label", "fraction").agg(
+            F.count_if(F.col("own") < F.col("value")).alias("below"), F.count_if(F.col("own") <= F.col("value")).alias("through"), F.count("own").alias("n"),
+        )
+        bound = F.col("n") * quantiles.RANK_ERROR + 1
+        within = (F.col("below") <= F.col("fraction") * F.col("n") + bound) & (F.col("through") >= F.col("fraction") * F.col("n") - bound)
+        rows = ranks.select(F.lit(view).alias("view"), "measure", "label", F.col("n").alias("rows"), within.alias("within_bound"))
+        found = rows if found is None else found.unionByName(rows)
+    return found
+
+
+def top_pickup_areas_fine(spark, sf_dir):
+    return top_areas(_clean(spark, sf_dir))
+
+
 # Jobs and reports
 
 def stored_sample_csv(spark, sf_dir):
@@ -493,6 +627,19 @@ QUERIES: dict[str, Query] = {
     "rf_quality": rf_quality,
     "rf_skipped_rows": rf_skipped_rows,
     "rf_importance_bands": rf_importance_bands,
+    "stream_late_rows": stream_late_rows,
+    "stream_closed_windows": stream_closed_windows,
+    "stream_feed_counts": stream_feed_counts,
+    "stream_event_surge_replayed": event_surge_replayed_stream,
+    "event_window_join": event_window_join,
+    "stream_event_window_join": event_window_join_stream,
+    "ride_sessions": ride_sessions_batch,
+    "stream_ride_sessions": ride_sessions_stream,
+    "trip_asof_surge": trip_asof_surge,
+    "demand_moving_30min": demand_moving_30min,
+    "fare_quantiles": fare_quantiles,
+    "fare_quantiles_sketched": fare_quantiles_sketched,
+    "top_pickup_areas_fine": top_pickup_areas_fine,
 }
 
 

@@ -105,14 +105,17 @@ def test_cleaning_rules_on_stored_columns_reach_the_scan(spark, small):
         assert condition in pushed
 
 
-@pytest.mark.parametrize("files", [1, 4, 16])
-def test_the_stored_sample_does_not_depend_on_files(spark, small, files):
+@pytest.mark.parametrize("files, most_rows", [(1, 0), (4, 0), (16, 0), (1, 300), (4, 7)])
+def test_the_stored_sample_does_not_depend_on_files(spark, small, files, most_rows, request):
     from conformance import fixtures
     from tidefare.plans.sample import stored_sample
 
     ordered = fixtures.raw_trips_as_exported(spark, small).repartitionByRange(files, "trip_id").sortWithinPartitions("trip_id")
     csv, copy, out = (scratch_path(spark, name) for name in ("csv", "copy", "sample"))
     ordered.write.option("header", True).csv(csv)
+    # A task may store its part in many files.
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", most_rows)
+    request.addfinalizer(lambda: spark.conf.unset("spark.sql.files.maxRecordsPerFile"))
     found = stored_sample(spark, csv, copy, out, block_rows=100, per_block=10, max_blocks=5)
     assert 0 < found.count() <= 50
     rows = sorted(map(tuple, found.collect()))

@@ -6,7 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from tidefare.sinks import streams
+from tidefare.sinks.ledger import write_ledger
 from tidefare.streaming.events import as_messages, price_events
+from tidefare.streaming.matching import events_with_windows
+from tidefare.streaming.replays import HORIZON, once_each
 from tidefare.streaming.requests import (
     bad_records,
     parse_requests,
@@ -31,14 +34,33 @@ def start_window_surge(
     return streams.upsert_windows(windows, path, checkpoint, trigger, files)
 
 
+def start_window_ledger(
+    messages: DataFrame, path: str, checkpoint: str, trigger: str | None = "15 seconds", width: str = WINDOW, lateness: str = LATENESS
+) -> StreamingQuery:
+    """Windowed surge per zone with closed windows apart, late requests kept and lasting counts, in a `Ledger` at `path`."""
+    return write_ledger(valid_requests(parse_requests(messages)), path, checkpoint, trigger, width, lateness)
+
+
 def start_event_surge_files(
-    messages: DataFrame, path: str, checkpoint: str, trigger: str | None = "15 seconds"
+    messages: DataFrame, path: str, checkpoint: str, trigger: str | None = "15 seconds", horizon: str | None = None
 ) -> StreamingQuery:
-    """Per-event surge of every message that parses, appended to files as keyed messages."""
-    priced = price_events(parsed_requests(parse_requests(messages)))
+    """Per-event surge of every message that parses, appended to files as keyed messages.
+
+    With a `horizon`, such as `HORIZON`, a message that the feed repeats within it is priced once.
+    """
+    requests = parsed_requests(parse_requests(messages))
+    priced = price_events(requests if horizon is None else once_each(requests, horizon))
     return streams.append_files(as_messages(priced), path, checkpoint, trigger)
 
 
+def start_event_window_join(
+    messages: DataFrame, again: DataFrame, path: str, checkpoint: str, trigger: str | None = "15 seconds", width: str = WINDOW, lateness: str = LATENESS
+) -> StreamingQuery:
+    """Every priced message with the surge of its window, appended to files once the window has closed; `again` is a second reading of the feed."""
+    requests, feed = (valid_requests(parse_requests(side)) for side in (messages, again))
+    return streams.append_files(events_with_windows(requests, feed, width, lateness), path, checkpoint, trigger)
+
+
 def start_event_surge_kafka(
     messages: DataFrame,
     servers: str,

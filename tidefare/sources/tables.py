@@ -28,11 +28,14 @@ def read_predictions_csv(spark: SparkSession, path: str, keyed: bool = False) ->
     return stored.select(*columns)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+
+
 def is_complete(spark: SparkSession, path: str) -> bool:
     """Whether a job that wrote `path` finished; a half-written folder has no success marker."""
-    jvm = spark.sparkContext._jvm
-    marker = jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
-    return marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(marker)
+    return path_exists(spark, f"{path}/_SUCCESS")
 
 
 def cached_table(spark: SparkSession, path: str, build: Callable[[], DataFrame]) -> DataFrame:

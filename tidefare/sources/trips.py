@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -69,20 +72,23 @@ def read_positioned(spark: SparkSession, path: str) -> DataFrame:
     """A Parquet copy of `read_trips_csv_in_order` with each row's `position` in the CSV files.
 
     Files count in order of their names, so positions do not depend on how the table is divided
-    into files or how tasks wrote the copy. The running sum covers one row for each part that a
-    task read.
+    into files or how tasks wrote the copy: a task may store a part in several files, which it numbers.
+    The running sum covers one row for each stored file of each part that a task read.
     """
-    copy = spark.read.parquet(path).withColumn("stored_row", F.col("_metadata.row_index"))
-    parts = copy.groupBy("source_file", "source_start").agg(
-        F.count(F.lit(1)).alias("rows"), F.min("stored_row").alias("first_row")
-    )
-    before = W.orderBy("source_file", "source_start").rowsBetween(W.unboundedPreceding, -1)
+    copy = spark.read.parquet(path).withColumns({
+        "stored_row": F.col("_metadata.row_index"),
+        "stored_file": F.regexp_extract("_metadata.file_name", r"[.-]c(\d+)[.]", 1).try_cast("int"),
+    })
+    keys = ["source_file", "source_start", "stored_file"]
+    parts = copy.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"), F.min("stored_row").alias("first_row"))
+    before = W.orderBy(*keys).rowsBetween(W.unboundedPreceding, -1)
     offsets = parts.select(
-        "source_file", "source_start",
+        *(F.col(name).alias(f"of_{name}") for name in keys),
         (F.coalesce(F.sum("rows").over(before), F.lit(0)) - F.col("first_row")).alias("offset"),
     )
+    same = reduce(and_, (F.col(name).eqNullSafe(F.col(f"of_{name}")) for name in keys))
     return (
-        copy.join(offsets, ["source_file", "source_start"])
+        copy.join(offsets, same)
         .withColumn("position", F.col("offset") + F.col("stored_row"))
-        .drop("source_file", "source_start", "stored_row", "offset")
+        .drop(*keys, *(f"of_{name}" for name in keys), "stored_row", "offset")
     )

@@ -11,8 +11,8 @@ from tidefare.schemas import PRICED_EVENT
 ISO_MICROSECONDS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
-def price_events(requests: DataFrame, processed_at: Column | None = None) -> DataFrame:
-    """The published fields of each request, with defaults for what it leaves out.
+def price_events(requests: DataFrame, processed_at: Column | None = None, *others: str) -> DataFrame:
+    """The published fields of each request, with defaults for what it leaves out, and the columns `others`.
 
     `ride_requests` and `available_drivers` are passed through as they came.
     """
@@ -32,6 +32,7 @@ def price_events(requests: DataFrame, processed_at: Column | None = None) -> Dat
         F.lit(surge.BASE_FARE_USD).alias("base_fare_usd"),
         F.round(F.col("surge_multiplier") * surge.BASE_FARE_USD, 2).alias("effective_fare_usd"),
         F.coalesce("event_id", F.lit("")).alias("source_event_id"),
+        *others,
     )
 
 

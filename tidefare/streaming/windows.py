@@ -45,8 +45,8 @@ def demand_windows(requests: DataFrame, width: str = WINDOW, lateness: str = LAT
     )
 
 
-def priced_windows(windows: DataFrame) -> DataFrame:
-    """Add the demand/supply ratio and the window's surge; flatten the bounds."""
+def priced_windows(windows: DataFrame, *others: str) -> DataFrame:
+    """Add the demand/supply ratio and the window's surge; flatten the bounds. Keeps the columns `others`."""
     ratio = surge.window_ratio(F.col("total_requests"), F.col("avg_drivers"))
     return windows.withColumn("demand_supply_ratio", ratio).select(
         F.col("window.start").alias("window_start"),
@@ -54,6 +54,7 @@ def priced_windows(windows: DataFrame) -> DataFrame:
         "zone", "total_requests", "avg_drivers", "weather_code", "is_weekend",
         "demand_supply_ratio",
         surge.window_surge(F.col("demand_supply_ratio")).alias("surge_multiplier"),
+        *others,
     )
 
 
