@@ -4,9 +4,10 @@ Each stage takes all documents that the one before kept, as a written table, and
 them; all but the last return the columns of `documents`:
 
 1. `language` learns from the labelled texts of its input and drops what is no text in a learned language;
-2. `lines` removes every line that has a similar line before it; a document keeps its row even if no line stays;
-3. `near_duplicates` leaves the document of the smallest id of each group, on runs of five words at 0.8;
-   documents without words form no group and stay;
+2. `lines` removes every line that has a similar line before it, and then the documents that have no word left:
+   all they said stands in earlier ones;
+3. `near_duplicates` leaves the document of the smallest id of each group, on runs of five words at 0.8, of what
+   the lines left: copies whose lines were cut or joined differently, and documents of one changed line;
 4. `mix` repeats and draws documents so that sources come near their target weights;
 5. `pack` cuts the texts into sequences of at most 4,096 tokens; its rows are the pieces.
 
@@ -28,7 +29,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return line_dedup.dedup_lines(docs)
+    return line_dedup.dedup_lines(docs).where(line_dedup.has_word("text"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
