@@ -241,6 +241,27 @@ def test_furniture_beside_an_article_stays_furniture(furniture):
         assert html_blocks.main_text(page % (inside, after), html_blocks.trained_tree())[0] == f"First {LINE}"
 
 
+@pytest.mark.parametrize("page, text", [
+    (f'<article><p data-caption="<b>Leak</b> of it">First {LINE}</p><img alt="x <i>y</i> z"><p title=\'a > "b" <p>\'>Second {LINE}</p></article>', [f"First {LINE}", f"Second {LINE}"]),
+    (f"<article><p class=it's>First {LINE} isn't</p><p title=\"open>Second {LINE}</p></article>", [f"First {LINE} isn't", f"Second {LINE}"]),
+    (f"<article class='post format-aside tag-social'><p>First {LINE}</p></article><article class=post><p>Second {LINE}</p></article>", [f"First {LINE}", f"Second {LINE}"]),
+    (f"<article><p>First {LINE}</p><ul><li><a href=1>One source</a><li><a href=2>Another one</a></ul><p><a href=3>{LINE}</a></p></article>",
+     [f"First {LINE}", "One source", "Another one", LINE]),
+    (f"<article><p>First {LINE}</p></article><div id=userComments><p>{LINE}</p></div><div class=readerResponses><p>{LINE}</p><div><p>{LINE}</p></div></div>", [f"First {LINE}"]),
+    (f"<article><p>First {LINE}</p></article><article class='related'><p>{LINE}</p></article><article class='comment-body depth-1'><p>{LINE}</p></article>", [f"First {LINE}"]),
+])
+def test_articles_keep_their_text_and_nothing_leaks(page, text):
+    found = html_blocks.main_text(f"<nav><a href=1>Home</a></nav>{page}<footer>All rights are with us</footer>", html_blocks.trained_tree())[0]
+    assert found.split("\n") == text
+
+
+def test_pages_with_clashing_columns(spark):
+    rows = [(1, "u", f"<article><p>First {LINE}</p></article>", "x", 7, "y"), (1, "u", None, None, None, None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string, n_chars int, n_blocks string")
+    found = Counter((r["page_id"], r["text"], r["n_chars"]) for r in rows_of(html_blocks.extract(pages)))
+    assert found == Counter([(1, f"First {LINE}", len(LINE) + 6), (1, "", 0)])
+
+
 def test_every_page_gives_its_article(spark, gate):
     import html
 
@@ -336,6 +357,18 @@ def test_measures_equal_brute_force():
             assert row[5] == longest_repeat(text.split())
 
 
+def test_a_long_text_of_one_word_needs_memory_for_its_words_only():
+    import tracemalloc
+
+    text = b"again " * 1_000_000
+    tracemalloc.start()
+    row = repetition.measured([text], RunHashes())[0]
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert row[0] == row[4] == 1_000_000 and row[5] == 999_999
+    assert most < 300 * 1_000_000
+
+
 def test_rules_of_every_document(spark, gate, docs, no_docs):
     texts = {row["doc_id"]: row["text"] for row in spark.read.parquet(f"{gate}/documents.parquet").collect()}
     found = rows_of(QUERIES["op7_suffix_repetition"](spark, gate))

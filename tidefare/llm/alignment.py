@@ -29,6 +29,7 @@ text are not read. An empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -38,7 +39,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidefare.llm.byte_tokens import LONGEST_KEPT, Unsplit, byte_tokenizer, spaced_words
+from tidefare.llm.byte_tokens import LONGEST_KEPT, ByteTokens, Unsplit, spaced_words
 from tidefare.llm.common import CACHED_WORDS, groups, slices, stored
 
 #: Texts of more bytes are cut into ranges of this size.
@@ -49,6 +50,8 @@ FAN = 16
 BROADCAST_PAIRS = 2_000_000
 #: Distinct pairs of ids a task counts before it passes them on.
 COUNTED_PAIRS = 4_000_000
+#: Words of more tokens are aligned as arrays.
+FEW_TOKENS = 64
 #: Fixed value: how the sentence pieces show a space.
 SHOWN_SPACE = "▁"
 
@@ -56,7 +59,7 @@ Tokens = tuple[np.ndarray, np.ndarray]  # ids, and where in the text they end
 NO_TOKENS: Tokens = (np.empty(0, np.int64), np.empty(0, np.int64))
 
 
-@dataclass
+@dataclass(slots=True)
 class Closed:
     """Whole groups: their tokens' numbers, their links as codes, and themselves as text `a1,a2|b1;a3|b2,b3`."""
 
@@ -94,19 +97,17 @@ class Aligner:
     """Both tokenizers, the closed fragments of the words seen, and how pairs of ids are written as codes."""
 
     def __init__(self, byte_path: str, piece_path: str):
-        self.a = byte_tokenizer(byte_path, specials_are_text=True)
+        self.a = ByteTokens(byte_path)
         self.b = sentencepiece.SentencePieceProcessor(model_file=piece_path)
-        vocabulary = self.a.get_vocab(with_added_tokens=True)
-        # One printed character stands for a byte.
-        self.shown = {index: piece for piece, index in vocabulary.items()}
-        shown_bytes = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        hidden = [byte for byte in range(256) if byte not in shown_bytes]
-        self.byte_of = {chr(byte): byte for byte in shown_bytes} | {chr(256 + k): byte for k, byte in enumerate(hidden)}
+        byte_of = {shown: byte for byte, shown in self.a.printable.items()}
+        vocabulary = self.a.tokenizer.get_vocab(with_added_tokens=False)
+        self.a_bytes = {index: bytes(byte_of[c] for c in token) for token, index in vocabulary.items() if set(token) <= byte_of.keys()}
         self.pieces = [self._piece_bytes(k) for k in range(self.b.get_piece_size())]
         if any(SHOWN_SPACE in self.b.id_to_piece(k).lstrip(SHOWN_SPACE) for k in range(len(self.pieces))):
             raise ValueError(f"pieces reach over spaces: {piece_path}")
         self.b_ids = len(self.pieces)
-        self.code_type = np.dtype("<u4" if (max(self.shown) + 1) * self.b_ids <= 1 << 32 else "<u8")
+        self.code_type = np.dtype("<u4" if (max(vocabulary.values()) + 1) * self.b_ids <= 1 << 32 else "<u8")
+        self.array_code = "I" if self.code_type.itemsize == 4 else "Q"
         self.known: dict[str, Closed | None] = {}
 
     def _piece_bytes(self, index: int) -> bytes:
@@ -115,18 +116,21 @@ class Aligner:
             return bytes([int(piece[3:5], 16)])
         return piece.replace(SHOWN_SPACE, " ").encode()
 
+    def encoded(self, part: str, b: list[int] | None = None) -> tuple[list[int], list[bytes], list[int], list[bytes]] | None:
+        """The ids of a part that begins with a space, and their bytes; None if these are not the part's."""
+        a = array("I", self.a.word(part[1:]) if not part[1:2].isspace() and len(part) > 1 else self.a.spelled(part)).tolist()
+        b = self.b.encode(part[1:]) if b is None else b
+        a_bytes, b_bytes, own = list(map(self.a_bytes.__getitem__, a)), list(map(self.pieces.__getitem__, b)), part.encode()
+        return (a, a_bytes, b, b_bytes) if b"".join(a_bytes) == own == b"".join(b_bytes) else None
+
     def tokens(self, part: str) -> tuple[Tokens, Tokens] | None:
-        """The tokens of a part that begins with a space, with their ends in it; None if their bytes differ from it."""
-        a = self.a.encode(part, add_special_tokens=False).ids
-        b = self.b.encode(part[1:])
-        a_bytes = [bytes(map(self.byte_of.__getitem__, self.shown[index])) for index in a]
-        b_bytes = [self.pieces[index] for index in b]
-        own = part.encode()
-        if b"".join(a_bytes) != own or b"".join(b_bytes) != own:
+        """The tokens of a part that begins with a space, with their ends in it."""
+        found = self.encoded(part)
+        if found is None:
             return None
-        return tuple((np.array(ids, np.int64), np.cumsum(list(map(len, found)), dtype=np.int64)) for ids, found in ((a, a_bytes), (b, b_bytes)))
+        return tuple((np.array(ids, np.int64), np.cumsum(list(map(len, values)), dtype=np.int64)) for ids, values in (found[:2], found[2:]))
 
-    def groups(self, both: tuple[Tokens, Tokens], begin: int) -> Closed:
+    def groups(self, both: tuple[Tokens, Tokens]) -> Closed:
         """The groups of tokens that begin at a common end and end at one."""
         (a, a_ends), (b, b_ends) = both
         if not len(a):
@@ -150,7 +154,7 @@ class Aligner:
             tuple((ids[chosen], ends[chosen]) for (ids, ends), chosen in zip(sides, places))
             for places in zip(*((slice(0, low), slice(low, high), slice(high, None)) for low, high in cuts))
         )
-        return Fragment(prefix, self.groups(middle, int(common[0])), suffix, True)
+        return Fragment(prefix, self.groups(middle), suffix, True)
 
     def compose(self, one: Fragment, other: Fragment) -> Fragment:
         whole = one.whole and other.whole
@@ -158,13 +162,49 @@ class Aligner:
             return Fragment(chained(one.prefix, other.prefix), other.closed, other.suffix, other.cut, whole)
         if not other.cut:
             return Fragment(one.prefix, one.closed, chained(one.suffix, other.prefix), True, whole)
-        between = self.groups(chained(one.suffix, other.prefix), 0)
+        between = self.groups(chained(one.suffix, other.prefix))
         return Fragment(one.prefix, one.closed + between + other.closed, other.suffix, True, whole)
 
-    def word(self, part: str) -> Closed | None:
-        """The closed fragment of the bytes between two places where both tokenizers cut; None if they are not whole."""
-        both = self.tokens(part)
-        return None if both is None else self.groups(both, 0)
+    def word(self, part: str, b: list[int] | None = None) -> Closed | None:
+        """The closed fragment of the bytes between two places where both tokenizers cut; None if they are not whole.
+
+        What `groups` finds for any number of tokens, found here for a few by walking along both sides.
+        """
+        found = self.encoded(part, b)
+        if found is None:
+            return None
+        a, a_bytes, b, b_bytes = found
+        if len(a) + len(b) > FEW_TOKENS:
+            return self.groups(self.tokens(part))
+        closed, codes = [], array(self.array_code)
+        i, j, first_a, first_b = 0, 0, 0, 0
+        a_end, b_end = len(a_bytes[0]), len(b_bytes[0])
+        while True:
+            codes.append(a[i] * self.b_ids + b[j])
+            move_a, move_b = a_end <= b_end, b_end <= a_end
+            if move_a:
+                i += 1
+            if move_b:
+                j += 1
+            if move_a and move_b:
+                closed.append(f"{','.join(map(str, a[first_a:i]))}|{','.join(map(str, b[first_b:j]))}")
+                if i == len(a):
+                    return Closed(len(a), len(b), len(closed), codes.tobytes(), ";".join(closed))
+                first_a, first_b = i, j
+            if move_a:
+                a_end += len(a_bytes[i])
+            if move_b:
+                b_end += len(b_bytes[j])
+
+    def learn(self, texts: list[str]) -> None:
+        """Remembers all words of the texts that are new; the sentence pieces of many words cost less than word by word."""
+        words = {word for text in texts for word in text.split(" ")}
+        new = [word for word in words if word not in self.known and word and len(word) <= LONGEST_KEPT and not word[0].isspace()]
+        if len(self.known) + len(new) > CACHED_WORDS:
+            self.known.clear()
+            new = [word for word in words if word and len(word) <= LONGEST_KEPT and not word[0].isspace()]
+        for word, b in zip(new, self.b.encode(new, num_threads=1)):
+            self.known[word] = self.word(" " + word, b)
 
     def remembered(self, word: str) -> Closed | None:
         """`word` with a space before it, from memory if it was seen."""
@@ -285,8 +325,10 @@ def short_texts(docs: DataFrame, byte_path: str, piece_path: str, digest: bool)
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = Aligner(byte_path, piece_path)
         for batch in slices(batches):
-            texts = zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist())
-            yield batch_of([result(key, aligner.text(text or ""), digest) for key, text in texts], ALIGNED_SCHEMA)
+            texts = [text or "" for text in batch.column("text").to_pylist()]
+            aligner.learn(texts)
+            rows = [result(key, aligner.text(text), digest) for key, text in zip(batch.column("doc_id").to_pylist(), texts)]
+            yield batch_of(rows, ALIGNED_SCHEMA)
 
     return docs.mapInArrow(tasks, ALIGNED)
 

@@ -10,8 +10,10 @@ from __future__ import annotations
 
 import json
 import re
+from array import array
 
 import numpy as np
+import regex
 from tokenizers import Tokenizer
 
 from tidefare.llm.common import CACHED_WORDS
@@ -32,16 +34,14 @@ def spaced_words(text: str) -> list[str]:
     return [text[a:b] for a, b in zip(starts[:-1], starts[1:])]
 
 
-def byte_tokenizer(path: str, specials_are_text: bool = False) -> Tokenizer:
+def byte_tokenizer(path: str) -> Tokenizer:
     """The tokenizer of a file, if it is one that cuts and reads bytes as described."""
     with open(path, encoding="utf-8") as file:
         settings = json.load(file)
     cutter = settings["pre_tokenizer"] or {}
     if settings["normalizer"] or cutter.get("type") != "ByteLevel" or cutter.get("add_prefix_space") or not cutter.get("use_regex", True):
         raise ValueError(f"no plain byte-level tokenizer: {path}")
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = specials_are_text
-    return tokenizer
+    return Tokenizer.from_file(path)
 
 
 class ByteTokens(dict):
@@ -51,32 +51,46 @@ class ByteTokens(dict):
         super().__init__()
         self.tokenizer = byte_tokenizer(path)
         self.pieces: dict[str, bytes] = {}
-        self.cut = self.tokenizer.pre_tokenizer.pre_tokenize_str
+        self.model = self.tokenizer.model
+        # The pattern of this kind of tokenizer, and its printable form of bytes.
+        self.pattern = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        hidden = [byte for byte in range(256) if byte not in shown]
+        self.printable = {byte: chr(byte) for byte in shown} | {byte: chr(256 + k) for k, byte in enumerate(hidden)}
         self.marks = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def piece(self, piece: str) -> bytes:
+        value = self.pieces.get(piece)
+        if value is None:
+            if len(self.pieces) >= CACHED_WORDS:
+                self.pieces.clear()
+            found = self.model.tokenize(piece.encode().decode("latin-1").translate(self.printable))
+            value = array("I", [token.id for token in found]).tobytes()
+            if len(piece) <= LONGEST_KEPT:
+                self.pieces[piece] = value
+        return value
+
     def spelled(self, text: str) -> bytes:
-        """The ids of a text that holds no special token's string."""
-        found = []
-        for piece, _ in self.cut(text):
-            value = self.pieces.get(piece)
-            if value is None:
-                if len(self.pieces) >= CACHED_WORDS:
-                    self.pieces.clear()
-                value = np.array([token.id for token in self.tokenizer.model.tokenize(piece)], "<u4").tobytes()
-                if len(piece) <= LONGEST_KEPT:
-                    self.pieces[piece] = value
-            found.append(value)
-        return b"".join(found)
+        """The ids of a text in which special tokens' strings are plain text."""
+        return b"".join(map(self.piece, self.pattern.findall(text)))
+
+    def word(self, word: str) -> bytes:
+        """The ids of a word with a space before it; letters alone, or letters and one mark, need no pattern."""
+        if word.isalpha():
+            return self.piece(" " + word)
+        if word[-1] in ",.;:!?" and word[:-1].isalpha():
+            return self.piece(" " + word[:-1]) + self.piece(word[-1])
+        return self.spelled(" " + word)
 
     def __missing__(self, word: str) -> bytes:
         if not word or word[0].isspace():
             raise Unsplit
         if len(self) >= CACHED_WORDS:
             self.clear()
-        value = self.spelled(" " + word)
+        value = self.word(word)
         if len(word) <= LONGEST_KEPT:
             self[word] = value
         return value

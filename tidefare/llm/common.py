@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -111,18 +111,34 @@ class RunHashes:
         self.base, self.inverse = base, pow(base, -1, 1 << 64)
         self.powers = self.inverses = np.empty(0, np.uint64)
 
-    def of(self, values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    def _sums(self, values: np.ndarray) -> np.ndarray:
+        """Running sums of the values, each times its place's power of the base."""
         n = len(values)
         if len(self.powers) < n + 1:
             size = max(1 << 14, n + n // 4)
             with np.errstate(over="ignore"):
                 self.powers = np.cumprod(np.r_[np.uint64(1), np.full(size, self.base, np.uint64)], dtype=np.uint64)
                 self.inverses = np.cumprod(np.r_[np.uint64(1), np.full(size, self.inverse, np.uint64)], dtype=np.uint64)
+        sums = np.zeros(n + 1, np.uint64)
         with np.errstate(over="ignore"):
-            sums = np.zeros(n + 1, np.uint64)
             np.cumsum((values.astype(np.uint64) + np.uint64(1)) * self.powers[:n], out=sums[1:])
+        return sums
+
+    def of(self, values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        sums = self._sums(values)
+        with np.errstate(over="ignore"):
             return mixed((sums[ends] - sums[starts]) * self.inverses[starts])
 
+    def equal(self, values: np.ndarray) -> Callable[[np.ndarray, np.ndarray, int], np.ndarray]:
+        """Whether runs of a length that start at some places equal those at others, by their hashes."""
+        sums = self._sums(values)
+
+        def same(one: np.ndarray, other: np.ndarray, length: int) -> np.ndarray:
+            with np.errstate(over="ignore"):
+                return (sums[one + length] - sums[one]) * self.inverses[one] == (sums[other + length] - sums[other]) * self.inverses[other]
+
+        return same
+
 
 #: Marks the bytes that separate words: 9 to 13 and 32.
 IS_SPACE = np.zeros(256, bool)

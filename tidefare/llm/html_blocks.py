@@ -7,7 +7,8 @@ an article (1), nothing (0), or furniture (-1) such as navigation, footers, asid
 whose class, id or role names an advert, a notice, comments and the like. `nav`, `aside`, `footer` and
 the like say -1 for everything inside them but `main`; a form, a fieldset or a class name gives way to
 an article inside it, unless it stands in an article itself. Class names of `html` and `body`, and those
-that say what a box has or lacks (`has-sidebar`), tell nothing. On a page whose articles hold no text but
+that say what a box has or lacks (`has-sidebar`), tell nothing; an article is furniture by its class only inside another one, or where the class is
+one word such as `related`, or begins with `comment` or `reply`. On a page whose articles hold no text but
 headings, a form, fieldset or named box with more than half of the page's words outside links tells
 nothing either: it is the frame of the text.
 
@@ -41,12 +42,12 @@ from tidefare.llm.common import slices
 
 MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"<]*+\"|'[^'<]*+'|[\"'])*+)>"
+    r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+)>"
     r"|<[!?/][^>]*+(?:>|\Z)|<[a-zA-Z][^<>]*+\Z",
     re.DOTALL,
 )
 ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)|(?=[\s/>]|$))""", re.IGNORECASE)
-NAME = re.compile(r"[a-z]+")
+NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 # Element names by their role in HTML.
 RAW = frozenset("script style title textarea".split())
@@ -72,7 +73,11 @@ FURNITURE_NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice "
     "notices alert popup modal overlay newsletter subscribe subscription signup login paywall nav navbar navigation menu menubar "
     "breadcrumb breadcrumbs sidebar sidenav aside widget related recommended trending share sharing social comment comments reply "
-    "replies respond disqus discussion footer copyright legal pagination pager masthead toolbar search".split()
+    "replies respond response responses disqus discussion footer copyright legal pagination pager masthead toolbar search".split()
+)
+#: Of these, what an `article` element can be by its class: a reader's comment, an advert, a teaser.
+FURNITURE_ARTICLES = frozenset(
+    "ad ads advert advertisement sponsored promo related recommended comment comments reply replies response responses".split()
 )
 #: First words of class names that say what a box has or lacks, not what it is.
 HAS_OR_LACKS = frozenset("has with without no".split())
@@ -85,8 +90,8 @@ LABELLED = (
     ((-1, 0, 1, 1, 0), (-1, 0, 1, 1, 0), (-1, 0, 2, 2, 0), (-1, 0, 8, 0, 0), (1, 1, 9, 0, 1), (1, 0, 64, 0, 1), (1, 0, 31, 2, 1), (1, 0, 3, 0, 1), (-1, 0, 14, 0, 0)),
     # a short one with an advert inside and reader comments
     ((-1, 0, 3, 3, 0), (1, 1, 6, 0, 1), (1, 0, 1, 0, 1), (1, 0, 22, 0, 1), (-1, 0, 12, 3, 0), (1, 0, 9, 0, 1), (-1, 0, 25, 0, 0), (-1, 0, 40, 0, 0)),
-    # an article with a list of links at its end
-    ((1, 1, 5, 0, 1), (1, 0, 80, 6, 1), (1, 0, 2, 0, 1), (1, 0, 45, 0, 1), (1, 0, 6, 6, 0), (1, 0, 7, 7, 0), (1, 0, 5, 5, 0), (-1, 0, 20, 4, 0)),
+    # an article with a list of links at its end: inside an article links are its text
+    ((1, 1, 5, 0, 1), (1, 0, 80, 6, 1), (1, 0, 2, 0, 1), (1, 0, 45, 0, 1), (1, 0, 6, 6, 1), (1, 0, 7, 7, 1), (1, 0, 5, 5, 1), (-1, 0, 20, 4, 0)),
     # a page without an article element
     ((0, 0, 1, 1, 0), (0, 0, 2, 2, 0), (0, 0, 1, 1, 0), (0, 1, 7, 0, 1), (0, 0, 55, 1, 1), (0, 0, 72, 5, 1), (0, 0, 18, 0, 1), (0, 0, 38, 0, 1), (0, 0, 5, 2, 0), (0, 0, 4, 3, 0)),
     # another, with short paragraphs between long ones
@@ -96,10 +101,10 @@ LABELLED = (
     # notices and forms around one paragraph
     ((-1, 0, 30, 2, 0), (-1, 0, 5, 0, 0), (1, 1, 4, 0, 1), (1, 0, 28, 0, 1), (-1, 0, 16, 0, 0), (-1, 0, 2, 0, 0), (-1, 0, 11, 6, 0)),
     # articles whose short paragraphs stand beside lists of links
-    ((-1, 0, 1, 1, 0), (1, 1, 2, 0, 1), (1, 0, 4, 0, 1), (1, 0, 3, 3, 0), (1, 0, 2, 0, 1), (1, 0, 5, 5, 0), (1, 0, 11, 0, 1), (1, 0, 4, 4, 0), (1, 0, 1, 0, 1), (-1, 0, 6, 6, 0)),
-    ((-1, 0, 4, 4, 0), (1, 0, 2, 0, 1), (1, 0, 17, 0, 1), (1, 0, 9, 9, 0), (1, 0, 8, 8, 0), (1, 0, 20, 0, 1), (1, 0, 3, 3, 0), (1, 0, 1, 0, 1), (1, 0, 2, 2, 0), (-1, 0, 2, 0, 0)),
+    ((-1, 0, 1, 1, 0), (1, 1, 2, 0, 1), (1, 0, 4, 0, 1), (1, 0, 3, 3, 1), (1, 0, 2, 0, 1), (1, 0, 5, 5, 1), (1, 0, 11, 0, 1), (1, 0, 4, 4, 1), (1, 0, 1, 0, 1), (-1, 0, 6, 6, 0)),
+    ((-1, 0, 4, 4, 0), (1, 0, 2, 0, 1), (1, 0, 17, 0, 1), (1, 0, 9, 9, 1), (1, 0, 8, 8, 1), (1, 0, 20, 0, 1), (1, 0, 3, 3, 1), (1, 0, 1, 0, 1), (1, 0, 2, 2, 1), (-1, 0, 2, 0, 0)),
     # articles with many references in the running text
-    ((1, 1, 4, 0, 1), (1, 0, 30, 9, 1), (1, 0, 52, 15, 1), (1, 0, 12, 4, 1), (1, 0, 25, 7, 1), (1, 0, 9, 5, 0), (-1, 0, 8, 2, 0)),
+    ((1, 1, 4, 0, 1), (1, 0, 30, 9, 1), (1, 0, 52, 15, 1), (1, 0, 12, 4, 1), (1, 0, 25, 7, 1), (1, 0, 9, 5, 1), (-1, 0, 8, 2, 0)),
     ((0, 0, 2, 2, 0), (0, 1, 6, 0, 1), (0, 0, 60, 18, 1), (0, 0, 44, 12, 1), (0, 0, 35, 11, 1), (0, 0, 7, 4, 0), (0, 0, 3, 2, 0)),
     # pages that end with their text
     ((-1, 0, 2, 2, 0), (1, 1, 5, 0, 1), (1, 0, 30, 0, 1), (1, 0, 12, 0, 1)), ((-1, 0, 3, 3, 0), (1, 0, 40, 0, 1)),
@@ -130,20 +135,23 @@ class Told:
     hidden: bool = False
     role: str = ""
     furniture: bool = False  # by class or id
+    teaser: bool = False  # by a class or id of one word, or that begins with `comment` or `reply`
 
 
 def _told(name: str, attributes: str) -> Told:
     told = Told()
     for key, value in ATTRIBUTE.findall(attributes) if attributes else ():
-        key, value = key.lower(), value.strip("\"'").lower()
-        if key == "hidden" or key == "aria-hidden" and value == "true":
+        key, value = key.lower(), value.strip("\"'")
+        if key == "hidden" or key == "aria-hidden" and value.lower() == "true":
             told.hidden = True
-        elif key == "role" and value in ROLES:
-            told.role = value
+        elif key == "role" and value.lower() in ROLES:
+            told.role = value.lower()
         elif key in ("class", "id") and name not in ("html", "body"):
-            for words in map(NAME.findall, value.split()):
+            for token in value.split():
+                words = [word.lower() for word in NAME.findall(token)]
                 if words and words[0] not in HAS_OR_LACKS and not FURNITURE_NAMES.isdisjoint(words):
                     told.furniture = True
+                    told.teaser |= words[0] in ("comment", "reply") or len(words) == 1 and words[0] in FURNITURE_ARTICLES
     return told
 
 
@@ -162,7 +170,9 @@ def _place(name: str, told: Told, frame: bool, inherited: tuple[int, int]) -> tu
     if name in FORMS and not frame and says < 1:
         return -1, FIXED if place == 1 else SOFT
     if name in ARTICLE:
-        return (1, SOFT) if says >= 0 else (-1, FIXED if place == 1 else FIRM)
+        # A class says little of an article: what is filed under `format-aside` is one all the same.
+        own = says < 0 and (place == 1 or told.teaser or ROLES.get(told.role, 0) < 0)
+        return (-1, FIXED if place == 1 else FIRM) if own else (1, SOFT)
     return (says, FIXED if place == 1 else SOFT) if says else inherited
 
 

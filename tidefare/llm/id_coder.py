@@ -33,7 +33,7 @@ import pandas as pd
 #: Numbers 0 to 1023 fit two digits of 32; 0 stands for a first appearance.
 BLOCK_IDS = 1023
 #: Blocks that are coded side by side.
-LANES = 2048
+LANES = 4096
 HEADER = "<4sIII"
 HEADER_BYTES = struct.calcsize(HEADER)
 MARK = b"tid1"
@@ -231,48 +231,47 @@ def encode(ids: np.ndarray, ids_in_all: int, block_ids: int = BLOCK_IDS) -> list
     lanes = -(-len(ids) // block_ids)
     if not lanes:
         return []
-    block = np.arange(len(ids)) // block_ids
-    # Numbers of first appearance: ids of different blocks are different values here.
-    order, values = pd.factorize(block * ids_in_all + ids.astype(np.int64))
-    seen_before = np.searchsorted(values // ids_in_all, np.arange(lanes))
-    number = order - seen_before[block] + 1
-    fresh = np.zeros(len(ids), bool)
-    fresh[np.flatnonzero(np.diff(np.maximum.accumulate(order), prepend=-1))] = True
-    lengths = np.full(lanes, block_ids)
-    lengths[-1] = len(ids) - (lanes - 1) * block_ids
-    places = int(lengths[0])
-
-    def by_place(values: np.ndarray) -> np.ndarray:
-        padded = np.zeros(lanes * places, np.int64)
-        padded[:len(values)] = values
-        return np.ascontiguousarray(padded.reshape(lanes, places).T)
-
-    entered, coded, plain = by_place(number), by_place(np.where(fresh, 0, number)), by_place(ids)
+    places = min(block_ids, len(ids))
+    last = len(ids) - (lanes - 1) * block_ids
+    padded = np.zeros(lanes * places, np.int64)
+    padded[:len(ids)] = ids
+    plain = padded.reshape(lanes, places)
+    # Numbers of first appearance: ids of different blocks are different values here, and the last one's padding is another.
+    keys = plain + np.arange(lanes)[:, None] * (ids_in_all + 1)
+    keys[-1, last:] = lanes * (ids_in_all + 1)
+    order = pd.factorize(keys.reshape(-1))[0].reshape(lanes, places)
+    del keys, padded
+    highest = np.maximum.accumulate(order.reshape(-1)).reshape(lanes, places)
+    before = np.r_[-1, highest.reshape(-1)[:-1]].reshape(lanes, places)
+    number = order - before[:, :1]
+    coded = np.where(order > before, 0, number)
+    entered, coded, plain = (np.ascontiguousarray(table.T.astype(kind)) for table, kind in ((number, np.int16), (coded, np.int16), (plain, np.int32)))
+    del order, highest, before, number
     model, counts, out = Model(lanes), Counts(lanes), Writer(lanes, places)
     for place in range(places):
-        active = lanes if place < lengths[-1] else lanes - 1
-        now = entered[place, :active]
+        active = lanes if place < last else lanes - 1
+        now = entered[place, :active].astype(np.int64)
         two, one, every = model.predict(active)
         outcome = model.outcome(now)
         start = np.where(outcome == 0, 0, np.where(outcome == 1, two, one))
         out.narrow(slice(0, active), start, np.where(outcome == 0, two, np.where(outcome == 1, one - two, every - one)), every)
         missed = np.flatnonzero(outcome == 2)
         if len(missed):
-            number = coded[place].take(missed)
+            number = coded[place].take(missed).astype(np.int64)
             out.narrow(missed, *counts.interval(missed, number), counts.total.take(missed))
             is_first = number == 0
             first = missed[is_first]
             if len(first):
-                out.narrow(first, plain[place].take(first), np.ones(len(first), np.int64), ids_in_all)
+                out.narrow(first, plain[place].take(first).astype(np.int64), np.ones(len(first), np.int64), ids_in_all)
                 counts.add_fresh(first)
             counts.add(missed, now.take(missed))
         model.update(now, outcome)
     out.finish()
     blocks = []
     for lane in range(lanes):
-        own = ids[lane * block_ids:lane * block_ids + int(lengths[lane])].astype("<u4").tobytes()
+        own = ids[lane * block_ids:(lane + 1) * block_ids].astype("<u4").tobytes()
         used = int(out.used[lane])
-        blocks.append(struct.pack(HEADER, MARK, int(lengths[lane]), zlib.crc32(own), used) + out.words[lane, :used].astype("<u4").tobytes())
+        blocks.append(struct.pack(HEADER, MARK, len(own) // 4, zlib.crc32(own), used) + out.words[lane, :used].astype("<u4").tobytes())
     return blocks
 
 

@@ -35,8 +35,9 @@ from tidefare.llm.common import identified, joined, stored
 PERCENT = 80
 #: What separates words.
 SPACES = " \t\x0b\x0c\r\n"
-#: Hash buckets in which tokens are counted: a table of fixed size.
-BUCKET_BITS = 16
+#: Hash buckets in which tokens are counted, 2 ** 19 of them, whatever the corpus; 16 ranks share a number.
+BUCKET_BITS = 19
+RANK_BITS, MOST_RANK = 4, 15
 BROADCAST_ROWS = 400_000
 #: The first lines of a group are compared with all lines before them.
 SHORT = 64
@@ -55,21 +56,33 @@ def bucket(token_hash: Column) -> Column:
 
 
 def token_ranks(docs: DataFrame) -> Column:
-    """An array with the rank of rarity, 0 to 255, of each hash bucket, from counts over all words."""
-    counted = (
-        docs.select(F.explode(tokens("text")).alias("token"))
-        .groupBy(bucket(F.xxhash64("token")).alias("bucket")).count().collect()  # one row a bucket
+    """An array that holds the rank of rarity of each hash bucket, from counts over all words.
+
+    A rank is the logarithm of the bucket's count in 16 steps up to that of the largest bucket, so steps grow with
+    the corpus and no count is clipped.
+    """
+    counted = docs.select(F.explode(tokens("text")).alias("token")).groupBy(bucket(F.xxhash64("token")).alias("bucket")).count()
+    counts = stored(counted, "lines-buckets")
+    most = counts.agg(F.max("count")).first()[0] or 1
+    rank = F.floor(F.log("count") * MOST_RANK / math.log(most + 1)).cast("long")
+    place = (F.col("bucket").bitwiseAND(F.lit(15)) * RANK_BITS).cast("int")
+    packed = (
+        counts.groupBy(F.shiftright("bucket", 4).alias("slot"))
+        .agg(F.bit_or(F.call_function("shiftleft", rank, place)).alias("ranks")).collect()  # 2 ** 15 rows
     )
-    ranks = [0] * (1 << BUCKET_BITS)
-    for row in counted:
-        ranks[row["bucket"]] = min(255, int(8 * math.log2(row["count"])))
-    return F.split(F.lit(",".join(map(str, ranks))), ",").cast("array<smallint>")
+    slots = [0] * (1 << (BUCKET_BITS - 4))
+    for row in packed:
+        slots[row["slot"]] = row["ranks"]
+    return F.split(F.lit(",".join(map(str, slots))), ",").cast("array<bigint>")
 
 
 def token_keys(line: str, ranks: Column) -> Column:
-    """The line's distinct tokens as numbers, rarest first: 8 bits of rank, 55 bits of hash."""
+    """The line's distinct tokens as numbers, rarest first: 4 bits of rank, 58 bits of hash."""
     def key(h: Column) -> Column:
-        return F.shiftleft(F.get(ranks, bucket(h)).cast("long"), 55).bitwiseOR(F.shiftrightunsigned(h, 9))
+        own = bucket(h)
+        slot = F.get(ranks, F.shiftright(own, 4))
+        rank = F.call_function("shiftright", slot, own.bitwiseAND(F.lit(15)) * RANK_BITS).bitwiseAND(F.lit(MOST_RANK))
+        return F.shiftleft(rank, 58).bitwiseOR(F.shiftrightunsigned(h, 6))
 
     hashes = F.transform(tokens(line), lambda token: F.xxhash64(token))
     return F.sort_array(F.array_distinct(F.transform(hashes, key)))

@@ -4,7 +4,7 @@ The documents of a slice are joined into one sequence of word numbers; a word ha
 each text, so no common prefix runs across texts. Prefix doubling ranks the
 suffixes by their first 1, 2, 4, 8, ... words; from 8 words on only suffixes that still share their
 rank with another are ranked again, and they are few. Neighbours in suffix order give longest common
-prefixes: a run of neighbours that share at least `WINDOW` words is an interval whose common prefix is
+prefixes, found by halving with hashes of runs, so that memory is some numbers a word however long the repeats: a run of neighbours that share at least `WINDOW` words is an interval whose common prefix is
 a repeated substring. The union of the spans [start, start + longest common prefix) of all such
 suffixes is what repeats; it equals the union of all windows of `WINDOW` words that occur twice.
 
@@ -12,7 +12,7 @@ A document passes the basic rule with at least 20 words of which at most 30 in 1
 verdict also limits the fraction of the characters of words that repeats cover (`MOST_COVERED`) and the
 longest repeat (`LONGEST_SHARE` of the words, at least `LONGEST_WORDS`).
 
-Null texts count as empty: no words, failed. Each input row gives one row, also if rows repeat; an
+Null texts count as empty: no words, failed. A text longer than a slice stands alone in one. Each input row gives one row, also if rows repeat; an
 empty table gives none.
 """
 
@@ -52,10 +52,10 @@ RULES = T.StructType([
 ])
 
 
-def shared_prefixes(numbers: np.ndarray, window: int = WINDOW) -> np.ndarray:
+def shared_prefixes(numbers: np.ndarray, runs: RunHashes, window: int = WINDOW) -> np.ndarray:
     """For each position the longest prefix that its suffix shares with another suffix; 0 if under `window`."""
     n = len(numbers)
-    longest = np.zeros(n, np.int64)
+    longest = np.zeros(n, np.int32)
     if n == 0:
         return longest
 
@@ -64,45 +64,44 @@ def shared_prefixes(numbers: np.ndarray, window: int = WINDOW) -> np.ndarray:
         return np.where(inside, rank[np.where(inside, at + step, 0)] + 1, 0)
 
     # Ranks by the first 1, 2, 4, ... words, equal exactly if those words are: all suffixes until `window`.
-    every = np.arange(n)
-    levels = [(1, np.unique(numbers, return_inverse=True)[1])]
-    while levels[-1][0] < window:
-        length, rank = levels[-1]
+    rank, length, every = np.unique(numbers, return_inverse=True)[1].astype(np.int32), 1, np.arange(n, dtype=np.int32)
+    while length < window:
         step = min(length, window - length)
-        levels.append((length + step, np.unique(rank * (n + 2) + ahead(rank, every, step), return_inverse=True)[1]))
-    dense = levels[-1][1]
-    sizes = np.bincount(dense)
-    rank = (np.cumsum(sizes) - sizes)[dense]  # where the group of equal prefixes starts in suffix order
-    levels[-1] = (window, rank)
-    repeated = live = np.flatnonzero(sizes[dense] > 1)
+        rank = np.unique(rank.astype(np.int64) * (n + 2) + ahead(rank, every, step), return_inverse=True)[1].astype(np.int32)
+        length += step
+    del every
+    sizes = np.bincount(rank)
+    repeated = live = np.flatnonzero(sizes[rank] > 1).astype(np.int32)
     if not len(live):
         return longest
-    # From there only suffixes that are not yet alone are ordered further.
+    rank = (np.cumsum(sizes) - sizes)[rank].astype(np.int32)  # where the group of equal prefixes starts in suffix order
+    # From there only suffixes that are not yet alone are ordered further, in place.
     while len(live):
-        length, rank = levels[-1]
         further = ahead(rank, live, length)
         order = np.lexsort((further, rank[live]))
-        own, then = rank[live][order], further[order]
-        place = np.arange(len(order))
+        live, further = live[order], further[order]
+        own = rank[live]
         new_group = np.r_[True, own[1:] != own[:-1]]
-        new_part = new_group | np.r_[True, then[1:] != then[:-1]]
-        group_start = np.maximum.accumulate(np.where(new_group, place, 0))
-        part_start = np.maximum.accumulate(np.where(new_part, place, 0))
-        finer = rank.copy()
-        finer[live[order]] = own + part_start - group_start
-        levels.append((2 * length, finer))
-        part_sizes = np.bincount(np.cumsum(new_part) - 1)
-        live = live[order][part_sizes[np.cumsum(new_part) - 1] > 1]
-    # Suffix order of all that repeat, and the common prefix of neighbours from the ranks of each level.
-    suffixes = repeated[np.argsort(levels[-1][1][repeated])]
+        new_part = new_group | np.r_[True, further[1:] != further[:-1]]
+        place = np.arange(len(live), dtype=np.int32)
+        rank[live] = own + np.maximum.accumulate(np.where(new_part, place, 0)) - np.maximum.accumulate(np.where(new_group, place, 0))
+        part = np.cumsum(new_part) - 1
+        live = live[np.bincount(part)[part] > 1]
+        length *= 2
+    # Suffix order of all that repeat. The common prefix of neighbours is at least a window if their first ones are
+    # equal, and is found by halves of the longest, from hashes of runs.
+    suffixes = repeated[np.argsort(rank[repeated])]
+    del rank, repeated
+    same, length = runs.equal(numbers), 1 << int(length).bit_length()
     left, right = suffixes[:-1], suffixes[1:]
-    common = np.zeros(len(left), np.int64)
-    for length, rank in reversed(levels):
-        a, b = left + common, right + common
-        inside = (a < n) & (b < n)
-        equal = inside & (rank[np.where(inside, a, 0)] == rank[np.where(inside, b, 0)])
-        common += np.where(equal, length, 0)
-    common = np.where(common >= window, common, 0)
+    common = np.zeros(len(left), np.int32)
+    while length:
+        inside = np.maximum(left, right) + common + length <= n
+        at = np.flatnonzero(inside)
+        equal = at[same(left[at] + common[at], right[at] + common[at], length)]
+        common[equal] += length
+        length //= 2
+    common[common < window] = 0
     longest[left] = common
     longest[right] = np.maximum(longest[right], common)
     return longest
@@ -115,8 +114,8 @@ def measured(texts: list[bytes], runs: RunHashes, window: int = WINDOW) -> list[
     # A word has another number in each text, so no common prefix joins or crosses two texts.
     with np.errstate(over="ignore"):
         sequence = words.hashes + np.repeat(np.arange(len(texts), dtype=np.uint64), counts) * np.uint64(0xD1342543DE82EF95)
-    longest = shared_prefixes(sequence, window)
-    opened = np.zeros(len(sequence) + 1, np.int64)
+    longest = shared_prefixes(sequence, runs, window)
+    opened = np.zeros(len(sequence) + 1, np.int32)
     starts = np.flatnonzero(longest)
     np.add.at(opened, starts, 1)
     np.add.at(opened, starts + longest[starts], -1)

@@ -16,7 +16,7 @@ and cuts the stream at the documents' beginnings. A block that fails raises `Dam
 part or parts that lack their first block raise it too.
 
 A task holds the ids of `LANES` blocks, or of one document if that is longer. The number of ranges is
-that of shuffle partitions, or more if one would get over `PART_BYTES` of text.
+that of shuffle partitions, fewer if one would get less than `LEAST_PART_BYTES` of text, more if it would get over `PART_BYTES`.
 
 Null and empty texts have the end id only. Null doc_ids come first. Rows of one doc_id are ordered by a
 hash of their text, then the text, so they may be dealt to several ranges; equal rows are written as often
@@ -37,7 +37,8 @@ from tidefare.llm.common import shuffle_partitions, slices
 from tidefare.llm.id_coder import BLOCK_IDS, LANES, Damaged, decode, encode
 
 END_ID = 0
-PART_BYTES = 128 << 20
+#: A part holds at least so much text, if there are partitions to spare, and at most so much.
+LEAST_PART_BYTES, PART_BYTES = 8 << 20, 128 << 20
 
 BLOCKS = "part int, block int, first long, n_ids int, data binary, doc_ids array<long>, begins array<int>"
 BLOCKS_SCHEMA = pa.schema([
@@ -54,7 +55,7 @@ def in_order(docs: DataFrame) -> DataFrame:
     """(part, doc_id, text): ranges of rows by doc_id, each sorted; parts follow each other."""
     named = docs.select(F.col("doc_id").cast("long"), "text").withColumn("tie", F.xxhash64("text"))
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = max(shuffle_partitions(docs.sparkSession), -(-size // PART_BYTES))
+    parts = max(1, min(shuffle_partitions(docs.sparkSession), -(-size // LEAST_PART_BYTES)), -(-size // PART_BYTES))
     by: list[Column] = [F.col("doc_id").asc_nulls_first(), F.col("tie").asc()]
     return (
         named.repartitionByRange(parts, *by).sortWithinPartitions(*by, F.col("text").asc_nulls_first())
