@@ -5,6 +5,7 @@ import pytest
 from conformance import fixtures
 from tidefare.__main__ import main
 from tidefare.session import scratch_path
+from tidefare.sinks.ledger import Ledger
 from tidefare.sinks.streams import latest_windows
 
 
@@ -39,6 +40,18 @@ def test_feeds_end_to_end(spark, small):
     assert spark.read.parquet(events).count() == 1000
 
 
+def test_ledger_and_replays_from_the_command_line(spark, small, capsys):
+    feed, ledger, events = (scratch_path(spark, name) for name in ("feed", "ledger", "events"))
+    messages = fixtures.messages(spark, small)
+    messages.unionByName(messages).write.text(feed)
+    main(["windows", "--files", feed, "--ledger", ledger, "--checkpoint", scratch_path(spark, "c1"), "--once"])
+    assert "rows_read 2000 rows_late 0" in capsys.readouterr().out
+    main(["compact", "--ledger", ledger, "--files", "1"])
+    assert Ledger(spark, ledger).base() >= 0 and Ledger(spark, ledger).windows().count() == 987
+    main(["events", "--files", feed, "--out", events, "--checkpoint", scratch_path(spark, "c2"), "--once", "--horizon", "1 hour"])
+    assert spark.read.parquet(events).count() == 1000
+
+
 def test_kafka_jobs_ask_for_the_connector(spark):
     arguments = ["--servers", "localhost:9", "--checkpoint", scratch_path(spark, "c"), "--once"]
     for job in ("windows", "events"):

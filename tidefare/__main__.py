@@ -15,6 +15,7 @@ from tidefare.plans.batch import run_batch
 from tidefare.plans.sample import stored_sample
 from tidefare.plans.training import run_training
 from tidefare.session import build_session
+from tidefare.sinks.ledger import Ledger
 from tidefare.sinks.streams import SURGE_TOPIC, console_windows
 from tidefare.sources.requests import REQUEST_TOPIC, read_json_files, read_kafka
 from tidefare.sources.tables import ROW_KEY, read_predictions_csv
@@ -72,21 +73,30 @@ def _also_bad_records(messages: DataFrame, args: argparse.Namespace, timed: bool
 
 def _windows(spark: SparkSession, args: argparse.Namespace) -> None:
     messages = _messages(spark, args)
-    if args.out:
+    if args.ledger:
+        query = live.start_window_ledger(messages, args.ledger, args.checkpoint, _trigger(args))
+    elif args.out:
         query = live.start_window_surge(messages, args.out, args.checkpoint, _trigger(args))
     else:
         windows = window_surge(valid_requests(parse_requests(messages)))
         query = console_windows(windows, args.checkpoint, _trigger(args))
     _also_bad_records(messages, args, timed=True)
     query.awaitTermination()
+    if args.ledger:
+        print(" ".join(f"{name} {value}" for name, value in Ledger(spark, args.ledger).counts().items()))
+
+
+def _compact(spark: SparkSession, args: argparse.Namespace) -> None:
+    nothing = spark.createDataFrame([], "value string")
+    Ledger(spark, args.ledger).compact(valid_requests(parse_requests(nothing)).schema, args.files)
 
 
 def _events(spark: SparkSession, args: argparse.Namespace) -> None:
     messages = _messages(spark, args)
     if args.out:
-        query = live.start_event_surge_files(messages, args.out, args.checkpoint, _trigger(args))
+        query = live.start_event_surge_files(messages, args.out, args.checkpoint, _trigger(args), args.horizon)
     else:
-        query = live.start_event_surge_kafka(messages, args.servers, args.checkpoint, args.out_topic, _trigger(args))
+        query = live.start_event_surge_kafka(messages, args.servers, args.checkpoint, args.out_topic, _trigger(args), args.horizon)
     _also_bad_records(messages, args, timed=False)
     query.awaitTermination()
 
@@ -153,13 +163,21 @@ def parser() -> argparse.ArgumentParser:
 
     job = jobs.add_parser("windows", help="windowed surge per zone from a feed")
     _feed_arguments(job)
-    job.add_argument("--out", help="folder for upserted windows; the console if absent")
+    target = job.add_mutually_exclusive_group()
+    target.add_argument("--out", help="folder for upserted windows; the console if neither is given")
+    target.add_argument("--ledger", help="folder for closed and open windows, late requests and lasting counts")
     job.set_defaults(run=_windows)
 
+    job = jobs.add_parser("compact", help="gather the closed windows of a ledger")
+    job.add_argument("--ledger", required=True)
+    job.add_argument("--files", type=int, help="files to write")
+    job.set_defaults(run=_compact)
+
     job = jobs.add_parser("events", help="surge and fare of each request of a feed")
     _feed_arguments(job)
     job.add_argument("--out", help="folder for messages; Kafka if absent")
     job.add_argument("--out-topic", default=SURGE_TOPIC, help="Kafka topic to publish to")
+    job.add_argument("--horizon", help="price a message that comes again within this time once, such as '1 hour'")
     job.set_defaults(run=_events)
 
     job = jobs.add_parser("sample", help="a stored sample of labelled trips from CSV")

@@ -17,7 +17,8 @@ from tidefare.operators.local import rows_of
 from tidefare.operators.trips import with_period_flags
 from tidefare.schemas import FEATURE_COLUMNS
 
-TRAINING_PARTS = 32
+#: At least so many parts, and one for so many rows.
+TRAINING_PARTS, ROWS_IN_PART = 32, 500_000
 
 # The fare is not a feature; the surge is the label.
 MODEL_FEATURES = (
@@ -46,21 +47,22 @@ def surge_pipeline(trees: int = 100, depth: int = 8, seed: int = 42) -> Pipeline
     return Pipeline(stages=[assembler, forest])
 
 
-def settled(rows: DataFrame, parts: int = TRAINING_PARTS) -> DataFrame:
-    """The rows dealt by content into a fixed number of sorted parts.
+def settled(rows: DataFrame, parts: int | None = None) -> DataFrame:
+    """The rows dealt by content into sorted parts, as many as their number asks for.
 
     Bagging and split sampling follow partitions and their order, so this makes the forest the
     same for any file layout and number of cores.
     """
+    parts = parts or max(TRAINING_PARTS, -(-rows.count() // ROWS_IN_PART))
     return rows.repartition(parts, *rows.columns).sortWithinPartitions(*rows.columns)
 
 
 def fit(
-    train: DataFrame, trees: int = 100, depth: int = 8, seed: int = 42, parts: int = TRAINING_PARTS
+    train: DataFrame, trees: int = 100, depth: int = 8, seed: int = 42, parts: int | None = None
 ) -> PipelineModel:
     """Fit on the needed columns only; the forest keeps its own binned copy on memory and disk.
 
-    Raise `parts` with the training rows; it is part of what decides the model.
+    The number of parts, which grows with the rows, is part of what decides the model.
     """
     needed = train.select(*MODEL_FEATURES, "label")
     return surge_pipeline(trees, depth, seed).fit(settled(needed, parts))

@@ -67,9 +67,11 @@ def start_event_surge_kafka(
     checkpoint: str,
     topic: str = streams.SURGE_TOPIC,
     trigger: str | None = "1 second",
+    horizon: str | None = None,
 ) -> StreamingQuery:
-    """Per-event surge, published to Kafka with the zone as key."""
-    priced = price_events(parsed_requests(parse_requests(messages)))
+    """Per-event surge, published to Kafka with the zone as key; `horizon` as for files."""
+    requests = parsed_requests(parse_requests(messages))
+    priced = price_events(requests if horizon is None else once_each(requests, horizon))
     return streams.publish_kafka(as_messages(priced), servers, checkpoint, topic, trigger)
 
 
