@@ -5,7 +5,7 @@ The tokens of a line are its distinct words. A line is removed if an earlier lin
 earlier line is removed itself. Lines without a word are left alone.
 
 1. Lines of equal text: all but the first go, found by one count of line hashes.
-2. Of the rest, tokens are put in order of rarity (the count of their hash bucket over the whole
+2. Of the rest, tokens are put in order of rarity (four ranks by the count of their hash bucket over the whole
    corpus, then their hash). Two lines of n and m tokens can only be similar if they share a token among
    the first n - ceil(0.8 n) + 1 and m - ceil(0.8 m) + 1, so lines meet in the groups of those tokens.
    A pair is dropped there if its sizes differ too much, if the tokens that can still follow the shared
@@ -24,7 +24,6 @@ The tables that are broadcast have at most `BROADCAST_ROWS` rows; beyond that th
 
 from __future__ import annotations
 
-import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -35,12 +34,15 @@ from tidefare.llm.common import identified, joined, stored
 PERCENT = 80
 #: What separates words.
 SPACES = " \t\x0b\x0c\r\n"
-#: Hash buckets in which tokens are counted, 2 ** 19 of them, whatever the corpus; 16 ranks share a number.
-BUCKET_BITS = 19
-RANK_BITS, MOST_RANK = 4, 15
+#: Hash buckets in which tokens are counted, whatever the corpus: 32 to a slot, two bits of rank each.
+SLOT_BITS, BUCKET_BITS = 16, 21
+#: A bucket is rare up to this count, or three times the mean of all buckets; each further rank is eight times as common.
+RARE_COUNT, RARE_MEANS, RANK_STEP = 128, 3, 8
 BROADCAST_ROWS = 400_000
 #: The first lines of a group are compared with all lines before them.
-SHORT = 64
+SHORT = 128
+#: Lines of a group that are held together where a line meets the whole group.
+PART = 512
 
 
 def tokens(line: str) -> Column:
@@ -51,38 +53,35 @@ def tokens(line: str) -> Column:
     return F.array_remove(F.split(spaced, " "), "")
 
 
-def bucket(token_hash: Column) -> Column:
-    return token_hash.bitwiseAND(F.lit((1 << BUCKET_BITS) - 1)).cast("int")
-
-
 def token_ranks(docs: DataFrame) -> Column:
-    """An array that holds the rank of rarity of each hash bucket, from counts over all words.
+    """An array that holds the rank of rarity, 0 to 3, of each hash bucket, from counts over all words.
 
-    A rank is the logarithm of the bucket's count in 16 steps up to that of the largest bucket, so steps grow with
-    the corpus and no count is clipped.
+    Rank 0 has groups small enough to meet in full; which of its words come first is left to their hash.
     """
-    counted = docs.select(F.explode(tokens("text")).alias("token")).groupBy(bucket(F.xxhash64("token")).alias("bucket")).count()
+    token_hash = F.xxhash64("token")
+    bucket = F.shiftrightunsigned(token_hash, 64 - SLOT_BITS).cast("int") * 32 + token_hash.bitwiseAND(F.lit(31)).cast("int")
+    counted = docs.select(F.explode(tokens("text")).alias("token")).groupBy(bucket.alias("bucket")).count()
     counts = stored(counted, "lines-buckets")
-    most = counts.agg(F.max("count")).first()[0] or 1
-    rank = F.floor(F.log("count") * MOST_RANK / math.log(most + 1)).cast("long")
-    place = (F.col("bucket").bitwiseAND(F.lit(15)) * RANK_BITS).cast("int")
+    words = counts.agg(F.sum("count")).first()[0] or 0
+    rare = max(RARE_COUNT, RARE_MEANS * words >> BUCKET_BITS)
+    rank = sum(((F.col("count") > rare * RANK_STEP**k).cast("long") for k in range(3)), F.lit(0).cast("long"))
+    place = (F.col("bucket").bitwiseAND(F.lit(31)) * 2).cast("int")
     packed = (
-        counts.groupBy(F.shiftright("bucket", 4).alias("slot"))
-        .agg(F.bit_or(F.call_function("shiftleft", rank, place)).alias("ranks")).collect()  # 2 ** 15 rows
+        counts.where(F.col("count") > rare).groupBy(F.shiftright("bucket", 5).alias("slot"))
+        .agg(F.bit_or(F.call_function("shiftleft", rank, place)).alias("ranks")).collect()  # at most 2 ** 16 rows
     )
-    slots = [0] * (1 << (BUCKET_BITS - 4))
+    slots = [0] * (1 << SLOT_BITS)
     for row in packed:
         slots[row["slot"]] = row["ranks"]
     return F.split(F.lit(",".join(map(str, slots))), ",").cast("array<bigint>")
 
 
 def token_keys(line: str, ranks: Column) -> Column:
-    """The line's distinct tokens as numbers, rarest first: 4 bits of rank, 58 bits of hash."""
+    """The line's distinct tokens as numbers, rarest first: 2 bits of rank, 60 bits of hash."""
     def key(h: Column) -> Column:
-        own = bucket(h)
-        slot = F.get(ranks, F.shiftright(own, 4))
-        rank = F.call_function("shiftright", slot, own.bitwiseAND(F.lit(15)) * RANK_BITS).bitwiseAND(F.lit(MOST_RANK))
-        return F.shiftleft(rank, 58).bitwiseOR(F.shiftrightunsigned(h, 6))
+        slot = F.get(ranks, F.shiftrightunsigned(h, 64 - SLOT_BITS).cast("int"))
+        rank = F.call_function("shiftright", slot, (h.bitwiseAND(F.lit(31)) * 2).cast("int")).bitwiseAND(F.lit(3))
+        return F.shiftleft(rank, 60).bitwiseOR(F.shiftrightunsigned(h, 4))
 
     hashes = F.transform(tokens(line), lambda token: F.xxhash64(token))
     return F.sort_array(F.array_distinct(F.transform(hashes, key)))
@@ -174,7 +173,8 @@ def partners(lines: DataFrame, percent: int) -> DataFrame:
 
     The first `SHORT` lines of a token's group are compared with all before them. A later one that is close to
     the group's first line, or to one of the `SHORT` lines before it, is not compared with the others there; `untried`
-    says so. Only a later line that is close to none of them meets the whole group, in a join of its own.
+    says so. Only a later line that is close to none of them meets the whole group, in parts of `PART` lines, and keeps
+    the first line of each part that passes.
     """
     group = Window.partitionBy("token").orderBy("doc", "line_no")
     entry, own, other = F.struct(*ENTRY), F.col("own"), F.col("other")
@@ -195,8 +195,13 @@ def partners(lines: DataFrame, percent: int) -> DataFrame:
     met = stored(listed.where(other.isNull() | (before(other, own) & may_match(own, other, percent))), "lines-met")
     close = met.where(other.isNotNull()).select(*partner(own, other), "untried")
     far = stored(met.where(other.isNull()).select(F.col("far_token").alias("token"), "own"), "lines-far")
-    others = joined(entries(lines).select("token", entry.alias("other")), far, "token", BROADCAST_ROWS)
-    farther = others.where(before(other, own) & may_match(own, other, percent)).select(*partner(own, other), F.lit(False).alias("untried"))
+    # The group in parts of bounded size; a far line takes the first that passes from each.
+    hot = joined(entries(lines).select("token", entry.alias("other")), stored(far.select("token").distinct(), "lines-hot"), "token", BROADCAST_ROWS)
+    by_place = Window.partitionBy("token").orderBy("other.doc", "other.line_no")
+    parts = hot.withColumn("part", F.floor((F.row_number().over(by_place) - 1) / PART)).groupBy("token", "part").agg(F.sort_array(F.collect_list("other")).alias("others"))
+    passing = F.filter("others", lambda entry: before(entry, own) & may_match(own, entry, percent))
+    found = far.join(parts, "token").select("own", F.get(passing, F.lit(0)).alias("other")).where(other.isNotNull())
+    farther = found.select(*partner(own, other), F.lit(True).alias("untried"))
     return close.unionByName(farther).groupBy("doc", "line_no").agg(F.collect_set("partner").alias("partners"), F.max("untried").alias("untried"))
 
 
