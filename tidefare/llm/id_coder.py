@@ -171,11 +171,20 @@ class Writer:
         share = self.range[lanes] // (total.astype(U64) if isinstance(total, np.ndarray) else U64(total))
         low = self.low[lanes]
         moved = low + share * start.astype(U64)
-        carried = moved < low
-        self.low[lanes], self.range[lanes] = moved, share * size.astype(U64)
-        if carried.any():
-            self._carry(np.flatnonzero(carried) if isinstance(lanes, slice) else lanes[carried])
-        self._emit()
+        share *= size.astype(U64)
+        carried = np.flatnonzero(moved < low)
+        self.low[lanes], self.range[lanes] = moved, share
+        ready = np.flatnonzero(share < U64(1 << 32))
+        if not isinstance(lanes, slice):
+            carried, ready = lanes[carried], lanes[ready]
+        if len(carried):
+            self._carry(carried)
+        if len(ready):
+            low = self.low[ready]
+            self.words[ready, self.used[ready]] = (low >> U64(32)).astype(np.uint32)
+            self.used[ready] += 1
+            self.low[ready] = low << U64(32)
+            self.range[ready] <<= U64(32)
 
     def _carry(self, lanes: np.ndarray) -> None:
         back = 1
@@ -185,14 +194,6 @@ class Writer:
             lanes = lanes[self.words[lanes, at] == 0]
             back += 1
 
-    def _emit(self) -> None:
-        ready = np.flatnonzero(self.range < U64(1 << 32))
-        if len(ready):
-            self.words[ready, self.used[ready]] = (self.low[ready] >> U64(32)).astype(np.uint32)
-            self.used[ready] += 1
-            self.low[ready] <<= U64(32)
-            self.range[ready] <<= U64(32)
-
     def finish(self) -> None:
         """One word more: the next multiple of 2**32 lies in the range, which is at least as wide."""
         moved = self.low + U64((1 << 32) - 1)
@@ -217,9 +218,11 @@ class Reader:
 
     def narrow(self, lanes: np.ndarray | slice, start: np.ndarray, size: np.ndarray) -> None:
         self.code[lanes] -= self.share * start.astype(U64)
-        self.range[lanes] = self.share * size.astype(U64)
-        ready = np.flatnonzero(self.range < U64(1 << 32))
+        self.share *= size.astype(U64)
+        self.range[lanes] = self.share
+        ready = np.flatnonzero(self.share < U64(1 << 32))
         if len(ready):
+            ready = ready if isinstance(lanes, slice) else lanes[ready]
             following = self.words[ready, np.minimum(self.used[ready], self.words.shape[1] - 1)]
             self.code[ready] = (self.code[ready] << U64(32)) | following
             self.used[ready] += 1
@@ -233,20 +236,24 @@ def encode(ids: np.ndarray, ids_in_all: int, block_ids: int = BLOCK_IDS) -> list
         return []
     places = min(block_ids, len(ids))
     last = len(ids) - (lanes - 1) * block_ids
-    padded = np.zeros(lanes * places, np.int64)
-    padded[:len(ids)] = ids
-    plain = padded.reshape(lanes, places)
+    kind = np.int32 if lanes * (ids_in_all + 1) < 1 << 31 else np.int64
+    plain = np.zeros(lanes * places, kind)
+    plain[:len(ids)] = ids
+    plain = plain.reshape(lanes, places)
     # Numbers of first appearance: ids of different blocks are different values here, and the last one's padding is another.
-    keys = plain + np.arange(lanes)[:, None] * (ids_in_all + 1)
+    keys = plain + (np.arange(lanes, dtype=kind) * (ids_in_all + 1))[:, None]
     keys[-1, last:] = lanes * (ids_in_all + 1)
-    order = pd.factorize(keys.reshape(-1))[0].reshape(lanes, places)
-    del keys, padded
-    highest = np.maximum.accumulate(order.reshape(-1)).reshape(lanes, places)
-    before = np.r_[-1, highest.reshape(-1)[:-1]].reshape(lanes, places)
-    number = order - before[:, :1]
-    coded = np.where(order > before, 0, number)
-    entered, coded, plain = (np.ascontiguousarray(table.T.astype(kind)) for table, kind in ((number, np.int16), (coded, np.int16), (plain, np.int32)))
-    del order, highest, before, number
+    order = pd.factorize(keys.reshape(-1))[0].astype(np.int32)
+    del keys
+    highest = np.maximum.accumulate(order)
+    before = np.r_[np.int32(-1), highest[:-1]].reshape(lanes, places)
+    del highest
+    order = order.reshape(lanes, places)
+    number = (order - before[:, :1]).astype(np.int16)
+    coded = np.where(order > before, np.int16(0), number)
+    del order, before
+    entered, coded, plain = (np.ascontiguousarray(table.T) for table in (number, coded, plain))
+    del number
     model, counts, out = Model(lanes), Counts(lanes), Writer(lanes, places)
     for place in range(places):
         active = lanes if place < last else lanes - 1
