@@ -159,6 +159,59 @@ def test_toxicity_finds_pairs_and_handles_odd_rows(spark, docs, no_docs):
     assert {r["predicted"] for r in rows_of(ftrl_toxicity.score(docs, unlabelled))} == {0}
 
 
+def plain_ftrl(examples, size, epochs):
+    """The published update rule, one coordinate at a time in dictionaries."""
+    alpha, beta, l1, l2 = ftrl_toxicity.ALPHA, ftrl_toxicity.BETA, ftrl_toxicity.L1, ftrl_toxicity.L2
+    z, n, order = Counter(), Counter(), np.random.default_rng(0)
+    positive = sum(label for _, label in examples)
+    heavier = ((len(examples) - positive) / max(1, positive)) ** ftrl_toxicity.HEAVIER
+
+    def weight(k):
+        limit = 0.0 if k == size else l1
+        if abs(z[k]) <= limit:
+            return 0.0
+        return -(z[k] - (limit if z[k] > 0 else -limit)) / ((beta + n[k] ** 0.5) / alpha + l2)
+
+    for _ in range(epochs):
+        for e in order.permutation(len(examples)):
+            coordinates, label = examples[e]
+            w = {k: weight(k) for k in coordinates}
+            p = 1 / (1 + np.exp(-min(35.0, max(-35.0, sum(w.values())))))
+            g = (p - label) * (heavier if label else 1.0)
+            for k in coordinates:
+                sigma = ((n[k] + g * g) ** 0.5 - n[k] ** 0.5) / alpha
+                z[k] += g - sigma * w[k]
+                n[k] += g * g
+    return {k: weight(k) for k in z if weight(k)}
+
+
+def test_updates_equal_the_plain_rule():
+    runs, examples = RunHashes(), []
+    for k in range(50):
+        text = sentence(900 + k, 25) + (" very bad thing" if k % 4 == 0 else " very good thing")
+        found = np.unique(ftrl_toxicity.occurrences(ftrl_toxicity.plain_words([text.encode()], runs).of(0), 12))
+        examples.append((np.append(found, 1 << 12), int(k % 4 == 0)))
+    found = ftrl_toxicity.train(examples, 12, epochs=12)
+    expected = plain_ftrl([(at.tolist(), label) for at, label in examples], 1 << 12, 12)
+    assert found.keys() == expected.keys() and len(found) > 3
+    assert all(found[k] == pytest.approx(expected[k], rel=1e-9) for k in found)
+
+
+def test_coordinates_of_words_pairs_and_skipping_pairs():
+    runs = RunHashes()
+
+    def of(text):
+        return Counter(ftrl_toxicity.occurrences(ftrl_toxicity.plain_words([text.encode()], runs).of(0)).tolist())
+
+    assert [sum(of(text).values()) for text in ("", "a", "a b", "a b c", "a b c d")] == [0, 1, 3, 6, 9]
+    one, two, pair = of("a"), of("b"), of("a b")
+    neighbours = pair - one - two
+    assert sum(neighbours.values()) == 1 and of("b a") - one - two != neighbours  # order counts
+    assert of("A, b!") == pair
+    skipping = of("a x b") - of("x") - (of("a x") - of("x")) - (of("x b") - of("x"))
+    assert sum(skipping.values()) == 1 and not skipping & neighbours and not skipping - of("a y b")
+
+
 # Pages
 
 def test_main_text_of_an_article():

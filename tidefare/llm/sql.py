@@ -77,3 +77,53 @@ FROM documents d LEFT JOIN lines l ON l.doc_id IS NOT DISTINCT FROM d.doc_id
 LEFT JOIN judged j ON j.doc_id IS NOT DISTINCT FROM l.doc_id AND j.line_no = l.line_no
 GROUP BY d.doc_id
 """
+
+# All windows of 20 words; the first of equal ones, by document and start, stays.
+SQL["op9_suffix_groups"] = r"""
+WITH texts AS (
+  SELECT doc_id, COALESCE(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS words FROM documents
+), windows AS (
+  SELECT doc_id, start, array_to_string(words[start:start + 19], ' ') AS run
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS start FROM texts WHERE len(words) >= 20)
+), repeated AS (
+  SELECT doc_id, start FROM windows QUALIFY row_number() OVER (PARTITION BY run ORDER BY doc_id NULLS FIRST, start) > 1
+), covered AS (
+  SELECT DISTINCT doc_id, unnest(range(start, start + 20)) AS place FROM repeated
+), placed AS (
+  SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS place FROM texts
+), kept AS (
+  SELECT p.doc_id, COUNT(c.place)::BIGINT AS n_removed, string_agg(word, ' ' ORDER BY p.place) FILTER (WHERE c.place IS NULL) AS text
+  FROM placed p LEFT JOIN covered c ON c.doc_id IS NOT DISTINCT FROM p.doc_id AND c.place = p.place GROUP BY p.doc_id
+)
+SELECT t.doc_id, len(t.words)::BIGINT AS n_words, COALESCE(k.n_removed, 0)::BIGINT AS n_removed, sha256(COALESCE(k.text, '')) AS kept_sha256
+FROM texts t LEFT JOIN kept k ON k.doc_id IS NOT DISTINCT FROM t.doc_id
+"""
+
+# One document stands for all of an equal set; any two that share a run of words are compared, and links are followed to their end.
+SQL["op8_circulant_minhash"] = r"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, COALESCE(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS words
+  FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
+    ELSE list_sort(list_distinct(list_transform(range(1, len(words) - 2), lambda i: array_to_string(words[i:i + 3], ' ')))) END AS runs
+  FROM texts
+), classes AS (
+  SELECT runs, MIN(doc_id) AS node FROM sets WHERE len(runs) > 0 GROUP BY runs
+), shared AS (
+  SELECT a.node AS one, b.node AS other, ANY_VALUE(a.n) + ANY_VALUE(b.n) AS total, COUNT(*) AS in_both
+  FROM (SELECT node, len(runs) AS n, unnest(runs) AS run FROM classes) a
+  JOIN (SELECT node, len(runs) AS n, unnest(runs) AS run FROM classes) b
+    ON a.run = b.run AND a.node < b.node AND 5 * a.n >= 4 * b.n AND 5 * b.n >= 4 * a.n
+  GROUP BY a.node, b.node
+), links AS (
+  SELECT one, other FROM shared WHERE 100 * in_both >= 80 * (total - in_both)
+), both_ways AS (SELECT one, other FROM links UNION ALL SELECT other, one FROM links
+), reached AS (
+  SELECT node AS one, node AS other FROM classes
+  UNION SELECT r.one, l.other FROM reached r JOIN both_ways l ON l.one = r.other
+), components AS (SELECT one AS node, MIN(other) AS component FROM reached GROUP BY one)
+SELECT s.doc_id, len(s.runs)::BIGINT AS n_shingles, COALESCE(p.component, s.doc_id) AS component_id,
+  COALESCE(p.component, s.doc_id) IS NOT DISTINCT FROM s.doc_id AS kept
+FROM sets s LEFT JOIN classes c ON c.runs = s.runs AND len(s.runs) > 0 LEFT JOIN components p ON p.node = c.node
+"""
