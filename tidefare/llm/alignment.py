@@ -107,6 +107,7 @@ class Aligner:
             raise ValueError(f"pieces reach over spaces: {piece_path}")
         self.b_ids = len(self.pieces)
         self.code_type = np.dtype("<u4" if (max(vocabulary.values()) + 1) * self.b_ids <= 1 << 32 else "<u8")
+        self.names = list(map(str, range(max(max(vocabulary.values()) + 1, self.b_ids))))
         self.array_code = "I" if self.code_type.itemsize == 4 else "Q"
         self.known: dict[str, Closed | None] = {}
 
@@ -116,19 +117,18 @@ class Aligner:
             return bytes([int(piece[3:5], 16)])
         return piece.replace(SHOWN_SPACE, " ").encode()
 
-    def encoded(self, part: str, b: list[int] | None = None) -> tuple[list[int], list[bytes], list[int], list[bytes]] | None:
-        """The ids of a part that begins with a space, and their bytes; None if these are not the part's."""
-        a = array("I", self.a.word(part[1:]) if not part[1:2].isspace() and len(part) > 1 else self.a.spelled(part)).tolist()
-        b = self.b.encode(part[1:]) if b is None else b
-        a_bytes, b_bytes, own = list(map(self.a_bytes.__getitem__, a)), list(map(self.pieces.__getitem__, b)), part.encode()
-        return (a, a_bytes, b, b_bytes) if b"".join(a_bytes) == own == b"".join(b_bytes) else None
+    def ids(self, part: str) -> tuple[list[int], list[int]]:
+        """Both tokenizers' ids of a part that begins with a space."""
+        plain = len(part) > 1 and not part[1].isspace()
+        return array("I", self.a.word(part[1:]) if plain else self.a.spelled(part)).tolist(), self.b.encode(part[1:])
 
     def tokens(self, part: str) -> tuple[Tokens, Tokens] | None:
-        """The tokens of a part that begins with a space, with their ends in it."""
-        found = self.encoded(part)
-        if found is None:
+        """The tokens of a part that begins with a space, with their ends in it; None if their bytes are not the part's."""
+        a, b = self.ids(part)
+        a_bytes, b_bytes, own = [self.a_bytes[index] for index in a], [self.pieces[index] for index in b], part.encode()
+        if b"".join(a_bytes) != own or b"".join(b_bytes) != own:
             return None
-        return tuple((np.array(ids, np.int64), np.cumsum(list(map(len, values)), dtype=np.int64)) for ids, values in (found[:2], found[2:]))
+        return tuple((np.array(ids, np.int64), np.cumsum(list(map(len, found)), dtype=np.int64)) for ids, found in ((a, a_bytes), (b, b_bytes)))
 
     def groups(self, both: tuple[Tokens, Tokens]) -> Closed:
         """The groups of tokens that begin at a common end and end at one."""
@@ -165,35 +165,38 @@ class Aligner:
         between = self.groups(chained(one.suffix, other.prefix))
         return Fragment(one.prefix, one.closed + between + other.closed, other.suffix, True, whole)
 
-    def word(self, part: str, b: list[int] | None = None) -> Closed | None:
-        """The closed fragment of the bytes between two places where both tokenizers cut; None if they are not whole.
-
-        What `groups` finds for any number of tokens, found here for a few by walking along both sides.
-        """
-        found = self.encoded(part, b)
-        if found is None:
+    def word(self, part: str) -> Closed | None:
+        """The closed fragment of the bytes between two places where both tokenizers cut; None if they are not whole."""
+        a, b = self.ids(part)
+        if len(a) + len(b) <= FEW_TOKENS:
+            return self.walked(a, b, part.encode())
+        both = self.tokens(part)
+        return None if both is None else self.groups(both)
+
+    def walked(self, a: list[int], b: list[int], own: bytes) -> Closed | None:
+        """What `groups` finds for any number of tokens, found for a few by walking along both sides."""
+        a_bytes, b_bytes = [self.a_bytes[index] for index in a], [self.pieces[index] for index in b]
+        if b"".join(a_bytes) != own or b"".join(b_bytes) != own:
             return None
-        a, a_bytes, b, b_bytes = found
-        if len(a) + len(b) > FEW_TOKENS:
-            return self.groups(self.tokens(part))
-        closed, codes = [], array(self.array_code)
-        i, j, first_a, first_b = 0, 0, 0, 0
-        a_end, b_end = len(a_bytes[0]), len(b_bytes[0])
+        names, b_ids = self.names, self.b_ids
+        closed, codes = [], []
+        i = j = first_a = first_b = 0
+        a_end, b_end, last = len(a_bytes[0]), len(b_bytes[0]), len(own)
         while True:
-            codes.append(a[i] * self.b_ids + b[j])
-            move_a, move_b = a_end <= b_end, b_end <= a_end
-            if move_a:
+            codes.append(a[i] * b_ids + b[j])
+            if a_end < b_end:
                 i += 1
-            if move_b:
+                a_end += len(a_bytes[i])
+            elif b_end < a_end:
                 j += 1
-            if move_a and move_b:
-                closed.append(f"{','.join(map(str, a[first_a:i]))}|{','.join(map(str, b[first_b:j]))}")
-                if i == len(a):
-                    return Closed(len(a), len(b), len(closed), codes.tobytes(), ";".join(closed))
+                b_end += len(b_bytes[j])
+            else:
+                i, j = i + 1, j + 1
+                closed.append(f"{','.join([names[x] for x in a[first_a:i]])}|{','.join([names[x] for x in b[first_b:j]])}")
+                if a_end == last:
+                    return Closed(i, j, len(closed), array(self.array_code, codes).tobytes(), ";".join(closed))
                 first_a, first_b = i, j
-            if move_a:
                 a_end += len(a_bytes[i])
-            if move_b:
                 b_end += len(b_bytes[j])
 
     def learn(self, texts: list[str]) -> None:
@@ -204,7 +207,9 @@ class Aligner:
             self.known.clear()
             new = [word for word in words if word and len(word) <= LONGEST_KEPT and not word[0].isspace()]
         for word, b in zip(new, self.b.encode(new, num_threads=1)):
-            self.known[word] = self.word(" " + word, b)
+            a = array("I", self.a.word(word)).tolist()
+            own = " " + word
+            self.known[word] = self.walked(a, b, own.encode()) if len(a) + len(b) <= FEW_TOKENS else self.word(own)
 
     def remembered(self, word: str) -> Closed | None:
         """`word` with a space before it, from memory if it was seen."""
