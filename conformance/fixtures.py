@@ -5,6 +5,8 @@ The mappings are row by row, so every query's work grows with the table.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -122,34 +124,38 @@ def mixed(rows: DataFrame) -> DataFrame:
     return messages_from_events(rows, timestamp=timed).selectExpr("if(event_id % 83 = 0, concat('bad ', event_id), value) AS value")
 
 
-def _in_slots(rows: DataFrame, files: int) -> list[DataFrame]:
+def _in_slots(rows: DataFrame, slots: int) -> list[DataFrame]:
     """The rows in slots of time of equal length, the earliest first."""
     micros = F.unix_micros(F.col("ts").cast("timestamp"))
     first, last = rows.select(F.min(micros), F.max(micros)).first()
-    part = F.least(F.floor((micros - first) * files / F.lit(last - first + 1)), F.lit(files - 1))
-    return [rows.where(part == number) for number in range(files)]
+    part = F.least(F.floor((micros - first) * slots / F.lit(last - first + 1)), F.lit(slots - 1))
+    return [rows.where(part == number) for number in range(slots)]
+
+
+def _arrives(rows: DataFrame, path: str) -> None:
+    """Adds the messages to the feed, in as many text files as the rows have parts, so that no task writes a whole slot."""
+    messages_from_events(rows).select("value").write.mode("append").text(path)
 
 
-def feed_in_order(spark: SparkSession, sf_dir: str, path: str, files: int = 6) -> None:
-    """The messages as text files in order of time, the earliest written first."""
-    for slot in _in_slots(events(spark, sf_dir), files):
-        messages_from_events(slot).select("value").coalesce(1).write.mode("append").text(path)
+def feed_in_order(spark: SparkSession, sf_dir: str, path: str, slots: int = 6) -> Iterator[None]:
+    """Writes the messages as text files, a slot of time at each step, the earliest first."""
+    for slot in _in_slots(events(spark, sf_dir), slots):
+        yield _arrives(slot, path)
 
 
-def feed_with_old_rows(spark: SparkSession, sf_dir: str, path: str) -> None:
-    """The feed in order, and a last file in which every fiftieth message comes again, as one more request of its old time."""
-    feed_in_order(spark, sf_dir, path)
+def feed_with_old_rows(spark: SparkSession, sf_dir: str, path: str) -> Iterator[None]:
+    """The feed in order, and a last step in which every fiftieth message comes again, as one more request of its old time."""
+    yield from feed_in_order(spark, sf_dir, path)
     again = events(spark, sf_dir).where("event_id % 50 = 0")
-    messages_from_events(again, event_id="concat('again ', event_id)").select("value").coalesce(1).write.mode("append").text(path)
+    yield messages_from_events(again, event_id="concat('again ', event_id)").select("value").write.mode("append").text(path)
 
 
-def feed_with_replays(spark: SparkSession, sf_dir: str, path: str, files: int = 6) -> None:
-    """The feed in order, each message twice in its file and once more in the next one."""
+def feed_with_replays(spark: SparkSession, sf_dir: str, path: str, slots: int = 6) -> Iterator[None]:
+    """The feed in order, each message twice in its slot and once more in the next one."""
     before = None
-    for slot in _in_slots(events(spark, sf_dir), files):
+    for slot in _in_slots(events(spark, sf_dir), slots):
         own = slot.unionByName(slot)
-        rows = own if before is None else own.unionByName(before)
-        messages_from_events(rows).select("value").coalesce(1).write.mode("append").text(path)
+        yield _arrives(own if before is None else own.unionByName(before), path)
         before = slot
 
 
@@ -159,11 +165,15 @@ def requests_of_users(rows: DataFrame) -> DataFrame:
     return _with_k(rows).selectExpr("user_id", "cast(ts AS timestamp) AS event_time", f"CASE event_type {zone} END AS zone", "2 * k AS ride_requests")
 
 
-def user_feed_in_order(spark: SparkSession, sf_dir: str, path: str, files: int = 6) -> DataFrame:
-    """`requests_of_users` as a stream of files in order of time."""
-    for slot in _in_slots(events(spark, sf_dir), files):
-        requests_of_users(slot).coalesce(1).write.mode("append").parquet(path)
-    return spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", 1).parquet(path)
+def user_feed_in_order(spark: SparkSession, sf_dir: str, path: str, slots: int = 6) -> Iterator[None]:
+    """Writes `requests_of_users` as files, a slot of time at each step, the earliest first."""
+    for slot in _in_slots(events(spark, sf_dir), slots):
+        yield requests_of_users(slot).write.mode("append").parquet(path)
+
+
+def user_feed(spark: SparkSession, path: str) -> DataFrame:
+    """What `user_feed_in_order` wrote, as a stream."""
+    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
 
 
 def zoned_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
