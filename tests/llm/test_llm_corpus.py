@@ -252,6 +252,18 @@ def test_interleaved_families_equal_brute_force(spark):
     assert removed == {key for key, gone in similar_lines(dict(texts)).items() if gone}
 
 
+def test_words_of_texts_and_line_ends_without_translate(spark):
+    from conftest import plan_text
+
+    texts = [None, "", " ", "\n\n", "a b\nc\n\n a", "\na\n", "a\tb\nc", "\x0ba\x0cb\r\nc d\x1ce", "Größe\nüber  東京\n"]
+    rows = spark.createDataFrame([(text,) for text in texts], "text string").select("text", line_dedup.tokens("text").alias("words"))
+    assert {r["text"]: r["words"] for r in rows.collect()} == {
+        text: None if text is None else [word.decode() for word in text.encode().split()] for text in texts
+    }
+    condition = plan_text(rows).split("Contains(text")
+    assert len(condition) == 1 + 4 and not any(part.startswith((", \n", ",\n")) for part in condition[1:])
+
+
 # Mixing
 
 def filled(sizes, weights, cap=3):
