@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -110,6 +111,18 @@ def test_code_lengths_follow_the_definition(spark):
     assert np.allclose(together[2], model.bits([b"zebra"])[0]) and together[1].tolist() == [0, 0]
 
 
+def test_the_driver_holds_little_more_than_the_language_model():
+    random = np.random.default_rng(5)
+    runs = np.unique(random.integers(97, 123, (60_000, 5)) % [256, 256, 256, 256, 4], axis=0)
+    grams, language = sum(runs[:, k].astype(np.int64) << (8 * k) for k in range(4)), runs[:, 4].astype(np.int64)
+    tracemalloc.start()
+    model = ppm_language.build_model(list("abcd"), grams, language, np.full(len(grams), 4), least_seen=1)
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    held = model.costs.nbytes + sum(step.nbytes for step in model.steps)
+    assert len(model.costs) > 10_000 * 27 and peak < 2 * held
+
+
 def test_language_on_held_out_documents(spark, gate):
     found = QUERIES["op2_ppm_language"](spark, gate).toPandas().set_index("doc_id")
     docs = spark.read.parquet(f"{gate}/documents.parquet").toPandas().set_index("doc_id")

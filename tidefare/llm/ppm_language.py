@@ -40,6 +40,8 @@ DOCUMENTS_PER_LANGUAGE = 1500
 LEAST_SEEN = 4
 #: A table with one row for each of at most so many languages is broadcast.
 BROADCAST_LANGUAGES = 10_000
+#: Nodes whose costs are worked out together, so that the driver holds little more than the model.
+NODES_AT_ONCE = 256
 UNKNOWN = "und"
 LETTER = regex.compile(r"\p{L}")
 #: A text that no language codes in fewer bits than it has is rejected; ordinary text takes two to four bits a byte.
@@ -106,55 +108,71 @@ def context_counts(sample: DataFrame, order: int = ORDER) -> DataFrame:
     return sample.mapInArrow(tasks, out).groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
+def node_costs(shorter: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Costs (node, symbol, language) of nodes with these counts, whose contexts one byte shorter cost `shorter`."""
+    total, kinds = table.sum(axis=1, keepdims=True), (table > 0).sum(axis=1, keepdims=True)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        coded = -np.log2(table / (total + kinds))
+        escaped = shorter - np.log2(kinds / (total + kinds))
+    return np.where(total == 0, shorter, np.where(table > 0, coded, escaped))
+
+
 def build_model(languages: list[str], grams: np.ndarray, language: np.ndarray, counts: np.ndarray, order: int = ORDER, least_seen: int = LEAST_SEEN) -> LanguageModel:
-    """Frozen trees from counted runs of bytes."""
+    """Frozen trees from counted runs of bytes; beside the model itself, it holds one level above the last and `NODES_AT_ONCE` nodes in full precision."""
     last = grams & 255
     used = np.unique(np.concatenate([last, [10]]))
     symbols = np.full(256, len(used), np.uint8)  # a byte never seen is a symbol of its own
     symbols[used] = np.arange(len(used))
     width = len(used) + 1
     many = max(1, len(languages))
-    steps = []
-    # costs[node, symbol, language]; the empty context escapes to 8 bits.
-    costs = np.full((1, width, many), 8.0)
-
-    def add_counts(rows: np.ndarray, table: np.ndarray, owner: np.ndarray) -> np.ndarray:
-        """Costs of new nodes whose counts are `table` and whose shorter contexts cost `rows`."""
-        total, kinds = table.sum(axis=1, keepdims=True), (table > 0).sum(axis=1, keepdims=True)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            coded = -np.log2(table / (total + kinds))
-            escaped = rows[owner] - np.log2(kinds / (total + kinds))
-        return np.where(total == 0, rows[owner], np.where(table > 0, coded, escaped))
-
-    table = np.zeros((1, width, many))
-    np.add.at(table[0], (symbols[last], language), counts)
-    costs = add_counts(costs, table, np.zeros(1, np.int64))
+    # Nodes of a level follow those of the level above: how many nodes there are before each level, and the nodes one byte shorter.
+    steps, firsts, owners = [], [0, 1], [np.zeros(1, np.int64)]
     level = np.zeros(len(grams), np.int64)  # each gram's node so far, or -1 once its context is left out
+    levels = [level]
     for depth in range(1, order + 1):
         before = symbols[(grams >> (8 * depth)) & 255].astype(np.int64)
-        keys = np.where(level >= 0, level * width + before, -1)
-        found, where = np.unique(keys, return_inverse=True)
+        found, where = np.unique(np.where(level >= 0, level * width + before, -1), return_inverse=True)
         seen = np.bincount(where, weights=counts)
         new = (found >= 0) & (seen >= least_seen)
         number = np.full(len(found), -1)
-        number[new] = len(costs) + np.arange(new.sum())
-        step = np.repeat(np.arange(len(costs), dtype=np.int32), width)
+        number[new] = firsts[-1] + np.arange(new.sum())
+        step = np.repeat(np.arange(firsts[-1], dtype=np.int32), width)
         step[found[new]] = number[new]
         steps.append(step)
         level = number[where]
-        table = np.zeros((int(new.sum()), width, many))
-        inside = level >= 0
-        np.add.at(table, (level[inside] - len(costs), symbols[last[inside]], language[inside]), counts[inside])
-        costs = np.concatenate([costs, add_counts(costs, table, found[new] // width)])
-    return LanguageModel(languages, symbols, steps, costs.reshape(-1, many).astype(np.float32))
+        levels.append(level)
+        owners.append(found[new] // width)
+        firsts.append(firsts[-1] + int(new.sum()))
+
+    costs = np.empty((firsts[-1], width, many), np.float32)
+    above, above_first = np.full((1, width, many), 8.0), 0  # the empty context escapes to 8 bits
+    cell = symbols[last].astype(np.int64) * many + language
+    for depth, (level, owner) in enumerate(zip(levels, owners)):
+        first, through = firsts[depth], firsts[depth + 1]
+        # Only a level that another one follows is kept in full precision.
+        exact = np.empty((through - first, width, many)) if depth < order else None
+        by_node = np.argsort(level, kind="stable")
+        edges = np.searchsorted(level[by_node], np.arange(first, through + NODES_AT_ONCE, NODES_AT_ONCE))
+        for at, a, b in zip(range(first, through, NODES_AT_ONCE), edges[:-1], edges[1:]):
+            own, nodes = by_node[a:b], slice(at, min(through, at + NODES_AT_ONCE))
+            size = (nodes.stop - at) * width * many
+            table = np.bincount((level[own] - at) * width * many + cell[own], counts[own], size).reshape(-1, width, many)
+            rows = node_costs(above[owner[at - first:nodes.stop - first] - above_first], table)
+            costs[nodes] = rows
+            if exact is not None:
+                exact[at - first:nodes.stop - first] = rows
+        above, above_first = exact, first
+    return LanguageModel(languages, symbols, steps, costs.reshape(-1, many))
 
 
 def fit(labelled: DataFrame, order: int = ORDER, per_language: int = DOCUMENTS_PER_LANGUAGE) -> LanguageModel:
     """The counts come to the driver: their number follows the bounded sample."""
-    counted = context_counts(training_sample(labelled, per_language), order).toPandas().sort_values(["lang", "gram"])
-    languages = sorted(counted["lang"].unique())
-    number = {name: k for k, name in enumerate(languages)}
-    return build_model(languages, counted["gram"].to_numpy(np.int64), counted["lang"].map(number).to_numpy(np.int64), counted["n"].to_numpy(np.int64), order)
+    counted = context_counts(training_sample(labelled, per_language), order).toArrow().combine_chunks()
+    coded = counted.column("lang").combine_chunks().dictionary_encode()
+    languages = sorted(coded.dictionary.to_pylist())
+    place = {name: k for k, name in enumerate(languages)}
+    number = np.array([place[name] for name in coded.dictionary.to_pylist()], np.int64)
+    return build_model(languages, counted.column("gram").to_numpy(), number[coded.indices.to_numpy()], counted.column("n").to_numpy(), order)
 
 
 PREDICTIONS = T.StructType([
