@@ -252,6 +252,26 @@ def test_interleaved_families_equal_brute_force(spark):
     assert removed == {key for key, gone in similar_lines(dict(texts)).items() if gone}
 
 
+def test_no_table_of_the_line_join_holds_pairs(spark, monkeypatch):
+    """What is stored follows the entries, however many lines of a family are nearly similar."""
+    # Any two lines share 21 of 27 words: too few, but bitmaps often let them pass.
+    texts = [(k, " ".join([*(f"word{j}" for j in range(21)), *(f"own{k}x{j}" for j in range(3))])) for k in range(800)]
+    texts.append((800, texts[700][1] + " more"))
+    rows = {}
+
+    def counted(frame, label, stored=line_dedup.stored):
+        table = stored(frame, label)
+        rows[label] = max(rows.get(label, 0), table.count())
+        return table
+
+    monkeypatch.setattr(line_dedup, "stored", counted)
+    monkeypatch.setattr(line_dedup, "SHORT", 2)
+    removed = {r["doc"] for r in rows_of(line_dedup.removed_lines(identified(spark.createDataFrame(texts, "doc_id long, text string"))))}
+    assert removed == {key for key, gone in similar_lines(dict(texts)).items() if gone} == {800}
+    assert rows["lines-untried"] > 0
+    assert max(rows.values()) <= 801 * 5  # a line of 24 words has 5 entries
+
+
 def test_words_of_texts_and_line_ends_without_translate(spark):
     from conftest import plan_text
 

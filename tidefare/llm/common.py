@@ -184,7 +184,7 @@ def few(frame: DataFrame, most: int) -> bool:
     return frame.count() <= most
 
 
-def joined(rows: DataFrame, stored_rows: DataFrame, on: str, most: int, how: str = "inner") -> DataFrame:
+def joined(rows: DataFrame, stored_rows: DataFrame, on: str | list[str] | Column, most: int, how: str = "inner") -> DataFrame:
     """`rows` joined with a stored table that is broadcast only if it is counted to have at most `most` rows."""
     return rows.join(F.broadcast(stored_rows) if few(stored_rows, most) else stored_rows, on, how)
 

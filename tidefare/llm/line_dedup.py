@@ -13,7 +13,8 @@ earlier line is removed itself. Lines without a word are left alone.
    lines may differ in tokens. Each later line keeps all earlier lines of the group that pass; past the first
    `SHORT` of a group, where the first line or the line just before is close, only that one.
 3. The closest partner is verified on the full sets. Later lines whose closest partner fails meet all
-   their other partners, again verified on full sets.
+   their other partners, again verified on full sets; those with untried ones ask, in semi joins that verify full
+   sets, whether there is any.
 
 Null and empty texts have no lines; an empty table gives no rows. Null doc_ids come first. Different texts
 under one doc_id (or under none) are documents of their own, in order of a hash of the text; equal rows are
@@ -184,27 +185,48 @@ def partners(lines: DataFrame, percent: int) -> DataFrame:
     return met.groupBy("doc", "line_no").agg(F.collect_set("partner").alias("partners"), F.max("untried").alias("untried"))
 
 
+def line_keys(docs: DataFrame, ranks: Column, lines: DataFrame) -> DataFrame:
+    """(doc, line_no, keys): the full sets of the given lines, each of which is given once."""
+    wanted = stored(by_document(lines, "wanted"), "lines-wanted")
+    some = joined(docs.select("doc", "text"), wanted, "doc", BROADCAST_ROWS)
+    listed = some.select("doc", "wanted", F.posexplode(F.split("text", "\n")).alias("line_no", "line")).where(F.array_contains("wanted", F.col("line_no")))
+    return stored(listed.select("doc", "line_no", token_keys("line", ranks).alias("keys")), "lines-keys")
+
+
+def similar(percent: int) -> Column:
+    """Whether the full sets `own_keys` and `keys` are similar enough."""
+    shared = F.size(F.array_intersect("own_keys", "keys"))
+    return shared * 100 >= (F.size("own_keys") + F.size("keys") - shared) * percent
+
+
 def verified(docs: DataFrame, ranks: Column, pairs: DataFrame, percent: int) -> DataFrame:
     """(doc, line_no) of those pairs (doc, line_no, partner) whose full sets are similar enough."""
     sides = [pairs.select("doc", "line_no"), pairs.select(F.col("partner.doc").alias("doc"), F.col("partner.line_no").alias("line_no"))]
-    wanted = stored(by_document(sides[0].unionByName(sides[1]).distinct(), "wanted"), "lines-wanted")
-    some = joined(docs.select("doc", "text"), wanted, "doc", BROADCAST_ROWS)
-    listed = some.select("doc", "wanted", F.posexplode(F.split("text", "\n")).alias("line_no", "line")).where(F.array_contains("wanted", F.col("line_no")))
-    keyed = stored(listed.select("doc", "line_no", token_keys("line", ranks).alias("keys")), "lines-keys")
-    later = pairs.join(keyed, ["doc", "line_no"]).select("doc", "line_no", "partner", F.col("keys").alias("own"))
+    keyed = line_keys(docs, ranks, sides[0].unionByName(sides[1]).distinct())
+    later = pairs.join(keyed, ["doc", "line_no"]).select("doc", "line_no", "partner", F.col("keys").alias("own_keys"))
     both = later.join(keyed.select(F.struct("doc", "line_no").alias("at"), "keys"), F.struct("partner.doc", "partner.line_no") == F.col("at"))
-    shared = F.size(F.array_intersect("own", "keys"))
-    return both.where(shared * 100 >= (F.size("own") + F.size("keys") - shared) * percent).select("doc", "line_no").distinct()
+    return both.where(similar(percent)).select("doc", "line_no").distinct()
+
 
+def untried_matches(docs: DataFrame, ranks: Column, lines: DataFrame, open_lines: DataFrame, percent: int) -> DataFrame:
+    """(doc, line_no) of those of the given lines that are similar to any earlier line.
 
-def untried_partners(lines: DataFrame, open_lines: DataFrame, percent: int) -> DataFrame:
-    """(doc, line_no, partner): all partners of the given lines."""
+    Both joins ask for one partner only, so their rows follow the entries, however many lines of a group are similar.
+    """
     theirs = stored(
-        entries(joined(lines, open_lines.select("doc", "line_no"), ["doc", "line_no"], BROADCAST_ROWS, "left_semi")).select("token", F.struct(*ENTRY).alias("own")),
+        entries(joined(lines, open_lines.select("doc", "line_no"), ["doc", "line_no"], BROADCAST_ROWS, "left_semi")).select(F.col("token").alias("own_token"), F.struct(*ENTRY).alias("own")),
         "lines-untried",
     )
-    met = joined(entries(lines).select("token", F.struct(*ENTRY).alias("other")), theirs, "token", BROADCAST_ROWS)
-    return met.where(before("other", "own") & may_match("own", "other", percent)).select(*partner("own", "other")).distinct()
+    meets = (F.col("token") == F.col("own_token")) & before("other", "own") & may_match("own", "other", percent)
+    met = stored(joined(entries(lines).select("token", F.struct(*ENTRY).alias("other")), theirs, meets, BROADCAST_ROWS, "left_semi"), "lines-met")
+    sides = [rows.select(f"{side}.doc", f"{side}.line_no") for rows, side in ((theirs, "own"), (met, "other"))]
+    keyed = line_keys(docs, ranks, sides[0].unionByName(sides[1]).distinct())
+
+    def with_keys(rows: DataFrame, side: str, name: str) -> DataFrame:
+        return rows.join(keyed.select(F.struct("doc", "line_no").alias("at"), F.col("keys").alias(name)), F.struct(f"{side}.doc", f"{side}.line_no") == F.col("at")).drop("at")
+
+    found = with_keys(theirs, "own", "own_keys").join(with_keys(met, "other", "keys"), meets & similar(percent), "left_semi")
+    return found.select("own.doc", "own.line_no").distinct()
 
 
 def removed_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -216,11 +238,10 @@ def removed_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     closest = found.select("doc", "line_no", F.array_min("partners").alias("partner"))
     matched = stored(verified(docs, ranks, closest, percent), "lines-matched")
     left = stored(found.join(matched, ["doc", "line_no"], "left_anti"), "lines-open")
-    others = left.select("doc", "line_no", F.explode("partners").alias("partner"), F.array_min("partners").alias("closest")).where("partner <> closest").drop("closest")
-    untried = left.where("untried").select("doc", "line_no")
-    pairs = stored(others.unionByName(untried_partners(lines, untried, percent)).distinct(), "lines-others")
-    more = stored(verified(docs, ranks, pairs, percent), "lines-matched")
-    return stored(by_document(repeated.unionByName(matched).unionByName(more), "gone"), "lines-gone")
+    others = left.select("doc", "line_no", F.explode("partners").alias("partner"), F.array_min("partners").alias("closest")).where("NOT untried AND partner <> closest").drop("closest")
+    more = stored(verified(docs, ranks, others, percent), "lines-matched")
+    last = stored(untried_matches(docs, ranks, lines, left.where("untried"), percent), "lines-matched")
+    return stored(by_document(repeated.unionByName(matched).unionByName(more).unionByName(last), "gone"), "lines-gone")
 
 
 def dedup_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
