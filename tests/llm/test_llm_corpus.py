@@ -272,6 +272,31 @@ def test_no_table_of_the_line_join_holds_pairs(spark, monkeypatch):
     assert max(rows.values()) <= 801 * 5  # a line of 24 words has 5 entries
 
 
+def test_full_sets_travel_only_with_entries_that_meet_another(spark, monkeypatch):
+    # Three of a line's five entries are words of its own, which meet nothing.
+    texts = [(k, " ".join([*(f"word{j}" for j in range(21)), *(f"own{k}x{j}" for j in range(3))])) for k in range(200)]
+    rows = {}
+
+    def counted(frame, label, stored=line_dedup.stored):
+        table = stored(frame, label)
+        rows[label] = table.count()
+        return table
+
+    monkeypatch.setattr(line_dedup, "stored", counted)
+    monkeypatch.setattr(line_dedup, "SHORT", 2)
+    assert rows_of(line_dedup.removed_lines(identified(spark.createDataFrame(texts, "doc_id long, text string")))) == []
+    assert 0 < rows["lines-meeting"] * 2 <= rows["lines-untried"]
+
+
+def test_numbers_of_a_line_are_sorted_without_boxes(spark):
+    docs = spark.createDataFrame([("a b a  c",), (" c b a ",), ("a\tb\x0bc\rc",), ("",), (None,)], "text string")
+    found = docs.select("text", line_dedup.token_keys("text", line_dedup.token_ranks(docs)).alias("keys"))
+    assert not found.schema["keys"].dataType.containsNull
+    keys = {r["text"]: r["keys"] for r in found.collect()}
+    assert keys.pop("") == [] and keys.pop(None) is None
+    assert len({tuple(found) for found in keys.values()}) == 1 and len(set(keys["a b a  c"])) == 3 and keys["a b a  c"] == sorted(keys["a b a  c"])
+
+
 def test_words_of_texts_and_line_ends_without_translate(spark):
     from conftest import plan_text
 

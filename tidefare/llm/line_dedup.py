@@ -42,13 +42,18 @@ BROADCAST_ROWS = 400_000
 SHORT = 64
 
 
-def tokens(line: str) -> Column:
-    """Words of a column, with repetitions."""
+def pieces(line: str, line_ends: bool = False) -> Column:
+    """Words of a column, with repetitions, and empty ones where spaces meet; `line_ends` says that it may hold line ends."""
     text = F.col(line)
     odd = reduce(lambda a, b: a | b, (text.contains(space) for space in "\t\x0b\x0c\r"))
     # `translate` looks at every character; line ends, which most texts have, need no more than `replace`.
-    spaced = F.when(odd, F.translate(text, "\t\x0b\x0c\r\n", "     ")).otherwise(F.replace(text, F.lit("\n"), F.lit(" ")))
-    return F.array_remove(F.split(spaced, " "), "")
+    plain = F.replace(text, F.lit("\n"), F.lit(" ")) if line_ends else text
+    return F.split(F.when(odd, F.translate(text, "\t\x0b\x0c\r\n", "     ")).otherwise(plain), " ")
+
+
+def tokens(text: str) -> Column:
+    """Words of a column, with repetitions."""
+    return F.array_remove(pieces(text, line_ends=True), "")
 
 
 def bucket(token_hash: Column) -> Column:
@@ -70,10 +75,13 @@ def token_ranks(docs: DataFrame) -> Column:
 def token_keys(line: str, ranks: Column) -> Column:
     """The line's distinct tokens as numbers, rarest first: 8 bits of rank, 55 bits of hash."""
     def key(h: Column) -> Column:
-        return F.shiftleft(F.get(ranks, bucket(h)).cast("long"), 55).bitwiseOR(F.shiftrightunsigned(h, 9))
+        # Numbers that cannot be null are sorted without boxes.
+        rank = F.coalesce(F.get(ranks, bucket(h)).cast("long"), F.lit(0).cast("long"))
+        return F.shiftleft(rank, 55).bitwiseOR(F.shiftrightunsigned(h, 9))
 
-    hashes = F.transform(tokens(line), lambda token: F.xxhash64(token))
-    return F.sort_array(F.array_distinct(F.transform(hashes, key)))
+    # What stands inside a `transform` is not compiled; empty words go afterwards, by their number.
+    keys = F.transform(F.transform(pieces(line), lambda token: F.xxhash64(token)), key)
+    return F.sort_array(F.array_distinct(F.array_remove(keys, key(F.xxhash64(F.lit(""))))))
 
 
 def numbered_lines(docs: DataFrame) -> DataFrame:
@@ -211,7 +219,8 @@ def verified(docs: DataFrame, ranks: Column, pairs: DataFrame, percent: int) ->
 def untried_matches(docs: DataFrame, ranks: Column, lines: DataFrame, open_lines: DataFrame, percent: int) -> DataFrame:
     """(doc, line_no) of those of the given lines that are similar to any earlier line.
 
-    Both joins ask for one partner only, so their rows follow the entries, however many lines of a group are similar.
+    All joins ask for one partner only, so their rows follow the entries, however many lines of a group are similar.
+    Full sets travel only with entries that meet another.
     """
     theirs = stored(
         entries(joined(lines, open_lines.select("doc", "line_no"), ["doc", "line_no"], BROADCAST_ROWS, "left_semi")).select(F.col("token").alias("own_token"), F.struct(*ENTRY).alias("own")),
@@ -219,6 +228,7 @@ def untried_matches(docs: DataFrame, ranks: Column, lines: DataFrame, open_lines
     )
     meets = (F.col("token") == F.col("own_token")) & before("other", "own") & may_match("own", "other", percent)
     met = stored(joined(entries(lines).select("token", F.struct(*ENTRY).alias("other")), theirs, meets, BROADCAST_ROWS, "left_semi"), "lines-met")
+    theirs = stored(joined(theirs, met, meets, BROADCAST_ROWS, "left_semi"), "lines-meeting")
     sides = [rows.select(f"{side}.doc", f"{side}.line_no") for rows, side in ((theirs, "own"), (met, "other"))]
     keyed = line_keys(docs, ranks, sides[0].unionByName(sides[1]).distinct())
 
